@@ -146,3 +146,36 @@ def postings_cte(*names: str) -> str:
 
 def line_postings_cte(*names: str) -> str:
     return f"postings AS (SELECT {', '.join(_select(LINE_POSTING, names))} FROM lineitem)"
+
+
+# Raw columns of each source, taken from the postings.
+RAW = {
+    "careerlink": {
+        "tên công việc": "title", "tên công ty": "company", "Địa điểm công việc": "location",
+        "Mức lương": "salary_text", "Kinh nghiệm": "experience_text", "mô tả công việc": "description",
+        "kĩ năng yêu cầu": "skills", "loại công việc": "job_type", "cấp bậc": "job_level",
+        "học vấn": "education", "ngành nghề": "industry",
+    },
+    "joboko": {
+        "ten_cong_viec": "title", "ten_cong_ty": "company", "dia_diem_lam_viec": "location",
+        "muc_luong": "salary_text", "kinh_nghiem": "experience_text", "mo_ta_chi_tiet": "description",
+        "ki_nang_yeu_cau": "skills", "loai_cong_viec": "job_type", "cap_bac": "job_level",
+        "han_nop": "deadline", "nganh_nghe": "industry", "link": "link",
+    },
+    "topcv": {
+        "tên công việc": "title", "công ty": "company", "địa điểm làm việc": "location",
+        "lương": "salary_text", "yêu cầu kinh nghiệm": "experience_text", "mô tả chi tiết": "description",
+        "kĩ năng yêu cầu": "skills", "quyền lợi": "industry", "thời gian làm việc": "schedule", "hạn nộp": "deadline",
+    },
+}
+
+
+def raw_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The postings as the three raw source tables, in their own column names."""
+    rows = postings(spark, sf_dir)
+    return {
+        source: rows.filter(f"source = '{source}'").selectExpr(
+            "posting_id", *[f"{expr} AS `{name}`" for name, expr in columns.items()]
+        )
+        for source, columns in RAW.items()
+    }
