@@ -14,25 +14,32 @@ _PARTITION_BITS = 33  # layout of monotonically_increasing_id: partition above,
 HOT_SHARE = 1000  # a key above 1/1000 of all rows is hot, so at most this many keys are
 
 
+def _placed(df: DataFrame, *order: Column | str) -> DataFrame:
+    """``df`` range-sorted in parallel and checkpointed, with ``_part`` and ``_row`` inside the partition."""
+    sorted_rows = df.orderBy(*order).withColumn(_ROW, F.monotonically_increasing_id())
+    placed = cut_lineage(sorted_rows)
+    return placed.withColumn("_part", F.shiftright(F.col(_ROW), _PARTITION_BITS)).withColumn(
+        _ROW, F.col(_ROW).bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
+    )
+
+
+def _before(*partition: str):
+    return Window.partitionBy(*partition).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+
+
 def renumber(df: DataFrame, *order: Column | str, name: str = "stt", start: int = 1) -> DataFrame:
-    """Consecutive numbers in global order, without a single-task window.
+    """Consecutive numbers in global order, without a single-task window over the rows.
 
     Rows are range-sorted in parallel and written to the checkpoint folder with
     their place inside the partition; the partition sizes (one row per
     partition) give each partition its offset.  ``order`` must be total.
     """
-    placed = cut_lineage(df.drop(name).orderBy(*order).withColumn(_ROW, F.monotonically_increasing_id()))
-    part = F.shiftright(F.col(_ROW), _PARTITION_BITS).alias("_part")
-    sizes = placed.groupBy(part).agg(F.count("*").alias("_size"))
-    before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("_part", before.alias("_offset"))
-    within = F.col(_ROW).bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, within + F.col("_offset") + F.lit(start))
-        .drop("_part", "_offset", _ROW)
-    )
+    placed = _placed(df.drop(name), *order)
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
+    offset = F.coalesce(F.sum("_size").over(_before()), F.lit(0)).alias("_offset")
+    numbered = placed.join(F.broadcast(sizes.select("_part", offset)), "_part")
+    number = F.col(_ROW) + F.col("_offset") + F.lit(start)
+    return numbered.withColumn(name, number).drop("_part", "_offset", _ROW)
 
 
 def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
@@ -89,11 +96,21 @@ def sample_values(df: DataFrame, column: str, row_id: str, n: int = 3) -> DataFr
 def page_streaks(pages: DataFrame, site: str, page: str, new_count: str, limit: int = 10) -> DataFrame:
     """How many pages in a row up to each page brought nothing new, and where a crawl stops.
 
-    The streak is the distance to the last page with news.  A crawl stops at
-    the first page whose streak exceeds ``limit``.
+    The streak is the distance to the last page with news; a crawl stops at the
+    first page whose streak exceeds ``limit``.  A site may fill many partitions
+    of the range sort: each part counts on its own, and one row per site and
+    part carries the count and the last news forward.
     """
-    upto = Window.partitionBy(site).orderBy(page)
-    last_news = F.max(F.when(F.col(new_count) > 0, F.col("_n"))).over(upto)
-    ordered = pages.withColumn("_n", F.row_number().over(upto))
-    streaks = ordered.withColumn("streak", F.col("_n") - F.coalesce(last_news, F.lit(0)))
-    return streaks.withColumn("stops", F.col("streak") > limit).drop("_n")
+    placed = _placed(pages, site, page)
+    local = Window.partitionBy("_part", site).orderBy(_ROW)
+    counted = placed.withColumn("_n", F.row_number().over(local))
+    news = F.when(F.col(new_count) > 0, F.col("_n"))
+    parts = counted.groupBy(site, "_part").agg(F.count("*").alias("_size"), F.max(news).alias("_news"))
+    offset = F.coalesce(F.sum("_size").over(_before(site)), F.lit(0))
+    parts = parts.withColumn("_offset", offset)
+    carried = F.coalesce(F.max(F.col("_news") + F.col("_offset")).over(_before(site)), F.lit(0))
+    parts = parts.select(site, "_part", "_offset", carried.alias("_carried"))
+    ordered = counted.withColumn("_last", F.max(news).over(local)).join(parts, [site, "_part"])
+    last = F.coalesce(F.col("_last") + F.col("_offset"), F.col("_carried"))
+    streaks = ordered.withColumn("streak", F.col("_n") + F.col("_offset") - last)
+    return streaks.withColumn("stops", F.col("streak") > limit).select(*pages.columns, "streak", "stops")

@@ -1,0 +1,125 @@
+"""Which source column plays which standard role, and how well the sources agree."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions.similarity import ratio
+
+NAME_THRESHOLD = 0.8
+COMPATIBLE_FROM = 0.5
+ADVICE_BELOW = 0.7
+ADVICE = "Low schema compatibility detected. Consider data preprocessing."
+
+# The column expected for a field, and the sources that capitalise or name it differently.
+EXPECTED = {
+    "job_title": "tên công việc",
+    "company_name": "tên công ty",
+    "location": "địa điểm",
+    "salary": "mức lương",
+    "industry": "ngành nghề",
+    "job_description": "mô tả công việc",
+    "skills": "kĩ năng yêu cầu",
+    "experience": "kinh nghiệm",
+    "job_type": "loại công việc",
+    "job_level": "cấp bậc",
+    "education": "học vấn",
+    "benefits": "quyền lợi",
+}
+EXPECTED_EXCEPTIONS = {
+    ("careerlink", "location"): "Địa điểm công việc",
+    ("careerlink", "salary"): "Mức lương",
+    ("careerlink", "experience"): "Kinh nghiệm",
+}
+KNOWN_SOURCES = ("careerlink", "joboko", "topcv")
+# Declared type per standard field.
+FIELD_TYPES = {
+    "job_title": "string", "company_name": "string", "location": "string", "salary_min": "numeric",
+    "salary_max": "numeric", "industry": "string", "job_description": "string", "skills": "string",
+    "experience": "numeric", "rating": "numeric", "company_size": "string",
+}
+
+
+def expected_columns(spark: SparkSession) -> DataFrame:
+    """``source, field, expected`` dimension: a few dozen rows."""
+    rows = [
+        (source, field, EXPECTED_EXCEPTIONS.get((source, field), name))
+        for source in KNOWN_SOURCES
+        for field, name in EXPECTED.items()
+    ]
+    return spark.createDataFrame(rows, "source string, field string, expected string")
+
+
+def detect_schema(frames: dict[str, DataFrame]) -> DataFrame:
+    """``source, position, column, type``: metadata only, no data is read."""
+    rows = [
+        (source, position, name, kind)
+        for source, df in frames.items()
+        for position, (name, kind) in enumerate(df.dtypes)
+    ]
+    spark = next(iter(frames.values())).sparkSession
+    return spark.createDataFrame(rows, "source string, position int, column string, type string")
+
+
+def map_columns(schema_rows: DataFrame) -> DataFrame:
+    """``source, field, column, type, score``: an exact name first, else the most similar above the threshold."""
+    expected = expected_columns(schema_rows.sparkSession)
+    pairs = schema_rows.join(F.broadcast(expected), "source")
+    pairs = pairs.withColumn("exact", F.col("column") == F.col("expected"))
+    pairs = pairs.withColumn("score", ratio(F.lower("column"), F.lower("expected")))
+    best = Window.partitionBy("source", "field").orderBy(F.desc("exact"), F.desc("score"), "position")
+    ranked = pairs.filter(F.col("exact") | (F.col("score") > NAME_THRESHOLD)).withColumn("rank", F.row_number().over(best))
+    return ranked.filter("rank = 1").select("source", "field", "column", "type", "score")
+
+
+def unified_schema(mapped: DataFrame, n_sources: int) -> DataFrame:
+    """Coverage of each field over the sources."""
+    covered = mapped.groupBy("field").agg(F.array_sort(F.collect_set("source")).alias("sources"))
+    return covered.select(
+        "field",
+        "sources",
+        (F.size("sources") / F.lit(n_sources)).alias("coverage_rate"),
+        (F.size("sources") == n_sources).alias("is_common"),
+    )
+
+
+def field_compatibility(mapped: DataFrame, n_sources: int) -> DataFrame:
+    """Coverage and type agreement per field."""
+    types = mapped.groupBy("field", "type").agg(F.count("*").alias("n"))
+    dominant = types.groupBy("field").agg(
+        F.max(F.struct("n", "type")).alias("top"),
+        F.sum("n").alias("total"),
+        F.array_sort(F.collect_set("type")).alias("all_types"),
+    )
+    consistency = dominant.select(
+        "field",
+        F.col("top.type").alias("most_common_type"),
+        (F.col("top.n") / F.col("total")).alias("consistency_score"),
+        "all_types",
+    )
+    coverage = unified_schema(mapped, n_sources).withColumnRenamed("coverage_rate", "coverage")
+    return coverage.withColumn("is_compatible", F.col("coverage") >= COMPATIBLE_FROM).join(consistency, "field")
+
+
+def overall_compatibility(fields: DataFrame) -> DataFrame:
+    """Share of compatible fields (0 when there is none) and advice."""
+    share = F.coalesce(F.try_divide(F.count_if("is_compatible").cast("double"), F.count("*")), F.lit(0.0))
+    return fields.agg(F.count("*").alias("fields"), share.alias("overall_compatibility")).withColumn(
+        "recommendation", F.when(F.col("overall_compatibility") < ADVICE_BELOW, F.lit(ADVICE)).otherwise("")
+    )
+
+
+def analyze(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Schema rows, mapping, unified schema and compatibility of the non-empty sources."""
+    filled = {source: df for source, df in frames.items() if not df.isEmpty()}
+    rows = detect_schema(filled)
+    mapped = map_columns(rows)
+    fields = field_compatibility(mapped, len(filled))
+    return {
+        "schemas": rows,
+        "mapping": mapped,
+        "unified": unified_schema(mapped, len(filled)),
+        "fields": fields,
+        "overall": overall_compatibility(fields),
+    }

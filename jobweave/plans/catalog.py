@@ -1,6 +1,6 @@
 """All named queries; importing the modules registers them."""
 
-from . import features, matching_queries  # noqa: F401
+from . import analytics_queries, features, matching_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
