@@ -437,11 +437,11 @@ def deadline_trend(spark, sf):
 @query(
     "filtered_listing",
     f"WITH {postings_cte('posting_id', 'title', 'location', 'skills')} SELECT posting_id, title FROM postings "
-    "WHERE contains(location, 'Hồ Chí Minh') AND contains(lower(skills), 'java')",
+    "WHERE contains(location, 'Hồ Chí Minh') AND contains(lower(skills), 'python')",
 )
 def filtered_listing(spark, sf):
     p = postings(spark, sf, "posting_id", "title", "location", "skills")
-    hits = p.filter(F.contains("location", F.lit("Hồ Chí Minh")) & F.contains(F.lower("skills"), F.lit("java")))
+    hits = p.filter(F.contains("location", F.lit("Hồ Chí Minh")) & F.contains(F.lower("skills"), F.lit("python")))
     return hits.select("posting_id", "title")
 
 
