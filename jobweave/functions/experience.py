@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BOUNDARY, SPACE, WORD, _c, let
+from .text import SPACE, WORD, _c, let
 
 _S = f"[{SPACE}]*"
 _N = rf"([0-9]+)\+?{_S}"
@@ -71,7 +71,7 @@ def vietnamese_experience(col: Column | str) -> Column:
 
 
 def _integers(col: Column) -> Column:
-    pattern = F.lit(rf"{BOUNDARY}([0-9]+){BOUNDARY}")
+    pattern = F.lit(rf"(?=[0-9])(?<![{WORD}])([0-9]+)(?![{WORD}])")
     found = F.regexp_extract_all(F.coalesce(col, F.lit("")), pattern, F.lit(1))
     return F.transform(found, lambda x: x.try_cast("int"))
 

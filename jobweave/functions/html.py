@@ -21,9 +21,20 @@ from pyspark.sql import types as T
 
 from .text import SPACE, _c, collapse_space, let, strip
 
-_ELEMENT = "struct<node:int,last:int,parent:int,tag:string,id:string,classes:array<string>,href:string,content:string,property:string>"
-_TEXT = "struct<at:int,parent:int,text:string>"
-PAGE_TYPE = T.StructType.fromDDL(f"elements array<{_ELEMENT}>, texts array<{_TEXT}>")
+_ELEMENT = (
+    T.StructType()
+    .add("node", "integer")
+    .add("last", "integer")
+    .add("parent", "integer")
+    .add("tag", "string")
+    .add("id", "string")
+    .add("classes", T.ArrayType(T.StringType()))
+    .add("href", "string")
+    .add("content", "string")
+    .add("property", "string")
+)
+_TEXT = T.StructType().add("at", "integer").add("parent", "integer").add("text", "string")
+PAGE_TYPE = T.StructType().add("elements", T.ArrayType(_ELEMENT)).add("texts", T.ArrayType(_TEXT))
 # Elements without an end tag.
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "strong", "b")

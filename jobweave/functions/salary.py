@@ -6,10 +6,12 @@ under their own name (:func:`salary_range_a`, :func:`salary_range_b`).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BOUNDARY, SPACE, _c, compatibility_fold, let, strip
+from .text import BOUNDARY, SPACE, WORD, _c, compatibility_fold, let, strip
 
 USD_TO_VND = 24000.0
 BIN_SIZE = 5
@@ -31,11 +33,6 @@ _DASH = f"{_S}-{_S}"
 _RANGE_TYPE = "struct<min:double,max:double>"
 
 
-def _group(text: Column, pattern: str, index: int = 1) -> Column:
-    """Group of the first match, or null when there is no match or it is empty."""
-    return F.nullif(F.regexp_extract(text, pattern, index), F.lit(""))
-
-
 def _digits(number: Column) -> Column:
     return F.regexp_replace(number, "[^0-9]", "").try_cast("double")
 
@@ -63,17 +60,25 @@ def _same(value: Column) -> Column:
 
 
 def _prepare(text: Column) -> Column:
-    """Dashes and the word "to" become ``-``; blank or negotiable text becomes null."""
-    low = F.lower(text)
-    negotiable = F.lit(False)
-    for phrase in NEGOTIABLE:
-        negotiable = negotiable | F.contains(low, F.lit(phrase))
-    text = F.when(~negotiable & (text != ""), text)
-    return F.regexp_replace(F.regexp_replace(text, "[–—−]", "-"), f"(?i){_S}to{_S}", "-")
+    """Lower case, with dashes and "to" as ``-``; null when negotiable or without any number.
+
+    Lower case loses nothing, since only numbers and unit words are read, and
+    spares every later pattern the case-insensitive match.
+    """
+
+    def body(low: Column) -> Column:
+        useful = low.rlike("[0-9]")
+        for phrase in NEGOTIABLE:
+            useful = useful & ~F.contains(low, F.lit(phrase))
+        dashed = F.translate(low, "–—−", "---")
+        joined = F.when(F.contains(low, F.lit("to")), F.regexp_replace(dashed, f"{_S}to{_S}", "-")).otherwise(dashed)
+        return F.when(useful, joined)
+
+    return let(F.lower(text), body)
 
 
 def _mentions_usd(text: Column) -> Column:
-    return text.rlike(r"(?i)usd|\$")
+    return F.contains(text, F.lit("usd")) | F.contains(text, F.lit("$"))
 
 
 def _implicit_usd(value: Column, rate: float) -> Column:
@@ -85,11 +90,32 @@ def _implicit_usd_range(low: Column, high: Column, rate: float) -> Column:
     return F.when(usd, _pair(low * rate, high * rate)).otherwise(_pair(low, high))
 
 
-def _groups(text: Column, pattern: str, names: list[str], last: int | None = None) -> Column:
-    """Struct of the groups of the first match; null when nothing matches."""
-    found = text.rlike(pattern)
-    parts = [_group(text, pattern, i + 1).alias(n) for i, n in enumerate(names)]
-    return F.when(found, F.struct(*parts))
+def _match(text: Column, pattern: str, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the first match, or null; the text is searched once."""
+    found = F.regexp_extract(text, pattern, 0)
+    return let(found, lambda m: F.when(m != "", body(m)))
+
+
+def _number_in(match: Column, last: bool = False) -> Column:
+    """The first (or last) number of a short match."""
+    numbers = F.regexp_extract_all(match, F.lit(_NUM), F.lit(1))
+    return F.element_at(numbers, -1 if last else 1)
+
+
+def _sides(match: Column) -> Column:
+    """The parts of a range before and after its dash."""
+    return F.split(match, "-", 2)
+
+
+def _unit_in(match: Column) -> Column:
+    """Unit word right after the number, in full, or null."""
+    return F.nullif(F.regexp_extract(match, f"[0-9.,]{_S}{_UNIT}$", 1), F.lit(""))
+
+
+def _or_nothing(salary: Column) -> Column:
+    """Both ends null instead of a null struct."""
+    nothing = F.struct(F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max"))
+    return F.coalesce(salary.cast(_RANGE_TYPE), nothing)
 
 
 def salary_range_a(col: Column | str, usd_to_vnd: float = USD_TO_VND) -> Column:
@@ -98,57 +124,48 @@ def salary_range_a(col: Column | str, usd_to_vnd: float = USD_TO_VND) -> Column:
     Digits next to a dollar sign are read without decimals; a range without a
     unit, and a bare number, below one million count as dollars.
     """
-    usd_mark = r"(?:usd|\$)"
-    usd_range = rf"(?iu){_NUM}{_S}{usd_mark}?{_DASH}{_NUM}{_S}{usd_mark}?"
-    usd_single = rf"(?iu){usd_mark}{_S}{_NUM}|{_NUM}{_S}{usd_mark}"
-    unit_range = rf"(?iu){BOUNDARY}{_NUM}{_S}{_UNIT}?{_DASH}{_NUM}{_S}{_UNIT}?{BOUNDARY}"
-    plain_range = rf"{BOUNDARY}{_NUM}{_DASH}{_NUM}{BOUNDARY}"
-    unit_single = rf"(?iu){BOUNDARY}{_NUM}{_S}{_UNIT}{BOUNDARY}"
-    plain_single = rf"{BOUNDARY}([0-9][0-9.,]+){BOUNDARY}"
+    mark = r"(?:usd|\$)"
+    start = f"(?=[0-9])(?<![{WORD}])"  # a word boundary before a digit, rejected cheaply elsewhere
+    usd_range = rf"{_NUM}{_S}{mark}?{_DASH}{_NUM}"
+    usd_single = rf"{mark}{_S}{_NUM}|{_NUM}{_S}{mark}"
+    unit_range = rf"{start}{_NUM}{_S}{_UNIT}?{_DASH}{_NUM}(?:{_S}{_UNIT})?{_S}{BOUNDARY}"
+    unit_single = rf"{start}{_NUM}{_S}{_UNIT}(?![{WORD}])"
+    plain_single = rf"{start}[0-9][0-9.,]+{BOUNDARY}"
+
+    def dollars(match: Column) -> Column:
+        return _pair(_digits(_number_in(match)) * usd_to_vnd, _digits(_number_in(match, last=True)) * usd_to_vnd)
+
+    def spread(match: Column) -> Column:
+        def ends(parts: Column) -> Column:
+            low, high = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+            units = F.struct(_unit_in(strip(low)).alias("low"), _unit_in(strip(high)).alias("high"))
+
+            def scaled(u: Column) -> Column:
+                plain = _implicit_usd_range(_digits(_number_in(low)), _digits(_number_in(high)), usd_to_vnd)
+                named = _pair(
+                    _decimal(_number_in(low)) * unit_multiplier(F.coalesce(u["low"], u["high"])),
+                    _decimal(_number_in(high)) * unit_multiplier(F.coalesce(u["high"], u["low"])),
+                )
+                return F.when(F.coalesce(u["low"], u["high"]).isNotNull(), named).otherwise(plain)
+
+            return let(units, scaled)
+
+        return let(_sides(match), ends)
 
     def body(text: Column) -> Column:
-        def with_unit(g: Column) -> Column:
-            low_unit = F.coalesce(g["u1"], g["u2"])
-            high_unit = F.coalesce(g["u2"], g["u1"])
-            scaled = _pair(
-                _decimal(g["n1"]) * unit_multiplier(low_unit), _decimal(g["n2"]) * unit_multiplier(high_unit)
-            )
-            plain = _implicit_usd_range(_digits(g["n1"]), _digits(g["n2"]), usd_to_vnd)
-            return F.when(low_unit.isNotNull(), scaled).otherwise(plain)
-
+        dash = F.contains(text, F.lit("-"))
         usd = F.coalesce(
-            let(
-                _groups(text, usd_range, ["n1", "n2"]),
-                lambda g: F.when(
-                    g.isNotNull(), _pair(_digits(g["n1"]) * usd_to_vnd, _digits(g["n2"]) * usd_to_vnd)
-                ),
-            ),
-            let(
-                _groups(text, usd_single, ["n1", "n2"]),
-                lambda g: F.when(g.isNotNull(), _same(_digits(F.coalesce(g["n1"], g["n2"])) * usd_to_vnd)),
-            ),
+            F.when(dash, _match(text, usd_range, dollars)),
+            _match(text, usd_single, lambda m: _same(_digits(_number_in(m)) * usd_to_vnd)),
         )
         return F.coalesce(
             F.when(_mentions_usd(text), usd),
-            let(_groups(text, unit_range, ["n1", "u1", "n2", "u2"]), lambda g: F.when(g.isNotNull(), with_unit(g))),
-            let(
-                _groups(text, plain_range, ["n1", "n2"]),
-                lambda g: F.when(
-                    g.isNotNull(), _implicit_usd_range(_digits(g["n1"]), _digits(g["n2"]), usd_to_vnd)
-                ),
-            ),
-            let(
-                _groups(text, unit_single, ["n", "u"]),
-                lambda g: F.when(g.isNotNull(), _same(_decimal(g["n"]) * unit_multiplier(g["u"]))),
-            ),
-            let(
-                _groups(text, plain_single, ["n"]),
-                lambda g: F.when(g.isNotNull(), _same(_implicit_usd(_digits(g["n"]), usd_to_vnd))),
-            ),
-            F.struct(F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max")),
+            F.when(dash, _match(text, unit_range, spread)),
+            _match(text, unit_single, lambda m: _same(_decimal(_number_in(m)) * unit_multiplier(_unit_in(m)))),
+            _match(text, plain_single, lambda m: _same(_implicit_usd(_digits(m), usd_to_vnd))),
         )
 
-    return let(_prepare(strip(_c(col))), body).cast(_RANGE_TYPE)
+    return _or_nothing(let(_prepare(strip(_c(col))), body))
 
 
 def salary_range_b(col: Column | str, usd_to_vnd: float = USD_TO_VND) -> Column:
@@ -157,47 +174,42 @@ def salary_range_b(col: Column | str, usd_to_vnd: float = USD_TO_VND) -> Column:
     A single comma or dot is always a decimal point, and unit words need no
     word boundary after them.
     """
-    usd_single = rf"(?iu){_NUM}{_S}(?:usd|\$)"
-    unit_range = rf"(?iu){_NUM}{_S}{_UNIT}?{_DASH}{_NUM}{_S}{_UNIT}?"
-    unit_single = rf"(?iu){_NUM}{_S}{_UNIT}"
+    plain_range = f"{_NUM}{_DASH}{_NUM}"
+    unit_range = rf"{_NUM}{_S}{_UNIT}?{_DASH}{_NUM}(?:{_S}{_UNIT})?"
+    usd_single = rf"{_NUM}{_S}(?:usd|\$)"
+    unit_single = rf"{_NUM}{_S}{_UNIT}"
+
+    def dollars(match: Column) -> Column:
+        return _pair(_decimal(_number_in(match)) * usd_to_vnd, _decimal(_number_in(match, last=True)) * usd_to_vnd)
+
+    def spread(match: Column) -> Column:
+        def ends(parts: Column) -> Column:
+            low, high = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+            units = F.struct(_unit_in(strip(low)).alias("low"), _unit_in(strip(high)).alias("high"))
+            return let(
+                units,
+                lambda u: _pair(
+                    _decimal(_number_in(low)) * unit_multiplier(F.coalesce(u["low"], u["high"])),
+                    _decimal(_number_in(high)) * unit_multiplier(F.coalesce(u["high"], u["low"])),
+                ),
+            )
+
+        return let(_sides(match), ends)
 
     def body(text: Column) -> Column:
+        dash = F.contains(text, F.lit("-"))
         usd = F.coalesce(
-            let(
-                _groups(text, f"{_NUM}{_DASH}{_NUM}", ["n1", "n2"]),
-                lambda g: F.when(
-                    g.isNotNull(), _pair(_decimal(g["n1"]) * usd_to_vnd, _decimal(g["n2"]) * usd_to_vnd)
-                ),
-            ),
-            let(
-                _groups(text, usd_single, ["n"]),
-                lambda g: F.when(g.isNotNull(), _same(_decimal(g["n"]) * usd_to_vnd)),
-            ),
+            F.when(dash, _match(text, plain_range, dollars)),
+            _match(text, usd_single, lambda m: _same(_decimal(_number_in(m)) * usd_to_vnd)),
         )
         return F.coalesce(
             F.when(_mentions_usd(text), usd),
-            let(
-                _groups(text, unit_range, ["n1", "u1", "n2", "u2"]),
-                lambda g: F.when(
-                    g.isNotNull(),
-                    _pair(
-                        _decimal(g["n1"]) * unit_multiplier(F.coalesce(g["u1"], g["u2"])),
-                        _decimal(g["n2"]) * unit_multiplier(F.coalesce(g["u2"], g["u1"])),
-                    ),
-                ),
-            ),
-            let(
-                _groups(text, unit_single, ["n", "u"]),
-                lambda g: F.when(g.isNotNull(), _same(_decimal(g["n"]) * unit_multiplier(g["u"]))),
-            ),
-            let(
-                _groups(text, "([0-9][0-9.,]+)", ["n"]),
-                lambda g: F.when(g.isNotNull(), _same(_implicit_usd(_decimal(g["n"]), usd_to_vnd))),
-            ),
-            F.struct(F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max")),
+            F.when(dash, _match(text, unit_range, spread)),
+            _match(text, unit_single, lambda m: _same(_decimal(_number_in(m)) * unit_multiplier(_unit_in(m)))),
+            _match(text, "[0-9][0-9.,]+", lambda m: _same(_implicit_usd(_decimal(m), usd_to_vnd))),
         )
 
-    return let(_prepare(strip(_c(col))), body).cast(_RANGE_TYPE)
+    return _or_nothing(let(_prepare(strip(_c(col))), body))
 
 
 def as_pair(salary: Column) -> Column:
@@ -207,23 +219,18 @@ def as_pair(salary: Column) -> Column:
 
 def dollar_range(col: Column | str) -> Column:
     """Dollar amounts such as ``$50K-$70K`` as ``struct<min,max>``."""
-    amount = r"([0-9]+(?:,[0-9]{3})*(?:\.[0-9]{2})?)"
+    amount = r"[0-9]+(?:,[0-9]{3})*(?:\.[0-9]{2})?"
 
-    def value(number: Column) -> Column:
-        return F.regexp_replace(number, ",", "").try_cast("double")
+    def values(match: Column) -> Column:
+        found = F.regexp_extract_all(match, F.lit(amount), F.lit(0))
+        number = lambda i: F.regexp_replace(F.element_at(found, i), ",", "").try_cast("double")
+        return _pair(number(1), number(-1))
 
     def body(text: Column) -> Column:
-        return F.coalesce(
-            let(
-                _groups(text, rf"\$?{amount}{_S}[-–—]{_S}\$?{amount}", ["n1", "n2"]),
-                lambda g: F.when(g.isNotNull(), _pair(value(g["n1"]), value(g["n2"]))),
-            ),
-            let(_groups(text, rf"\$?{amount}", ["n"]), lambda g: F.when(g.isNotNull(), _same(value(g["n"])))),
-            F.struct(F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max")),
-        )
+        return F.coalesce(_match(text, rf"{amount}{_S}[-–—]{_S}\$?{amount}", values), _match(text, amount, values))
 
     expanded = F.regexp_replace(strip(_c(col)), rf"([0-9]+(?:,[0-9]{{3}})*){_S}[Kk]", "$1000")
-    return let(expanded, body).cast(_RANGE_TYPE)
+    return _or_nothing(let(expanded, body))
 
 
 def salary_average(low: Column, high: Column) -> Column:
@@ -267,14 +274,15 @@ def salary_bins_from_numbers(low: Column, high: Column, currency: Column) -> Col
 
 
 # The seven salary mentions, written with flat character classes; the group number says what is kept.
+# The last entry lists strings one of which any match must hold, to skip the pattern for other texts.
 SALARY_MENTIONS = [
-    (r"(?iu)lương(?:từ| )+ ([0-9.]+)", 1),
-    (r"(?iu)([0-9.\- ]+(?:triệu| )+)đồng", 1),
-    (r"[0-9.,]+.000.000", 0),
-    (r"(?iu)[0-9 \-]+[0-9] *(?:triệu|m)", 0),
-    (r"\$(?:[0-9]+|,)", 0),
-    (r"(?i)[0-9,]+ *(?:USD|\$)+", 0),
-    (r"[0-9.,]+,000,000", 0),
+    (r"(?iu)lương(?:từ| )+ ([0-9.]+)", 1, ["lương"]),
+    (r"(?iu)([0-9.\- ]+(?:triệu| )+)đồng", 1, ["đồng"]),
+    (r"[0-9.,]+.000.000", 0, ["000"]),
+    (r"(?iu)[0-9 \-]+[0-9] *(?:triệu|m)", 0, ["triệu", "m"]),
+    (r"\$(?:[0-9]+|,)", 0, ["$"]),
+    (r"(?i)[0-9,]+ *(?:USD|\$)+", 0, ["usd", "$"]),
+    (r"[0-9.,]+,000,000", 0, [",000,000"]),
 ]
 
 
@@ -314,7 +322,18 @@ def salary_bins_from_text(col: Column | str) -> Column:
     """Sorted bins of every salary mentioned; two lone bins are joined up."""
 
     def found(text: Column) -> Column:
-        return F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(g)) for p, g in SALARY_MENTIONS])
+        none = F.array().cast("array<string>")
+
+        def search(low: Column) -> Column:
+            hits = []
+            for pattern, group, needed in SALARY_MENTIONS:
+                possible = F.lit(False)
+                for part in needed:
+                    possible = possible | F.contains(low, F.lit(part))
+                hits.append(F.when(possible, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).otherwise(none))
+            return F.array_distinct(F.concat(*hits))
+
+        return F.coalesce(F.when(text.rlike("[0-9$]"), let(F.lower(text), search)), none)
 
     def fill(bins: Column) -> Column:
         spread = _bin_range(F.get(bins, F.lit(0)).cast("double"), F.get(bins, F.lit(1)).cast("double"))

@@ -19,6 +19,11 @@ WORD = r"\p{L}\p{N}_"
 SPACE = r"\s\x0B\x1C-\x1F\x85\p{Z}"
 BOUNDARY = rf"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
 
+# The same white space, character by character.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0" + "".join(
+    chr(code) for code in range(0x1000, 0x3001) if chr(code).isspace()
+)
+
 # Words ignored in company and title signatures.
 COMPANY_STOP_WORDS = (
     "cong ty tnhh mtv mtvv co phan cp tap doan doanh nghiep tmdv tm dv thuong mai dich vu "
@@ -37,7 +42,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(col: Column | str) -> Column:
     """Trim Unicode white space on both sides."""
-    return F.regexp_replace(_c(col), rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.trim(_c(col), F.lit(SPACES))
 
 
 def collapse_space(col: Column | str) -> Column:

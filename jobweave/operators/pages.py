@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.html import HEADINGS, Page, absolute_url, link_pairs, parse_page, url_path
 from ..functions.text import SPACE, let, norm_text, strip
-from .ranking import keep_first, renumber
+from ..session import cut_lineage
+from .ranking import keep_first, lookup, renumber
 
 # Site addresses, link forms, constants.
 HOSTS = {
@@ -251,7 +252,11 @@ def joboko_details(links: DataFrame, pages: DataFrame, strict: bool = False) ->
         "han_nop": joboko_deadline(page),
     } | {name: joboko_fact(page, labels) for name, labels in FACT_LABELS.items()}
     facts = parsed(pages).select(F.col("url").alias("link"), *[f.alias(n) for n, f in fields.items()])
-    rows = links.join(facts, "link", "inner" if strict else "left")
+    # rows without a link have no page, so they need not meet in one task
+    has_link = F.coalesce(F.col("link"), F.lit("")) != ""
+    rows = links.filter(has_link).join(facts, "link", "inner" if strict else "left")
+    if not strict:
+        rows = rows.unionByName(links.filter(~has_link), allowMissingColumns=True)
     blank = lambda name: F.coalesce(F.col(name), F.lit("")).alias(name)
     return rows.select(
         "stt",
@@ -439,11 +444,8 @@ def topcv_rows(cards: DataFrame, jobs: DataFrame, companies: DataFrame, order: l
     first = keep_first(cards, [url_path("job_url")], order)
     rows = first.join(jobs, "job_url", "left")
     rows = rows.withColumn("_company", F.coalesce("company_url_from_job", "company_url"))
-    found = companies.withColumnRenamed("company_url", "_company")
-    # rows without a company address hold no match, so they need not meet in one task
-    known = rows.filter("_company IS NOT NULL").join(found, "_company", "left")
-    unknown = rows.filter("_company IS NULL")
-    return renumber(known.unionByName(unknown, allowMissingColumns=True).drop("_company"), *order)
+    found = cut_lineage(companies.withColumnRenamed("company_url", "_company"))
+    return renumber(lookup(cut_lineage(rows), found, ["_company"]).drop("_company"), *order)
 
 
 # --- careerlink ---------------------------------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from ..session import cut_lineage
 
 _ROW = "_row_in_partition"
 _PARTITION_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
-HOT_SHARE = 1000  # a key above 1/1000 of all rows is hot, so at most this many keys are
+HOT_KEYS = 1000  # keys broadcast in a lookup; any other key holds less than 1/1000 of the rows
 
 
 def _placed(df: DataFrame, *order: Column | str) -> DataFrame:
@@ -55,25 +55,31 @@ def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column | str
     return first.select("_row.*")
 
 
-def lookup(df: DataFrame, values: DataFrame, keys: list[str], weight: str) -> DataFrame:
+def lookup(df: DataFrame, values: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
     """Left join to one row per key, safe for hot and null keys.
 
-    ``weight`` counts the rows of ``df`` that hold the key.  The hot keys, of
-    which there are at most ``HOT_SHARE``, are broadcast; the others are
-    shuffled; rows with a null key bypass the join.
+    The ``HOT_KEYS`` most frequent keys are broadcast with their values; every
+    other key holds less than one row in ``HOT_KEYS`` and is shuffled; rows with
+    a null key bypass the join.  ``weight`` names the column of ``values`` that
+    counts the rows of ``df`` per key; without it the keys are counted here, and
+    both inputs are read more than once.
     """
-    total = values.agg(F.sum(weight)).first()[0] or 0
     extra = [c for c in values.columns if c not in keys and c != weight]
-    is_hot = F.col(weight) * HOT_SHARE > F.lit(total)
-    hot = F.broadcast(values.filter(is_hot).drop(weight))
-    cold = values.filter(~is_hot).drop(weight)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     keyed = df.filter(complete)
+    if weight:
+        hot = values.orderBy(F.desc(weight), *keys).limit(HOT_KEYS).drop(weight)
+    else:
+        counts = keyed.groupBy(*keys).agg(F.count("*").alias("_rows"))
+        frequent = counts.orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS).select(*keys)
+        hot = F.broadcast(frequent).join(values, keys, "left").select(*keys, *extra)
+    hot = F.broadcast(hot)
+    values = values.select(*keys, *extra)
     no_value = [F.lit(None).cast(values.schema[c].dataType).alias(c) for c in extra]
     columns = [*df.columns, *extra]
     return (
         keyed.join(hot, keys).select(columns)
-        .unionByName(keyed.join(hot, keys, "left_anti").join(cold, keys, "left").select(columns))
+        .unionByName(keyed.join(hot, keys, "left_anti").join(values, keys, "left").select(columns))
         .unionByName(df.filter(~complete).select("*", *no_value).select(columns))
     )
 

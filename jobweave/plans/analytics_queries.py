@@ -16,7 +16,7 @@ from .derive import RAW, line_postings, line_postings_cte, postings, postings_ct
 from .extract import extract_features, extract_raw_features, extract_typed_features
 from .features import _BOTH, _bins_text_sql, _clean_sql, _match_sql, _salary_a_sql, _salary_b_sql, _VI
 from .matching_queries import lcs_sql
-from .registry import joined, query, sql_list, table
+from .registry import joined, query, sql_list, table, wide_table
 
 # --- standard record ------------------------------------------------------------------------------------------------
 
@@ -238,7 +238,7 @@ _DOC_TERMS = "(VALUES " + ", ".join(f"('{t}')" for t in terms.KNOWLEDGE) + ") AS
     f"SELECT term, count(*) AS count FROM documents, {_DOC_TERMS} WHERE contains(lower(text), lower(term)) GROUP BY term",
 )
 def knowledge_counts(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = wide_table(spark, sf, "documents", "text")
     return aggregates.term_counts(docs, vocab.vocab_match("text", terms.KNOWLEDGE))
 
 
@@ -349,7 +349,7 @@ def top_titles(spark, sf):
 )
 def top_skills(spark, sf):
     """Top-k report."""
-    return aggregates.term_counts(table(spark, sf, "documents"), vocab.extract_skills("text")).limit(10)
+    return aggregates.term_counts(wide_table(spark, sf, "documents", "text"), vocab.extract_skills("text")).limit(10)
 
 
 @query(

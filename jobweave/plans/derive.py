@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
 from .registry import table
 
 SALARY_FORMS = """CASE {k} % 20
@@ -132,11 +133,11 @@ def _select(columns: dict[str, str], names: tuple[str, ...]) -> list[str]:
 
 
 def postings(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    return table(spark, sf_dir, "part").selectExpr(*_select(POSTING, names))
+    return spread(table(spark, sf_dir, "part").selectExpr(*_select(POSTING, names)))
 
 
 def line_postings(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(*_select(LINE_POSTING, names))
+    return spread(table(spark, sf_dir, "lineitem").selectExpr(*_select(LINE_POSTING, names)))
 
 
 def postings_cte(*names: str) -> str:

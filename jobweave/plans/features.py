@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import experience, location, salary, schedule, terms, text, vocab
 from .derive import line_postings, line_postings_cte, postings, postings_cte
-from .registry import joined, query, sql_list, table
+from .registry import joined, query, sql_list, table, wide_table
 
 _SP = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 _W = r"\p{L}\p{N}_"
@@ -43,7 +43,7 @@ def _signature_sql(col: str) -> str:
     f"SELECT doc_id, md5({_clean_sql('text')}) AS cleaned, length({_clean_sql('text')}) AS n_clean FROM documents",
 )
 def text_clean(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = wide_table(spark, sf, "documents", "doc_id", "text")
     return docs.select("doc_id", text.clean_text("text").alias("c")).select(
         "doc_id", F.md5("c").alias("cleaned"), F.length("c").alias("n_clean")
     )
@@ -74,7 +74,7 @@ def text_composite_key(spark, sf):
 
 @query("text_strip_accents", f"SELECT doc_id, md5({_accents_sql('text')}) AS folded FROM documents")
 def text_strip_accents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(text.strip_accents("text")).alias("folded"))
+    return wide_table(spark, sf, "documents", "doc_id", "text").select("doc_id", F.md5(text.strip_accents("text")).alias("folded"))
 
 
 @query(
@@ -120,7 +120,7 @@ def text_fold_schedule(spark, sf):
 )
 def text_normal_forms(spark, sf):
     """Decompose, then recompose: a round trip through both normal forms."""
-    docs = table(spark, sf, "documents")
+    docs = wide_table(spark, sf, "documents", "doc_id", "text")
     return docs.select("doc_id", F.md5(text.normalize_unicode(text.normalize_unicode("text", "NFD"), "NFC")).alias("nfc"))
 
 
@@ -539,7 +539,7 @@ def _doc_query(name: str, entries: list[str], fn) -> None:
 
     @query(name, f"SELECT doc_id, {sql} AS found FROM documents")
     def run(spark, sf):
-        docs = table(spark, sf, "documents")
+        docs = wide_table(spark, sf, "documents", "doc_id", "text")
         return docs.select("doc_id", joined(fn(F.lit(""), F.col("text"))).alias("found"))
 
 
@@ -555,7 +555,7 @@ _doc_query("vocab_design_patterns_documents", terms.DESIGN_PATTERNS, vocab.extra
     "FROM documents",
 )
 def vocab_skills_documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", joined(vocab.extract_skills("text")).alias("found"))
+    return wide_table(spark, sf, "documents", "doc_id", "text").select("doc_id", joined(vocab.extract_skills("text")).alias("found"))
 
 
 @query(

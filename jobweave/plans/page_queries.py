@@ -16,7 +16,7 @@ from ..sources.schemas import DETAIL_ORDER
 from ..sources.sinks import in_order
 from .derive import postings, postings_cte
 from .features import _SP, _norm_sql
-from .registry import query, table
+from .registry import query, table, wide_table
 
 HOST = "https://pages.example"
 
@@ -31,13 +31,13 @@ def _plain_sql(col: str) -> str:
 
 @query("page_text", f"SELECT page_id, md5({_plain_sql('html')}) AS body FROM pages")
 def page_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(plain_text("html")).alias("body"))
+    return wide_table(spark, sf, "pages", "page_id", "html").select("page_id", F.md5(plain_text("html")).alias("body"))
 
 
 @query("page_text_parsed", f"SELECT page_id, md5({_plain_sql('html')}) AS body FROM pages")
 def page_text_parsed(spark, sf):
     """The same text by way of the element arrays."""
-    pages = pg.parsed(table(spark, sf, "pages").select("page_id", "html"))
+    pages = pg.parsed(wide_table(spark, sf, "pages", "page_id", "html"))
     return pages.select("page_id", F.md5(Page("page").all_text()).alias("body"))
 
 
@@ -50,7 +50,7 @@ _LINKS_SQL = f"""a AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<a\\b[^
 
 
 def _links(spark, sf):
-    return pg.listing_links(table(spark, sf, "pages"), "url", "html", "^/[a-zà-ÿ]", HOST)
+    return pg.listing_links(wide_table(spark, sf, "pages", "url", "html"), "url", "html", "^/[a-zà-ÿ]", HOST)
 
 
 @query("page_links", f"WITH {_LINKS_SQL} SELECT url, link, title FROM l")
@@ -74,7 +74,7 @@ def page_links_numbered(spark, sf):
     "len(regexp_extract_all(html, '<li>')) AS n_items FROM pages",
 )
 def page_headings(spark, sf):
-    pages = pg.parsed(table(spark, sf, "pages").select("page_id", "html"))
+    pages = pg.parsed(wide_table(spark, sf, "pages", "page_id", "html"))
     page = Page("page")
     return pages.select(
         "page_id",

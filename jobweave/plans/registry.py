@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The named columns of a table, spread over all cores for costly row work."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def joined(array: Column) -> Column:
     """Array as text, so that results compare the same everywhere."""
     return F.array_join(array.cast("array<string>"), ";")
