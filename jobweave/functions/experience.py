@@ -59,9 +59,7 @@ def english_experience(col: Column | str) -> Column:
 
 def vietnamese_experience(col: Column | str) -> Column:
     def body(text: Column) -> Column:
-        none = F.lit(False)
-        for phrase in NO_EXPERIENCE:
-            none = none | F.contains(text, F.lit(phrase))
+        none = text.rlike("|".join(NO_EXPERIENCE))
         spaced = F.when(text.rlike(NO_EXPERIENCE_SPACED), F.lit(0).cast("bigint"))
         return F.when(none, F.lit(0).cast("bigint")).otherwise(
             F.coalesce(_first_wording(text, VIETNAMESE_WORDINGS), spaced)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import SPACE, _c, let, strip
+from .text import SPACE, _c, constant, let, strip
 
 # Province names, in alphabetical order.
 PROVINCES = [
@@ -32,8 +32,8 @@ def _parts(col: Column) -> Column:
 
 def _first_in(names: list[str], text: Column, fold: bool = False) -> Column:
     """First listed name that is a substring of ``text``."""
-    pairs = F.array(
-        *[F.struct(F.lit(n.lower() if fold else n).alias("needle"), F.lit(n).alias("name")) for n in names]
+    pairs = constant(
+        [{"needle": n.lower() if fold else n, "name": n} for n in names], "array<struct<needle:string,name:string>>"
     )
     hit = let(F.lower(text) if fold else text, lambda t: F.filter(pairs, lambda p: F.contains(t, p["needle"])))
     return F.get(hit, F.lit(0))["name"]

@@ -6,12 +6,13 @@ under their own name (:func:`salary_range_a`, :func:`salary_range_b`).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BOUNDARY, SPACE, WORD, _c, compatibility_fold, let, strip
+from .text import BOUNDARY, SPACE, WORD, _c, compatibility_fold, constant, let, strip
 
 USD_TO_VND = 24000.0
 BIN_SIZE = 5
@@ -39,16 +40,16 @@ def _digits(number: Column) -> Column:
 
 def _decimal(number: Column) -> Column:
     """One comma or dot is a decimal point; several are thousands separators."""
-    marks = F.length(F.regexp_replace(number, "[^.,]", ""))
-    return F.when(marks <= 1, F.regexp_replace(number, ",", ".").try_cast("double")).otherwise(_digits(number))
+
+    def body(text: Column) -> Column:
+        return F.when(text.rlike("[.,].*[.,]"), _digits(text)).otherwise(F.translate(text, ",", ".").try_cast("double"))
+
+    return let(number, body)
 
 
 def unit_multiplier(unit: Column) -> Column:
     """Factor of a unit word, 1 when there is none."""
-    factor = F.lit(1.0)
-    for word, value in UNITS.items():
-        factor = F.when(F.lower(unit) == word, F.lit(value)).otherwise(factor)
-    return factor
+    return F.coalesce(F.try_element_at(constant(UNITS, "map<string,double>"), F.lower(unit)), F.lit(1.0))
 
 
 def _pair(low: Column, high: Column) -> Column:
@@ -67,9 +68,7 @@ def _prepare(text: Column) -> Column:
     """
 
     def body(low: Column) -> Column:
-        useful = low.rlike("[0-9]")
-        for phrase in NEGOTIABLE:
-            useful = useful & ~F.contains(low, F.lit(phrase))
+        useful = low.rlike("[0-9]") & ~low.rlike("|".join(NEGOTIABLE))
         dashed = F.translate(low, "–—−", "---")
         joined = F.when(F.contains(low, F.lit("to")), F.regexp_replace(dashed, f"{_S}to{_S}", "-")).otherwise(dashed)
         return F.when(useful, joined)
@@ -327,9 +326,7 @@ def salary_bins_from_text(col: Column | str) -> Column:
         def search(low: Column) -> Column:
             hits = []
             for pattern, group, needed in SALARY_MENTIONS:
-                possible = F.lit(False)
-                for part in needed:
-                    possible = possible | F.contains(low, F.lit(part))
+                possible = low.rlike("|".join(re.escape(part) for part in needed))
                 hits.append(F.when(possible, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).otherwise(none))
             return F.array_distinct(F.concat(*hits))
 

@@ -6,6 +6,7 @@ out: the constants below are the Unicode word, space and boundary classes.
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from collections.abc import Callable
@@ -40,6 +41,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def constant(value, ddl: str) -> Column:
+    """A nested constant in one expression; Catalyst folds it into a literal."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), ddl)
+
+
 def strip(col: Column | str) -> Column:
     """Trim Unicode white space on both sides."""
     return F.trim(_c(col), F.lit(SPACES))
@@ -145,7 +151,7 @@ def strip_accents(col: Column | str) -> Column:
 
 def signature_tokens(col: Column | str) -> Column:
     """Sorted distinct tokens of :func:`strip_accents` without stop words."""
-    stop = F.array(*[F.lit(w) for w in COMPANY_STOP_WORDS])
+    stop = constant(COMPANY_STOP_WORDS, "array<string>")
     tokens = F.array_except(F.split(strip_accents(col), " "), stop)
     return F.array_join(F.array_sort(F.array_remove(tokens, "")), " ")
 

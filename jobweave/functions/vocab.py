@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import terms
-from .text import WORD, _c, let
+from .text import WORD, _c, constant, let
 
 _EMPTY = "array<string>"
+_HIT = "position:int,value:string"
 
 
 def _literal(pattern: str) -> bool:
@@ -35,22 +36,25 @@ def vocab_match(
     items = vocab.items() if isinstance(vocab, Mapping) else [(v, v) for v in vocab]
     plain, patterns = [], []
     for position, (entry, value) in enumerate(items):
-        hit = F.struct(F.lit(position).alias("position"), F.lit(value).alias("value"))
+        hit = {"position": position, "value": value}
         if word_boundary:
             patterns.append((rf"(?iu)(?<![{WORD}])\Q{entry.strip()}\E(?![{WORD}])", hit))
         elif regex and not _literal(entry):
             patterns.append(("(?iu)" + entry.replace("+", r"\+").replace(".", r"[^\n]"), hit))
         else:
-            plain.append(F.struct(F.lit(entry.lower()).alias("needle"), hit.alias("hit")))
+            plain.append(hit | {"needle": entry.lower()})
 
     def scan(text: Column) -> Column:
-        found = F.array().cast("array<struct<position:int,value:string>>")
-        if plain:
-            hits = F.filter(F.array(*plain), lambda p: F.contains(text, p["needle"]))
-            found = F.transform(hits, lambda p: p["hit"])
+        needles = constant(plain, f"array<struct<{_HIT},needle:string>>")
+        found = F.filter(needles, lambda p: F.contains(text, p["needle"]))
         if patterns:
-            extra = F.array_compact(F.array(*[F.when(text.rlike(p), hit) for p, hit in patterns]))
-            found = F.array_sort(F.concat(found, extra))
+            extra = [F.when(text.rlike(p), constant(hit, f"struct<{_HIT}>")) for p, hit in patterns]
+            found = F.array_sort(
+                F.concat(
+                    F.transform(found, lambda p: F.struct(p["position"].alias("position"), p["value"].alias("value"))),
+                    F.array_compact(F.array(*extra)),
+                )
+            )
         return F.transform(found, lambda h: h["value"])
 
     text = F.lower(_c(col)) if plain else _c(col)
@@ -99,8 +103,7 @@ def extract_skills(text) -> Column:
 
 def label_of(term: Column) -> Column:
     """Category of a knowledge term, or null."""
-    pairs = [F.lit(x) for pair in terms.KNOWLEDGE_LABELS.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), term)
+    return F.try_element_at(constant(terms.KNOWLEDGE_LABELS, "map<string,string>"), term)
 
 
 def grouped_knowledge(knowledge: Column | str) -> Column:

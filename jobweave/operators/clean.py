@@ -138,8 +138,8 @@ def clean_source(df: DataFrame, source: str, form: str | None = None, extended:
             "country": F.lit("Vietnam"),
         }
     if dialect.salary in has:
-        pay = salary_range_a(_q(dialect.salary))
-        out |= {"salary_text": _q(dialect.salary), "salary_min": pay["min"], "salary_max": pay["max"]}
+        df = df.withColumn("_pay", salary_range_a(_q(dialect.salary)))
+        out |= {"salary_text": _q(dialect.salary), "salary_min": F.col("_pay.min"), "salary_max": F.col("_pay.max")}
     elif dialect.salary_always:
         number = F.lit(None).cast("double")
         out |= {"salary_text": null, "salary_min": number, "salary_max": number}
@@ -153,7 +153,7 @@ def clean_source(df: DataFrame, source: str, form: str | None = None, extended:
     if dialect.work_time:
         out["work_time"] = clean_text(_q(dialect.work_time), form) if dialect.work_time in has else null
     out |= {name: null for name in blank}
-    return df.withColumns(out)
+    return df.withColumns(out).drop("_pay")
 
 
 def clean_all(frames: dict[str, DataFrame], **options) -> dict[str, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +39,7 @@ def _has(text: Column, needle: str) -> Column:
 
 
 def _has_any(text: Column, needles: list[str]) -> Column:
-    hit = F.lit(False)
-    for needle in needles:
-        hit = hit | _has(text, needle)
-    return hit
+    return F.lower(text).rlike("|".join(re.escape(needle.lower()) for needle in needles))
 
 
 def _with(items: Column, field: str, value: str, first: bool = False) -> Column:

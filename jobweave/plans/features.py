@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import experience, location, salary, schedule, terms, text, vocab
+from ..operators.aggregates import with_salary
+from ..session import compute_once
 from .derive import line_postings, line_postings_cte, postings, postings_cte
 from .registry import joined, query, sql_list, table, wide_table
 
@@ -399,8 +401,8 @@ def salary_bins_text(spark, sf):
 def salary_known(spark, sf):
     """Postings whose salary names at least one bin."""
     p = line_postings(spark, sf, "posting_id", "salary_text")
-    p = p.select("posting_id", salary.salary_bins_from_text("salary_text").alias("bins"))
-    return p.filter(F.size("bins") > 0).select("posting_id", joined(F.col("bins")).alias("bins"))
+    p = compute_once(p, "Salaries", salary.salary_bins_from_text("salary_text"))
+    return with_salary(p).select("posting_id", joined(F.col("Salaries")).alias("bins"))
 
 
 # --- experience, age, schedule --------------------------------------------------------------------------------------

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -28,6 +29,7 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     master = master or os.getenv("SPARK_MASTER")
     if master:
@@ -71,3 +73,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters must not evaluate a second time.
+
+    Catalyst copies a column's expression into filters it pushes below the
+    projection; it does not push them below a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
