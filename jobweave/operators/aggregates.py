@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,12 @@ from ..functions.vocab import label_table
 NULL_WORD = "null"
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """One-row frames side by side, without a cross join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in stacked.columns])
+
+
 def term_counts(df: DataFrame, array: Column | str, name: str = "term") -> DataFrame:
     """How often each array element occurs, most frequent first."""
     terms = df.select(F.explode(array).alias(name))

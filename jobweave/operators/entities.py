@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import may_reach, mean_ratio, ratio
 from ..functions.text import _c, strip, strip_accents
 from ..session import cut_lineage
+from .ranking import lookup
 
 THRESHOLD = 0.8
 COMMON_GRAM = 1000  # a letter pair in more names than this is combined with a second one
@@ -55,9 +56,13 @@ def leader_groups(
     ``postings`` holds one row ``id, key, node`` per node and key; ids are
     unique and give the order.
     """
-    counts = postings.groupBy("id").agg(F.count("*").alias("n_keys"))
-    postings = cut_lineage(postings.join(counts, "id"))
-    undecided, leaders, window = postings, [], FIRST_WINDOW
+    ids = postings.select("id").distinct()
+    met = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    shared = postings.join(met, "key", "left_semi")
+    postings = cut_lineage(shared.withColumn("n_keys", F.count("*").over(Window.partitionBy("id"))))
+    # whoever shares no key with anyone leads at once
+    leaders = [cut_lineage(ids.join(postings, "id", "left_anti"))]
+    undecided, window = postings, FIRST_WINDOW
     while not undecided.isEmpty():
         place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
         front = undecided.withColumn("place", place).filter(F.col("place") <= window).drop("place")
@@ -71,8 +76,6 @@ def leader_groups(
         decided = found.unionByName(joined).distinct()
         undecided = cut_lineage(undecided.join(decided, "id", "left_anti"))
         window = min(window * 2, LARGEST_WINDOW)
-    if not leaders:
-        return postings.select("id", F.col("id").alias("leader"), F.lit(1.0).alias("score")).limit(0)
     all_leaders = reduce(DataFrame.unionByName, leaders)
     of_leader = postings.join(all_leaders, "id", "left_semi")
     of_member = postings.join(all_leaders, "id", "left_anti")
@@ -240,3 +243,10 @@ def similar_records(
         threshold,
     )
     return distinct.join(groups, "id").select(*fields, "id", "leader", "score", "copies")
+
+
+def similar_rows(df: DataFrame, groups: DataFrame, row_id: str, fields: list[str]) -> DataFrame:
+    """``row id, leader``: the group of every single row, copies included."""
+    values = [F.coalesce(F.lower(_c(f)), F.lit("")).alias(f) for f in fields]
+    rows = df.select(row_id, *values)
+    return lookup(rows, groups.select(*fields, "leader", "copies"), fields, "copies").select(row_id, "leader")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .aggregates import one_row
 from .clean import KEY_COLUMNS, combine, key_columns, map_raw_for_matching
 from .dedup import duplicate_groups
 from .entities import resolve_entities, similar_records
@@ -26,7 +27,7 @@ def duplicate_report(groups: DataFrame, df: DataFrame) -> DataFrame:
         F.coalesce(F.sum("group_size"), F.lit(0)).alias("duplicate_count"), F.count("*").alias("duplicate_groups")
     )
     total = df.agg(F.count("*").alias("total_records"))
-    return total.join(F.broadcast(found)).select(
+    return one_row(total, found).select(
         "total_records",
         "duplicate_count",
         F.try_divide(F.col("duplicate_count").cast("double"), F.col("total_records")).alias("duplicate_rate"),
@@ -78,11 +79,7 @@ def matching_report(df: DataFrame, row_id: str, keys: list[str] | None = None) -
     similar = cut_lineage(similar_records(keyed, row_id, keys))
     title, company = keys[0], keys[1] if len(keys) > 1 else keys[0]
     mappings, statistics = resolve_entities(keyed, row_id, company, title)
-    report = (
-        duplicate_report(duplicates, keyed)
-        .join(F.broadcast(similarity_report(similar)))
-        .join(F.broadcast(entity_report(statistics)))
-    )
+    report = one_row(duplicate_report(duplicates, keyed), similarity_report(similar), entity_report(statistics))
     report = report.withColumn(
         "similarity_rate", F.try_divide(F.col("similar_records").cast("double"), F.col("total_records"))
     ).withColumn(

@@ -58,13 +58,25 @@ def parsed(pages: DataFrame, html: str = "html", name: str = "page") -> DataFram
 # --- links ------------------------------------------------------------------------------------------------------------
 
 
+def _unique_links(anchors: Column, host: str) -> Column:
+    """``href, title`` structs with absolute addresses, first occurrence per page; no shuffle is needed."""
+    links = F.transform(
+        anchors, lambda a: F.struct(absolute_url(a["href"], host).alias("link"), a["title"].alias("title"))
+    )
+
+    def first_only(found: Column) -> Column:
+        addresses = F.transform(found, lambda l: l["link"])
+        return let(
+            addresses, lambda names: F.filter(found, lambda l, i: F.array_position(names, l["link"]) == i + 1)
+        )
+
+    return let(links, first_only)
+
+
 def listing_links(pages: DataFrame, url: str, html: str, pattern: str, host: str) -> DataFrame:
     """``url, position, link, title``: matching links of each listing page, first occurrence per page."""
-    pairs = pages.select(url, F.posexplode(link_pairs(html, pattern)).alias("position", "pair"))
-    links = pairs.select(
-        url, "position", absolute_url(F.col("pair.href"), host).alias("link"), F.col("pair.title").alias("title")
-    )
-    return keep_first(links, [url, "link"], ["position"])
+    links = _unique_links(link_pairs(html, pattern), host)
+    return pages.select(url, F.posexplode(links).alias("position", "a")).select(url, "position", "a.*")
 
 
 def joboko_links(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -75,14 +87,12 @@ def joboko_links(pages: DataFrame, url: str = "url") -> DataFrame:
         page.find("a"), lambda a: F.contains(a["href"], F.lit("/viec-lam-")) & F.contains(a["href"], F.lit("-xvi"))
     )
     anchors = let(listed, lambda l: F.when(F.size(l) > 0, l).otherwise(anywhere))
-    rows = pages.select(
-        url,
-        F.posexplode(
-            F.transform(anchors, lambda a: F.struct(strip(a["href"]).alias("href"), page.text(a, "", collapse=False).alias("title")))
-        ).alias("position", "a"),
-    ).filter(F.col("a.href").rlike(JOBOKO_LINK))
-    links = rows.select(url, "position", absolute_url(F.col("a.href"), HOSTS["joboko"]).alias("link"), F.col("a.title").alias("title"))
-    return keep_first(links, [url, "link"], ["position"])
+    titled = F.transform(
+        anchors, lambda a: F.struct(strip(a["href"]).alias("href"), page.text(a, "", collapse=False).alias("title"))
+    )
+    postings = F.filter(titled, lambda a: a["href"].rlike(JOBOKO_LINK))
+    rows = pages.select(url, F.posexplode(_unique_links(postings, HOSTS["joboko"])).alias("position", "a"))
+    return rows.select(url, "position", "a.*")
 
 
 def careerlink_links(pages: DataFrame, url: str = "url") -> DataFrame:

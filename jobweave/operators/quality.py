@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .aggregates import one_row
+
 ERROR_PENALTY, WARNING_PENALTY = 5, 2
 MAX_EXPERIENCE = 50
 REQUIRED = ["job_title_clean", "company_name", "source"]
@@ -92,7 +94,7 @@ def cleaning_summary(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -
             if name not in row.columns:
                 row = row.withColumn(name, F.lit(None).cast(kind))
         before = raw[source].agg(F.count("*").alias("original_rows"))
-        part = row.join(F.broadcast(before)).select(
+        part = one_row(row, before).select(
             F.lit(source).alias("source"),
             "original_rows",
             F.col("rows").alias("cleaned_rows"),

@@ -8,10 +8,12 @@ from ..functions import salary, terms, vocab
 from ..functions.location import CITIES, vietnamese_city
 from ..functions.experience import vietnamese_experience
 from ..operators import aggregates, clean, quality, schema_match
+from ..operators.aggregates import one_row
 from ..sources.readers import source_profile
 from ..sources.schemas import STANDARD_COLUMNS
 from ..sources.sinks import documents, in_order, renamed
 from . import features as fx
+from . import jobs
 from .derive import RAW, line_postings, line_postings_cte, postings, postings_cte, raw_frames
 from .extract import extract_features, extract_raw_features, extract_typed_features
 from .features import _BOTH, _bins_text_sql, _clean_sql, _match_sql, _salary_a_sql, _salary_b_sql, _VI
@@ -553,18 +555,24 @@ def schema_mapping(spark, sf):
 
 @query(
     "schema_compatibility",
-    f"WITH RECURSIVE {postings_cte()}, {_MAPPING_SQL}, n AS (SELECT count(DISTINCT source) AS n FROM postings) "
+    f"WITH RECURSIVE {postings_cte()}, {_MAPPING_SQL}, {_FILLED_SQL}, n AS (SELECT count(DISTINCT source) AS n FROM postings) "
     "SELECT field, array_to_string(list_sort(list(source)), ';') AS sources, count(*) / any_value(n) AS coverage, "
     "count(*) = any_value(n) AS is_common, count(*) / any_value(n) >= 0.5 AS is_compatible, 'string' AS most_common_type, "
-    "1.0 AS consistency_score FROM mapped, n GROUP BY field",
+    "1.0 AS consistency_score, sum(filled) AS filled FROM mapped JOIN filled USING (source, \"column\"), n GROUP BY field",
 )
 def schema_compatibility(spark, sf):
-    _, result = _analysis(spark, sf)
-    fields = result["fields"]
+    """Agreement of the sources per standard field, with the number of values they hold."""
+    frames, result = _analysis(spark, sf)
+    profile = source_profile(frames)
+    filled = profile.select("source", "column", (F.col("rows") - F.col("nulls")).alias("filled"))
+    values = result["mapping"].join(filled, ["source", "column"]).groupBy("field").agg(F.sum("filled").alias("filled"))
+    fields = result["fields"].join(values, "field")
     return fields.withColumn("sources", joined(F.col("sources"))).drop("all_types")
 
 
-@query("schema_overall")
-def schema_overall(spark, sf):
-    _, result = _analysis(spark, sf)
-    return result["overall"]
+@query("overall_quality")
+def overall_quality(spark, sf):
+    """Source scores, schema score and matching score of the three raw sources in one number."""
+    raw = raw_frames(spark, sf)
+    result = jobs.analyze(raw, clean.clean_all(raw), ["posting_id"])
+    return one_row(result.overall, result.schema["overall"], result.matching.report.drop("recommendations"))
