@@ -49,12 +49,17 @@ def _pairs(early: DataFrame, late: DataFrame, prefilter: PairExpr, score: PairEx
 
 
 def leader_groups(
-    postings: DataFrame, prefilter: PairExpr, score: PairExpr, threshold: float = THRESHOLD
+    postings: DataFrame,
+    prefilter: PairExpr,
+    score: PairExpr,
+    threshold: float = THRESHOLD,
+    first: bool = False,
 ) -> DataFrame:
     """``id, leader, score`` for every id.
 
     ``postings`` holds one row ``id, key, node`` per node and key; ids are
-    unique and give the order.
+    unique and give the order.  A member joins its most similar leader, or with
+    ``first`` its earliest one.
     """
     ids = postings.select("id").distinct()
     met = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
@@ -80,10 +85,10 @@ def leader_groups(
     of_leader = postings.join(all_leaders, "id", "left_semi")
     of_member = postings.join(all_leaders, "id", "left_anti")
     matches = _pairs(of_leader, of_member, prefilter, score, threshold)
-    best = matches.groupBy(F.col("late_id").alias("id")).agg(
-        F.min(F.struct((-F.col("score")).alias("s"), F.col("early_id").alias("leader"))).alias("best")
-    )
-    members = best.select("id", F.col("best.leader").alias("leader"), (-F.col("best.s")).alias("score"))
+    rank = F.lit(0.0) if first else -F.col("score")
+    choice = F.struct(rank.alias("rank"), F.col("early_id").alias("leader"), F.col("score"))
+    best = matches.groupBy(F.col("late_id").alias("id")).agg(F.min(choice).alias("best"))
+    members = best.select("id", "best.leader", "best.score")
     return all_leaders.select("id", F.col("id").alias("leader"), F.lit(1.0).alias("score")).unionByName(members)
 
 
@@ -200,13 +205,39 @@ def record_similarity(left: Column, right: Column, fields: list[str]) -> Column:
     return mean_ratio([(left[f], right[f]) for f in fields])
 
 
-def two_field_keys(fields: list[str]) -> Column:
-    """Blocking keys of a record: any two of its fields agree after folding.
+def _similarity_bound(left: Column, right: Column, fields: list[str]) -> Column:
+    """Upper bound of :func:`record_similarity` inside the JVM, from edit distances."""
+    total, filled = F.lit(0.0), F.lit(0)
+    for f in fields:
+        a, b = left[f], right[f]
+        both = (a != "") & (b != "")
+        bound = 1 - F.levenshtein(a, b) / (F.char_length(a) + F.char_length(b))
+        total = total + F.when(~both, F.lit(0.0)).when(a == b, F.lit(1.0)).otherwise(bound)
+        filled = filled + F.when(both, 1).otherwise(0)
+    return F.coalesce(F.try_divide(total, filled), F.lit(0.0))
+
+
+def field_keys(records: DataFrame, fields: list[str], threshold: float) -> DataFrame:
+    """``id, key``: records whose mean similarity reaches the threshold share a key.
 
-    A mean of 0.8 over three fields cannot come from one field alone; at least
-    two must be close.  Records are compared when two of them are the same up
-    to case, accents and punctuation.
+    A mean that reaches the threshold needs one field that does, so the
+    similarity keys of the single fields lose nothing.  Keys are made once per
+    distinct value and looked up; a frequent value is no hot join key.
     """
+    result = None
+    for f in fields:
+        values = records.filter(F.col(f) != "").groupBy(f).agg(F.count("*").alias("n_records"))
+        values = cut_lineage(values)
+        keys = similarity_keys(values.select(F.col(f).alias("id"), F.col(f).alias("text")), threshold)
+        per_value = keys.groupBy(F.col("id").alias(f)).agg(F.collect_list("key").alias("keys"))
+        found = lookup(records.select("id", f), values.join(per_value, f), [f], "n_records")
+        part = found.select("id", F.explode("keys").alias("key")).withColumn("key", F.concat(F.lit(f"{f}\x1f"), "key"))
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+def two_field_keys(fields: list[str]) -> Column:
+    """Coarser and cheaper keys: any two fields agree up to case, accents and punctuation."""
     folded = {f: strip_accents(F.coalesce(_c(f), F.lit(""))) for f in fields}
     keys = [
         F.when((folded[a] != "") & (folded[b] != ""), F.concat_ws("\x1f", F.lit(f"{a}+{b}"), folded[a], folded[b]))
@@ -223,24 +254,28 @@ def similar_records(
     threshold: float = THRESHOLD,
     keys: Column | None = None,
 ) -> DataFrame:
-    """``row id, leader, score`` for every row, by greedy leader grouping.
+    """``fields, id, leader, score, copies``: greedy groups of similar records.
 
-    Equal records are collapsed first, so copies cost nothing, and rejoin their
-    first copy's group.
+    A record joins the earliest leader it is similar to.  Equal records are
+    collapsed first, so copies cost nothing.  By default no similar pair is
+    lost; ``keys`` (an array column such as :func:`two_field_keys`) compares
+    only records that share one of the given blocking keys.
     """
     values = [F.coalesce(F.lower(_c(f)), F.lit("")).alias(f) for f in fields]
     rows = df.select(F.col(row_id).alias("row"), *values)
     distinct = cut_lineage(rows.groupBy(*fields).agg(F.min("row").alias("id"), F.count("*").alias("copies")))
-    own = F.array(F.concat(F.lit("="), F.col("id").cast("string")))
-    blocked = keys if keys is not None else two_field_keys(fields)
-    postings = distinct.select(
-        "id", F.struct(*fields).alias("node"), F.explode(F.array_distinct(F.concat(blocked, own))).alias("key")
-    )
+    if keys is None:
+        blocked = field_keys(distinct, fields, threshold)
+    else:
+        blocked = distinct.select("id", F.explode(F.array_distinct(keys)).alias("key"))
+    own = distinct.select("id", F.concat(F.lit("="), F.col("id").cast("string")).alias("key"))
+    nodes = distinct.select("id", F.struct(*fields).alias("node"))
     groups = leader_groups(
-        postings,
-        lambda early, late: F.lit(True),
+        blocked.unionByName(own).join(nodes, "id"),
+        lambda early, late: _similarity_bound(early, late, fields) >= threshold - 1e-9,
         lambda early, late: record_similarity(early, late, fields),
         threshold,
+        first=True,
     )
     return distinct.join(groups, "id").select(*fields, "id", "leader", "score", "copies")
 

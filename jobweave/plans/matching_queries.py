@@ -301,13 +301,52 @@ def entity_companies(spark, sf):
     return mapping.select("name", "canonical")
 
 
+@query("similar_records_blocked")
+def similar_records_blocked(spark, sf):
+    """Compared only where two fields agree, over the larger postings table."""
+    p = postings(spark, sf, "posting_id", "title", "company", "location")
+    fields = ["title", "company", "location"]
+    groups = entities.similar_records(p, "posting_id", fields, keys=entities.two_field_keys(fields))
+    return groups.select("id", "leader", F.round("score", 9).alias("score"), "copies")
+
+
 @query("entity_statistics")
 def entity_statistics(spark, sf):
     _, statistics = entities.resolve_entities(_keyed(spark, sf), "posting_id")
     return statistics
 
 
-@query("similar_records")
+def _field_ratio_sql(name: str, field: str) -> str:
+    """CTEs ``{name}`` holding the ratio of any two distinct values of a field."""
+    pairs = f"{name}_pairs"
+    chain = lcs_sql(pairs).replace("chars AS", f"{name}_chars AS").replace("FROM chars", f"FROM {name}_chars")
+    chain = chain.replace("dp(", f"{name}_dp(").replace("FROM dp", f"FROM {name}_dp").replace("ratios AS", f"{name} AS")
+    return f"""{pairs} AS (SELECT DISTINCT l.v AS a, r.v AS b FROM (SELECT DISTINCT {field} AS v FROM records WHERE {field} <> '') l,
+      (SELECT DISTINCT {field} AS v FROM records WHERE {field} <> '') r), {chain}"""
+
+
+@query(
+    "similar_records",
+    f"""WITH RECURSIVE {_KEYED_SQL}, records AS (SELECT t, c, l, min(posting_id) AS id, count(*) AS copies FROM
+      (SELECT posting_id, lower(coalesce(job_title_clean, '')) AS t, lower(coalesce(company_name, '')) AS c,
+        lower(coalesce(location_clean, '')) AS l FROM keyed) GROUP BY t, c, l),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY id) AS i FROM records),
+    {_field_ratio_sql('rt', 't')}, {_field_ratio_sql('rc', 'c')}, {_field_ratio_sql('rl', 'l')},
+    near AS (SELECT y.i AS li, x.i AS ei, (coalesce(rt.ratio, 0) + coalesce(rc.ratio, 0) + coalesce(rl.ratio, 0)) /
+        nullif((rt.ratio IS NOT NULL)::INT + (rc.ratio IS NOT NULL)::INT + (rl.ratio IS NOT NULL)::INT, 0) AS score
+      FROM ranked x JOIN ranked y ON x.i < y.i LEFT JOIN rt ON rt.a = x.t AND rt.b = y.t
+      LEFT JOIN rc ON rc.a = x.c AND rc.b = y.c LEFT JOIN rl ON rl.a = x.l AND rl.b = y.l),
+    close AS (SELECT * FROM near WHERE score >= 0.8),
+    seen AS (SELECT i, list(ei) FILTER (WHERE ei IS NOT NULL) AS es FROM ranked LEFT JOIN close ON close.li = i GROUP BY i),
+    walk(i, leaders) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL
+      SELECT s.i, CASE WHEN list_has_any(leaders, coalesce(s.es, [])) THEN leaders ELSE list_append(leaders, s.i) END
+      FROM walk JOIN seen s ON s.i = walk.i + 1),
+    leaders AS (SELECT unnest(leaders) AS i FROM walk WHERE i = (SELECT count(*) FROM ranked)),
+    chosen AS (SELECT li, min(ei) AS ei, arg_min(score, ei) AS score FROM close WHERE ei IN (SELECT i FROM leaders)
+      AND li NOT IN (SELECT i FROM leaders) GROUP BY li)
+    SELECT r.id, coalesce(x.id, r.id) AS leader, round(coalesce(chosen.score, 1), 9) AS score, r.copies FROM ranked r
+    LEFT JOIN chosen ON chosen.li = r.i LEFT JOIN ranked x ON x.i = chosen.ei""",
+)
 def similar_records(spark, sf):
     groups = entities.similar_records(_keyed(spark, sf), "posting_id", KEYS)
     return groups.select("id", "leader", F.round("score", 9).alias("score"), "copies")
