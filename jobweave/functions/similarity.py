@@ -37,16 +37,18 @@ def ratio(a: Column | str, b: Column | str) -> Column:
     return _ratio(_c(a), _c(b))
 
 
+def length_bound(n: Column, m: Column) -> Column:
+    """Upper bound of the ratio of two texts with these lengths."""
+    return 1 - F.abs(n - m) / F.greatest(n + m, F.lit(1))
+
+
 def may_reach(a: Column, b: Column, threshold: float) -> Column:
-    """Cheap necessary condition for ``ratio(a, b) >= threshold``, inside the JVM.
+    """Necessary condition for ``ratio(a, b) >= threshold``, inside the JVM.
 
-    Bounds the ratio by the lengths, then by the edit distance, which never
-    exceeds insertions plus deletions.
+    The edit distance never exceeds insertions plus deletions.
     """
-    n, m = F.char_length(a), F.char_length(b)
-    budget = F.floor(F.lit(1 - threshold + 1e-9) * (n + m)).cast("int")
-    close = F.call_function("levenshtein", a, b, budget) >= 0
-    return F.when(F.abs(n - m) <= budget, close).otherwise(False)
+    budget = F.floor(F.lit(1 - threshold + 1e-9) * (F.char_length(a) + F.char_length(b))).cast("int")
+    return F.call_function("levenshtein", a, b, budget) >= 0
 
 
 def mean_ratio(pairs: list[tuple[Column, Column]]) -> Column:

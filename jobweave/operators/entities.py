@@ -18,12 +18,13 @@ key) x (members of the key); it never pairs up a whole key.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import may_reach, mean_ratio, ratio
+from ..functions.similarity import length_bound, may_reach, mean_ratio, ratio
 from ..functions.text import _c, strip, strip_accents
 from ..session import cut_lineage
 from .ranking import lookup
@@ -31,60 +32,77 @@ from .ranking import lookup
 THRESHOLD = 0.8
 COMMON_GRAM = 1000  # a letter pair in more names than this is combined with a second one
 BROADCAST_GRAMS = 200_000
-FIRST_WINDOW, LARGEST_WINDOW = 32, 512
+FIRST_WINDOW, LARGEST_WINDOW = 128, 512
 
-# (earlier struct, later struct) -> condition or score
+# (earlier, later) -> condition or score
 PairExpr = Callable[[Column, Column], Column]
 
 
-def _pairs(early: DataFrame, late: DataFrame, prefilter: PairExpr, score: PairExpr, threshold: float) -> DataFrame:
-    """Similar pairs ``early_id, late_id, score`` among rows that share a key."""
-    e = early.select("key", F.col("id").alias("early_id"), F.col("node").alias("early"))
-    l = late.select("key", F.col("id").alias("late_id"), F.col("node").alias("late"))
-    met = e.join(l, (e["key"] == l["key"]) & (F.col("early_id") < F.col("late_id")))
-    met = met.filter(prefilter(F.col("early"), F.col("late"))).select("early_id", "late_id", "early", "late")
-    met = met.dropDuplicates(["early_id", "late_id"])
-    scored = met.select("early_id", "late_id", score(F.col("early"), F.col("late")).alias("score"))
-    return scored.filter(F.col("score") >= threshold)
+@dataclass(frozen=True)
+class Similarity:
+    """Three tests of a pair, from cheap to exact.
 
+    ``lengths`` compares the text lengths where two postings meet, which
+    happens once per shared key; ``bound`` and ``score`` see the texts, once
+    per pair.
+    """
 
-def leader_groups(
-    postings: DataFrame,
-    prefilter: PairExpr,
-    score: PairExpr,
-    threshold: float = THRESHOLD,
-    first: bool = False,
-) -> DataFrame:
-    """``id, leader, score`` for every id.
-
-    ``postings`` holds one row ``id, key, node`` per node and key; ids are
-    unique and give the order.  A member joins its most similar leader, or with
+    nodes: DataFrame
+    lengths: PairExpr
+    bound: PairExpr
+    score: PairExpr
+    threshold: float = THRESHOLD
+
+    def pairs(self, early: DataFrame, late: DataFrame) -> DataFrame:
+        """Similar pairs ``early_id, late_id, score`` among postings that share a key.
+
+        Postings carry ids and lengths only; the texts are joined to the
+        distinct pairs afterwards.
+        """
+        e = early.select("key", F.col("id").alias("early_id"), F.col("sizes").alias("early_sizes"))
+        l = late.select("key", F.col("id").alias("late_id"), F.col("sizes").alias("late_sizes"))
+        met = e.join(l, (e["key"] == l["key"]) & (F.col("early_id") < F.col("late_id")))
+        met = met.filter(self.lengths(F.col("early_sizes"), F.col("late_sizes")))
+        met = met.select("early_id", "late_id").distinct()
+        of = lambda name: self.nodes.select(F.col("id").alias(f"{name}_id"), F.col("node").alias(name))
+        texts = met.join(of("early"), "early_id").join(of("late"), "late_id")
+        nodes = F.col("early"), F.col("late")
+        scored = texts.filter(self.bound(*nodes)).select("early_id", "late_id", self.score(*nodes).alias("score"))
+        return scored.filter(F.col("score") >= self.threshold)
+
+
+def leader_groups(keys: DataFrame, similarity: Similarity, first: bool = False) -> DataFrame:
+    """``id, leader, score`` for every node of ``similarity.nodes`` (``id, node, sizes``).
+
+    ``keys`` holds one row ``id, key`` per node and blocking key; ids are unique
+    and give the order.  A member joins its most similar leader, or with
     ``first`` its earliest one.
     """
-    ids = postings.select("id").distinct()
-    met = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    shared = postings.join(met, "key", "left_semi")
-    postings = cut_lineage(shared.withColumn("n_keys", F.count("*").over(Window.partitionBy("id"))))
+    nodes = similarity.nodes
+    keys = cut_lineage(keys)
+    met = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    shared = keys.join(met, "key", "left_semi").withColumn("n_keys", F.count("*").over(Window.partitionBy("id")))
+    postings = cut_lineage(shared.join(nodes.select("id", "sizes"), "id"))
     # whoever shares no key with anyone leads at once
-    leaders = [cut_lineage(ids.join(postings, "id", "left_anti"))]
+    leaders = [cut_lineage(nodes.select("id").join(postings, "id", "left_anti"))]
     undecided, window = postings, FIRST_WINDOW
     while not undecided.isEmpty():
         place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
         front = undecided.withColumn("place", place).filter(F.col("place") <= window).drop("place")
         in_sight = front.groupBy("id", "n_keys").agg(F.count("*").alias("n")).filter("n = n_keys").select("id")
         visible = front.join(in_sight, "id", "left_semi")
-        held_back = _pairs(front, visible, prefilter, score, threshold).select(F.col("late_id").alias("id"))
+        held_back = similarity.pairs(front, visible).select(F.col("late_id").alias("id"))
         found = cut_lineage(in_sight.join(held_back, "id", "left_anti"))
         leaders.append(found)
         new_rows = undecided.join(found, "id", "left_semi")
-        joined = _pairs(new_rows, undecided, prefilter, score, threshold).select(F.col("late_id").alias("id"))
+        joined = similarity.pairs(new_rows, undecided).select(F.col("late_id").alias("id"))
         decided = found.unionByName(joined).distinct()
         undecided = cut_lineage(undecided.join(decided, "id", "left_anti"))
         window = min(window * 2, LARGEST_WINDOW)
     all_leaders = reduce(DataFrame.unionByName, leaders)
     of_leader = postings.join(all_leaders, "id", "left_semi")
     of_member = postings.join(all_leaders, "id", "left_anti")
-    matches = _pairs(of_leader, of_member, prefilter, score, threshold)
+    matches = similarity.pairs(of_leader, of_member)
     rank = F.lit(0.0) if first else -F.col("score")
     choice = F.struct(rank.alias("rank"), F.col("early_id").alias("leader"), F.col("score"))
     best = matches.groupBy(F.col("late_id").alias("id")).agg(F.min(choice).alias("best"))
@@ -169,14 +187,19 @@ def entity_mapping(df: DataFrame, name: str, row_id: str, threshold: float = THR
     low = F.lower("name")
     variants = names.select("id", F.explode(F.array_distinct(F.array(strip(low), low))).alias("text"))
     keys = similarity_keys(variants, threshold)
-    nodes = names.select("id", F.struct(strip(low).alias("probe"), low.alias("text")).alias("node"))
-    postings = keys.join(nodes, "id")
-    groups = leader_groups(
-        postings,
+    nodes = names.select(
+        "id",
+        F.struct(strip(low).alias("probe"), low.alias("text")).alias("node"),
+        F.array(F.char_length(strip(low)), F.char_length(low)).alias("sizes"),
+    )
+    similarity = Similarity(
+        cut_lineage(nodes),
+        lambda early, late: length_bound(late[0], early[1]) >= threshold - 1e-9,
         lambda early, late: may_reach(late["probe"], early["text"], threshold),
         lambda early, late: ratio(late["probe"], early["text"]),
         threshold,
     )
+    groups = leader_groups(keys, similarity)
     canonical = names.select(F.col("id").alias("leader"), F.col("name").alias("canonical"))
     return names.join(groups, "id").join(canonical, "leader").select("name", "canonical", "score", "id")
 
@@ -205,18 +228,20 @@ def record_similarity(left: Column, right: Column, fields: list[str]) -> Column:
     return mean_ratio([(left[f], right[f]) for f in fields])
 
 
-def _similarity_bound(left: Column, right: Column, fields: list[str]) -> Column:
-    """Upper bound of :func:`record_similarity` inside the JVM, from edit distances."""
+def _mean_bound(pairs: list[tuple[Column, Column, Column]]) -> Column:
+    """Mean of the per-field bounds ``(filled in a, filled in b, bound)`` over the fields both fill."""
     total, filled = F.lit(0.0), F.lit(0)
-    for f in fields:
-        a, b = left[f], right[f]
-        both = (a != "") & (b != "")
-        bound = 1 - F.levenshtein(a, b) / (F.char_length(a) + F.char_length(b))
-        total = total + F.when(~both, F.lit(0.0)).when(a == b, F.lit(1.0)).otherwise(bound)
-        filled = filled + F.when(both, 1).otherwise(0)
+    for in_a, in_b, bound in pairs:
+        total = total + F.when(in_a & in_b, bound).otherwise(F.lit(0.0))
+        filled = filled + F.when(in_a & in_b, 1).otherwise(0)
     return F.coalesce(F.try_divide(total, filled), F.lit(0.0))
 
 
+def _edit_bound(a: Column, b: Column) -> Column:
+    edits = 1 - F.levenshtein(a, b) / (F.char_length(a) + F.char_length(b))
+    return F.when(a == b, F.lit(1.0)).otherwise(edits)
+
+
 def field_keys(records: DataFrame, fields: list[str], threshold: float) -> DataFrame:
     """``id, key``: records whose mean similarity reaches the threshold share a key.
 
@@ -230,7 +255,7 @@ def field_keys(records: DataFrame, fields: list[str], threshold: float) -> DataF
         values = cut_lineage(values)
         keys = similarity_keys(values.select(F.col(f).alias("id"), F.col(f).alias("text")), threshold)
         per_value = keys.groupBy(F.col("id").alias(f)).agg(F.collect_list("key").alias("keys"))
-        found = lookup(records.select("id", f), values.join(per_value, f), [f], "n_records")
+        found = lookup(records.select("id", f), cut_lineage(values.join(per_value, f)), [f], "n_records")
         part = found.select("id", F.explode("keys").alias("key")).withColumn("key", F.concat(F.lit(f"{f}\x1f"), "key"))
         result = part if result is None else result.unionByName(part)
     return result
@@ -268,15 +293,22 @@ def similar_records(
         blocked = field_keys(distinct, fields, threshold)
     else:
         blocked = distinct.select("id", F.explode(F.array_distinct(keys)).alias("key"))
-    own = distinct.select("id", F.concat(F.lit("="), F.col("id").cast("string")).alias("key"))
-    nodes = distinct.select("id", F.struct(*fields).alias("node"))
-    groups = leader_groups(
-        blocked.unionByName(own).join(nodes, "id"),
-        lambda early, late: _similarity_bound(early, late, fields) >= threshold - 1e-9,
-        lambda early, late: record_similarity(early, late, fields),
-        threshold,
-        first=True,
+    nodes = distinct.select(
+        "id", F.struct(*fields).alias("node"), F.array(*[F.char_length(f) for f in fields]).alias("sizes")
+    )
+
+    def lengths(early: Column, late: Column) -> Column:
+        sides = [(early[i], late[i]) for i in range(len(fields))]
+        return _mean_bound([(n > 0, m > 0, length_bound(n, m)) for n, m in sides]) >= threshold - 1e-9
+
+    def edits(early: Column, late: Column) -> Column:
+        sides = [(early[f], late[f]) for f in fields]
+        return _mean_bound([(a != "", b != "", _edit_bound(a, b)) for a, b in sides]) >= threshold - 1e-9
+
+    similarity = Similarity(
+        cut_lineage(nodes), lengths, edits, lambda early, late: record_similarity(early, late, fields), threshold
     )
+    groups = leader_groups(blocked, similarity, first=True)
     return distinct.join(groups, "id").select(*fields, "id", "leader", "score", "copies")
 
 

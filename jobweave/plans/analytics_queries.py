@@ -574,5 +574,5 @@ def schema_compatibility(spark, sf):
 def overall_quality(spark, sf):
     """Source scores, schema score and matching score of the three raw sources in one number."""
     raw = raw_frames(spark, sf)
-    result = jobs.analyze(raw, clean.clean_all(raw), ["posting_id"])
+    result = jobs.analyze(raw, clean.clean_all(raw), ["posting_id"], blocked=True)
     return one_row(result.overall, result.schema["overall"], result.matching.report.drop("recommendations"))

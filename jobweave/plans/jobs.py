@@ -27,11 +27,16 @@ class Analysis:
     overall: DataFrame
 
 
-def analyze(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame], row_order: list[str] | None = None) -> Analysis:
+def analyze(
+    raw: dict[str, DataFrame],
+    cleaned: dict[str, DataFrame],
+    row_order: list[str] | None = None,
+    blocked: bool = False,
+) -> Analysis:
     """Cleaning summary, schema compatibility of the raw columns, matching, and one overall score."""
     summary = quality.cleaning_summary(raw, clean.standardize_all(cleaned))
     schema = schema_match.analyze(raw)
-    matching = match_sources(cleaned, row_order=row_order)
+    matching = match_sources(cleaned, row_order=row_order, blocked=blocked)
     overall = quality.overall_score(summary, schema["overall"], matching.report)
     return Analysis(summary, schema, matching, overall)
 
