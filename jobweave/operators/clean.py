@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -160,9 +161,9 @@ def clean_all(frames: dict[str, DataFrame], **options) -> dict[str, DataFrame]:
     return {source: clean_source(df, source, **options) for source, df in frames.items()}
 
 
-def standardize(df: DataFrame, wide: bool = False) -> DataFrame:
-    """The standard columns only; a missing one is null."""
-    names = STANDARD_COLUMNS + (WIDE_COLUMNS if wide else [])
+def standardize(df: DataFrame, wide: bool = False, extra: Iterable[str] = ()) -> DataFrame:
+    """The standard columns only (and ``extra`` ones to keep); a missing one is null."""
+    names = [*STANDARD_COLUMNS, *(WIDE_COLUMNS if wide else []), *extra]
     return df.select(*[_q(n) if n in df.columns else F.lit(None).cast("string").alias(n) for n in names])
 
 

@@ -31,6 +31,7 @@ from .ranking import lookup
 
 THRESHOLD = 0.8
 COMMON_GRAM = 1000  # a letter pair in more names than this is combined with a second one
+LONGEST_COMBINED = 64  # combinations grow with the square of the length
 BROADCAST_GRAMS = 200_000
 FIRST_WINDOW, LARGEST_WINDOW = 128, 512
 
@@ -113,13 +114,13 @@ def leader_groups(keys: DataFrame, similarity: Similarity, first: bool = False)
 # --- blocking keys that lose no similar pair -------------------------------------------------------------------------
 
 
-def _letter_pairs(text: Column) -> Column:
-    """Letter pairs of the text between two end marks, repeated ones numbered."""
-    padded = F.concat(F.lit("\x02"), text, F.lit("\x03"))
+def _letter_pairs(texts: DataFrame) -> DataFrame:
+    """``id, text, gram``: letter pairs of each text between two end marks, repeated ones numbered."""
+    padded = F.concat(F.lit("\x02"), F.col("text"), F.lit("\x03"))
     pairs = F.transform(F.sequence(F.lit(1), F.char_length(padded) - 1), lambda i: F.substr(padded, i, F.lit(2)))
-    return F.transform(
-        pairs, lambda g, i: F.concat(g, F.size(F.filter(F.slice(pairs, 1, i), lambda x: x == g)).cast("string"))
-    )
+    counted = texts.select("id", "text", F.explode(pairs).alias("pair")).groupBy("id", "text", "pair")
+    repeats = counted.agg(F.count("*").alias("n")).select("id", "text", "pair", F.explode(F.sequence(F.lit(1), "n")).alias("k"))
+    return repeats.select("id", "text", F.concat("pair", F.col("k").cast("string")).alias("gram"))
 
 
 def _shared_at_least(length: Column, threshold: float) -> Column:
@@ -138,11 +139,13 @@ def similarity_keys(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame
 
     Prefix filtering over letter pairs, rarest first: similar texts share a
     pair among the rarest n - s + 1.  When the rarest shared one is common they
-    also share a second one, and only the combination becomes a key.
+    also share a second one, and only the combination becomes a key.  Texts above
+    ``LONGEST_COMBINED`` letters keep common pairs as keys of their own, as
+    do the shorter texts that could be similar to such a long one.
     """
     if threshold <= 2 / 3:
         raise ValueError("letter pairs bound the ratio only above two thirds")
-    grams = texts.select("id", "text", F.explode(_letter_pairs(F.col("text"))).alias("gram"))
+    grams = cut_lineage(_letter_pairs(texts))
     counts = grams.groupBy("gram").agg(F.count("*").alias("n"))
     counts = cut_lineage(counts)
     if counts.count() <= BROADCAST_GRAMS:
@@ -152,13 +155,16 @@ def similarity_keys(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame
         .groupBy("id", "text")
         .agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
     )
-    need = _shared_at_least(F.char_length("text"), threshold)
+    length = F.char_length("text")
+    need = _shared_at_least(length, threshold)
+    alone = length >= int(LONGEST_COMBINED * threshold / (2 - threshold))
     first = F.slice("grams", F.lit(1), (F.size("grams") - F.col("need") + 1).cast("int"))
     second = F.slice("grams", F.lit(1), (F.size("grams") - F.col("need") + 2).cast("int"))
     rare = F.transform(
-        F.filter(first, lambda g: (g["n"] <= COMMON_GRAM) | (F.col("need") < 2)), lambda g: g["gram"]
+        F.filter(first, lambda g: (g["n"] <= COMMON_GRAM) | (F.col("need") < 2) | alone), lambda g: g["gram"]
     )
-    common = F.transform(F.filter(second, lambda g: g["n"] > COMMON_GRAM), lambda g: g["gram"])
+    short = length <= LONGEST_COMBINED
+    common = F.transform(F.filter(second, lambda g: short & (g["n"] > COMMON_GRAM)), lambda g: g["gram"])
     combined = F.flatten(
         F.transform(
             common,

@@ -47,6 +47,11 @@ def _with(items: Column, field: str, value: str, first: bool = False) -> Column:
     return F.try_element_at(F.filter(items, lambda i: i[field] == value), F.lit(1 if first else -1))
 
 
+def _filled(text: Column) -> Column:
+    """Null instead of an empty text."""
+    return F.nullif(text, F.lit(""))
+
+
 def _first_filled(values: Column) -> Column:
     return F.get(F.filter(values, lambda v: v.isNotNull() & (v != "")), F.lit(0))
 
@@ -293,13 +298,13 @@ def topcv_results(pages: DataFrame, url: str = "url") -> DataFrame:
         title = page.first(page.find("h3.title", "a[href]", inside=e))
         company_link = page.first(page.find("a.company[href]", inside=e))
         return F.struct(
-            page.text(title).alias("title"),
+            _filled(page.text(title)).alias("title"),
             absolute_url(title["href"], host).alias("job_url"),
-            page.first_text("a.company", ".company-name", inside=e).alias("company"),
+            _filled(page.first_text("a.company", ".company-name", inside=e)).alias("company"),
             F.when(company_link.isNotNull(), absolute_url(company_link["href"], host)).alias("company_url"),
-            page.first_text("label.title-salary", inside=e).alias("salary_list"),
-            page.first_text("label.address", ".city-text", inside=e).alias("address_list"),
-            page.first_text("label.exp", "span", inside=e).alias("exp_list"),
+            _filled(page.first_text("label.title-salary", inside=e)).alias("salary_list"),
+            _filled(page.first_text("label.address", ".city-text", inside=e)).alias("address_list"),
+            _filled(page.first_text("label.exp", "span", inside=e)).alias("exp_list"),
         )
 
     cards = F.transform(page.find("div.job-item-search-result"), card)
@@ -368,7 +373,7 @@ def topcv_jobs(pages: DataFrame, url: str = "url") -> DataFrame:
     page = Page("page")
     return pages.select(
         F.col(url).alias("job_url"),
-        page.first_text(".job-detail__info--title,h1").alias("detail_title"),
+        _filled(page.first_text(".job-detail__info--title,h1")).alias("detail_title"),
         topcv_fact(page, "Mức lương").alias("detail_salary"),
         topcv_fact(page, "Địa điểm").alias("detail_location"),
         topcv_fact(page, "Kinh nghiệm").alias("detail_experience"),

@@ -48,11 +48,7 @@ STANDARD_CTE = postings_cte() + ", standard AS (" + " UNION ALL BY NAME ".join(_
 
 def standard(spark, sf):
     cleaned = clean.clean_all(raw_frames(spark, sf))
-    return clean.combine({source: _keep_id(df) for source, df in cleaned.items()})
-
-
-def _keep_id(df):
-    return df.select("posting_id", *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in STANDARD_COLUMNS])
+    return clean.combine({source: clean.standardize(df, extra=["posting_id"]) for source, df in cleaned.items()})
 
 
 @query("standard_records", f"WITH {STANDARD_CTE} SELECT * FROM standard")

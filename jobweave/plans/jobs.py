@@ -12,7 +12,7 @@ from ..operators import clean, quality, schema_match
 from ..operators.aggregates import distinct_counts, one_row
 from ..operators.matching import Matching, match_sources
 from ..session import cut_lineage
-from ..sources.readers import load_all_sources, read_standard
+from ..sources.readers import POSITION, load_all_sources, read_standard
 from ..sources.sinks import export_records, export_report, export_summary, save_frames, save_index
 from .extract import extract_features
 
@@ -89,17 +89,23 @@ def run_summary(
 def integrate(
     spark: SparkSession, out: str, paths: dict[str, str] | None = None, at: datetime | None = None
 ) -> dict[str, str]:
-    """Load, clean, standardise, match and export; returns the written paths."""
+    """Load, clean, standardise, match and export; returns the written paths.
+
+    Rows carry their place in the input, since "first seen" depends on it.
+    """
     at = at or datetime.now()
     raw = load_all_sources(spark, paths)
-    standard = clean.standardize_all(clean.clean_all(raw))
+    placed = {s: df.withColumn(POSITION, F.monotonically_increasing_id()) for s, df in raw.items()}
+    standard = {
+        s: clean.standardize(df, extra=[POSITION]) for s, df in clean.clean_all(placed).items()
+    }
     # written once, read by matching, counting and the export
     combined = cut_lineage(clean.drop_helpers(clean.combine(standard)))
     schema = schema_match.analyze(raw)
     by_source = {s: combined.filter(F.col("source") == s) for s in raw}
-    matching = match_sources(by_source)
+    matching = match_sources(by_source, row_order=[POSITION])
     return {
-        "records": export_records(combined, out, at),
+        "records": export_records(combined.drop(POSITION), out, at),
         "report": export_report(matching.report, out, at),
         "summary": export_summary(run_summary(raw, combined, schema, matching.report, out, at), out),
     }

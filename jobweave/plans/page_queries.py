@@ -296,8 +296,8 @@ def topcv_jobs(spark, sf):
 @query(
     "topcv_results",
     f"""WITH {postings_cte()} SELECT posting_id, job_type AS title, 'https://www.topcv.vn/viec-lam/' || (posting_id % 700) || '.html' AS job_url,
-    {_trimmed('company')} AS company, 'https://www.topcv.vn/cong-ty/9' AS company_url, {_trimmed('salary_text')} AS salary_list,
-    {_trimmed('location')} AS address_list, {_trimmed('experience_text')} AS exp_list FROM postings""",
+    {_blank('company')} AS company, 'https://www.topcv.vn/cong-ty/9' AS company_url, {_blank('salary_text')} AS salary_list,
+    {_blank('location')} AS address_list, {_blank('experience_text')} AS exp_list FROM postings""",
 )
 def topcv_results(spark, sf):
     rows = postings(spark, sf).selectExpr("posting_id", f"{TOPCV_CARD} AS html")

@@ -131,9 +131,13 @@ def read_chunks(
     for path in exclude:
         rows = rows.filter(~F.endswith(F.col(FILE), F.lit(path)))
     if lists_only and raw.inputFiles():
-        lines = spark.read.text(glob).select(F.col("_metadata.file_path").alias(FILE), F.trim("value").alias("line"))
-        lines = lines.withColumn("at", F.monotonically_increasing_id()).filter(F.col("line") != "")
-        first = lines.groupBy(FILE).agg(F.min_by("line", "at").alias("line"))
+        # splits of one file are ordered by their offset, lines of one split by their row id
+        lines = spark.read.text(glob).select(
+            F.col("_metadata.file_path").alias(FILE),
+            F.trim("value").alias("line"),
+            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        )
+        first = lines.filter(F.col("line") != "").groupBy(FILE).agg(F.min_by("line", "at").alias("line"))
         single = first.filter(F.startswith(F.col("line"), F.lit("{"))).select(FILE)
         rows = rows.join(single, FILE, "left_anti")
     return rows

@@ -249,8 +249,10 @@ def test_entity_mapping_equals_the_sequential_rule(spark, monkeypatch, common, w
     assert got == {names[i]: names[leader] for i, leader in want.items()}
 
 
-def test_similar_texts_share_a_key(spark, monkeypatch):
+@pytest.mark.parametrize("longest", [64, 9])
+def test_similar_texts_share_a_key(spark, monkeypatch, longest):
     monkeypatch.setattr(entities, "COMMON_GRAM", 1)
+    monkeypatch.setattr(entities, "LONGEST_COMBINED", longest)
     names = noisy_names(9, 25, 5)
     texts = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id long, text string")
     keys = {}
