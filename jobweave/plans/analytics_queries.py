@@ -213,16 +213,26 @@ def feature_raw_records(spark, sf):
     )
 
 
-@query("feature_typed_records")
+_TYPED_TEXT = "'Java ' || p_name || ' Git, Docker'"
+
+
+@query(
+    "feature_typed_records",
+    f"""SELECT p_partkey AS "JobName", p_brand AS "CompanyName", 'Hồ Chí Minh' AS "Location", p_size AS "Experience", p_type AS "JobType",
+      'Cử nhân' AS "Education", {_match_sql(_TYPED_TEXT, terms.FRAMEWORKS)} AS "FrameworkPlattforms",
+      {_match_sql(_TYPED_TEXT, terms.PROGRAMMING_LANGUAGES)} AS "JobLanguages", '' AS "Languages", '' AS "DesignPatterns",
+      {_match_sql(_TYPED_TEXT, terms.KNOWLEDGE)} AS "Knowledges", 'software' AS "JobSummary",
+      array_to_string(generate_series((p_size // 5) * 5, (least(p_size * 2, 100) // 5) * 5, 5), ';') AS "Salaries" FROM part""",
+)
 def feature_typed_records(spark, sf):
     p = table(spark, sf, "part").selectExpr(
-        "p_name AS job_title", "p_brand AS company_name", "'Quận 1, Hồ Chí Minh' AS location",
+        "CAST(p_partkey AS STRING) AS job_title", "p_brand AS company_name", "'Quận 1, Hồ Chí Minh' AS location",
         "p_size AS experience_years", "p_type AS job_type", "'Cử nhân' AS education_level",
         "concat('Java ', p_name) AS job_description", "array('Git', 'Docker') AS skills",
         "p_size * 1000000 AS salary_min", "p_size * 2000000 AS salary_max", "'VND' AS salary_currency",
         "'CNTT - Phần mềm' AS industry",
     )
-    out = extract_typed_features(p)
+    out = extract_typed_features(p).withColumn("JobName", F.col("JobName").cast("bigint"))
     return out.withColumns({c: joined(F.col(c)) for c, t in out.dtypes if t.startswith("array")})
 
 
@@ -390,6 +400,11 @@ def salary_by_source(spark, sf):
 
 @query(
     "salary_median_by_source",
+    _salary_a_sql(
+        postings_cte("posting_id", "source", "salary_text"),
+        "SELECT source, quantile_disc((salary_min + salary_max) / 2, 0.5) AS median FROM r "
+        "WHERE salary_min IS NOT NULL GROUP BY source",
+    ),
 )
 def salary_median_by_source(spark, sf):
     p = postings(spark, sf, "source", "salary_text").select("source", salary.salary_range_a("salary_text").alias("s"))

@@ -11,7 +11,7 @@ from ..operators.entities import record_similarity
 from ..sources.readers import FILE, POSITION
 from .derive import postings, postings_cte
 from .features import _accents_sql, _clean_sql, _expand_sql, _norm_sql, _NUMBERS, _signature_sql
-from .registry import joined, query, table
+from .registry import ORACLES, joined, query, table
 
 KEYS = ["job_title_clean", "company_name", "location_clean"]
 _KEYED_SQL = (
@@ -310,12 +310,6 @@ def similar_records_blocked(spark, sf):
     return groups.select("id", "leader", F.round("score", 9).alias("score"), "copies")
 
 
-@query("entity_statistics")
-def entity_statistics(spark, sf):
-    _, statistics = entities.resolve_entities(_keyed(spark, sf), "posting_id")
-    return statistics
-
-
 def _field_ratio_sql(name: str, field: str) -> str:
     """CTEs ``{name}`` holding the ratio of any two distinct values of a field."""
     pairs = f"{name}_pairs"
@@ -352,6 +346,36 @@ def similar_records(spark, sf):
     return groups.select("id", "leader", F.round("score", 9).alias("score"), "copies")
 
 
-@query("matching_report")
+_TITLES = "SELECT p_name AS name, min(p_partkey) AS id FROM part GROUP BY p_name"
+_COMPANIES = (
+    "SELECT name, min(p_partkey) AS id FROM (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN '' WHEN 1 THEN NULL "
+    "ELSE p_brand END AS name FROM part) WHERE name IS NOT NULL GROUP BY name"
+)
+
+
+def _entity_sql(kind: str, names: str) -> str:
+    return (
+        f"SELECT '{kind}' AS entity, count(*) AS total, count(*) AS mapped, count(*) FILTER (WHERE name = canonical) "
+        f"AS canonical FROM ({_greedy_sql(names)})"
+    )
+
+
+@query("entity_statistics", f"{_entity_sql('company', _COMPANIES)} UNION ALL {_entity_sql('job_title', _TITLES)}")
+def entity_statistics(spark, sf):
+    _, statistics = entities.resolve_entities(_keyed(spark, sf), "posting_id")
+    return statistics
+
+
+@query(
+    "matching_report",
+    f"""SELECT d.*, s.*, c.total AS total_companies, t.total AS total_job_titles, c.mapped AS unique_companies,
+      t.mapped AS unique_job_titles, c.canonical AS canonical_companies, t.canonical AS canonical_job_titles,
+      similar_records / total_records AS similarity_rate,
+      concat_ws(' ', CASE WHEN duplicate_rate > 0.1 THEN '{matching.ADVICE_DUPLICATES}' END,
+        CASE WHEN similar_records / total_records > 0.2 THEN '{matching.ADVICE_SIMILARITY}' END) AS recommendations
+    FROM ({ORACLES['duplicate_report']}) d, ({_entity_sql('c', _COMPANIES)}) c, ({_entity_sql('t', _TITLES)}) t,
+      (SELECT count(*) FILTER (WHERE n > 1) AS similar_groups, sum(n) FILTER (WHERE n > 1) AS similar_records,
+        sum(n) AS compared_records FROM (SELECT leader, sum(copies) AS n FROM ({ORACLES['similar_records']}) GROUP BY leader)) s""",
+)
 def matching_report(spark, sf):
     return matching.matching_report(_keyed(spark, sf), "posting_id").report
