@@ -30,7 +30,7 @@ from ..session import cut_lineage
 from .ranking import lookup
 
 THRESHOLD = 0.8
-COMMON_GRAM = 1000  # a letter pair in more names than this is combined with a second one
+COMMON_GRAM = 200  # a letter pair in more names than this is combined with a second one
 LONGEST_COMBINED = 64  # combinations grow with the square of the length
 BROADCAST_GRAMS = 200_000
 FIRST_WINDOW, LARGEST_WINDOW = 128, 512
