@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.html import HEADINGS, Page, absolute_url, link_pairs, parse_page, url_path
-from ..functions.text import SPACE, let, norm_text, strip
+from ..functions.text import SPACE, let, strip
 from ..session import cut_lineage
 from .ranking import keep_first, lookup, renumber
 

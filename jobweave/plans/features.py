@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import experience, location, salary, schedule, terms, text, vocab
@@ -524,14 +526,8 @@ _BOTH = "coalesce(description, '') || ' ' || coalesce(skills, '')"
 
 def _match_sql(expr: str, entries: list[str], values: list[str] | None = None) -> str:
     """Regular-expression match per entry, escaping everything but ``.`` and ``*``."""
-    import re
-
-    rows = ", ".join(
-        "{{'p': '{}', 'v': '{}'}}".format(
-            re.sub(r"([+()#/|\[\]{}^$?\\-])", r"\\\1", e).replace("#", "#").replace("\\#", "#").replace("\\/", "/"), v
-        )
-        for e, v in zip(entries, values or entries)
-    )
+    escaped = [re.sub(r"([+()|\[\]{}^$?\\-])", r"\\\1", e) for e in entries]
+    rows = ", ".join(f"{{'p': '{p}', 'v': '{v}'}}" for p, v in zip(escaped, values or entries))
     found = f"list_filter([{rows}], lambda r: regexp_matches({expr}, r.p, 'i'))"
     return f"coalesce(array_to_string(list_transform({found}, lambda r: r.v), ';'), '')"
 

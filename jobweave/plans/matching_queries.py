@@ -80,9 +80,6 @@ def keep_first_link(spark, sf):
     return ranking.keep_first(postings(spark, sf, "posting_id", "link", "title"), ["link"], ["posting_id"])
 
 
-_CHUNK = {"file": "l_shipdate", "pos": "l_orderkey * 10 + l_linenumber"}
-
-
 @query(
     "chunk_merge",
     f"""WITH {postings_cte('posting_id', 'title', 'company', 'location', 'link', 'industry')},

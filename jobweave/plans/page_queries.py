@@ -15,7 +15,7 @@ from ..operators import pages as pg
 from ..sources.schemas import DETAIL_ORDER
 from ..sources.sinks import in_order
 from .derive import postings, postings_cte
-from .features import _SP, _norm_sql
+from .features import _norm_sql
 from .registry import query, table, wide_table
 
 HOST = "https://pages.example"
