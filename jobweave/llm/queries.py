@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, packing
+from . import chat, decontamination, fingerprints, packing, quality, toxicity
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -40,6 +40,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
@@ -73,3 +78,13 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
     return chat.chat_digests(chat.format_chats(turns))
+
+
+@query("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
