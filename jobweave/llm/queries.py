@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, fingerprints, packing, quality, toxicity
+from . import chat, decontamination, fingerprints, packing, pages, quality, toxicity
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -85,6 +85,11 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
 
 
+@query("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_pages(documents(spark, sf_dir, "pages"))
+
+
 @query("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
