@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, fingerprints, packing, pages, quality, toxicity
+from . import chat, decontamination, fingerprints, neardup, packing, pages, quality, toxicity
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -93,3 +93,29 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+@query(
+    "op10_minhash_near_dedup",
+    r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common.n >= 75 * (x.n + y.n - common.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT docs.doc_id, CAST(coalesce(any_value(sizes.n), 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id,
+  docs.doc_id = min(reach.b) AS kept
+FROM docs JOIN reach ON reach.a = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = docs.doc_id GROUP BY docs.doc_id
+""",
+)
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
