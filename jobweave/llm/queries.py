@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, fingerprints, neardup, packing, pages, quality, toxicity
+from . import chat, decontamination, fingerprints, neardup, packing, pages, quality, suffixes, toxicity
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -13,6 +13,33 @@ __all__ = ["ORACLES", "QUERIES"]
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+@query(
+    "op1_suffix_array_dedup",
+    """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (
+  SELECT r, doc_id, i, b[i : i + 49] AS s
+  FROM (SELECT r, doc_id, b, unnest(range(1, octet_length(b) - 48)) AS i FROM d WHERE octet_length(b) >= 50)),
+m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT r, i FROM w JOIN m USING (s) WHERE least < doc_id),
+marked AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM hit),
+numbered AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS k FROM marked),
+spans AS (SELECT r, k, min(i) AS a, max(i) + 49 AS z FROM numbered GROUP BY r, k),
+edges AS (SELECT r, a, z FROM spans UNION ALL SELECT r, octet_length(b) + 1, octet_length(b) FROM d),
+gaps AS (SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) + 1 AS x, a - 1 AS y FROM edges),
+kept AS (
+  SELECT r, string_agg(CASE WHEN y >= x THEN hex(b[x:y]) ELSE '' END, '' ORDER BY x) AS h
+  FROM gaps JOIN d USING (r) GROUP BY r),
+sums AS (SELECT r, sum(z - a + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(h)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN sums USING (r)
+""",
+)
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir))
+
+
 @query(
     "op2_decontamination",
     f"""
