@@ -6,9 +6,12 @@ their own; pieces travel as a few numbers to one of many random groups of bounde
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -20,13 +23,21 @@ LENGTH = 2048
 #: Expected documents in a group.  A group wastes part of one sequence, so this bounds the padding.
 GROUP_DOCS = 16384
 END_ID = 1
-#: Pieces kept in a worker's tokenizer cache before it is emptied; a matter of memory only.
+#: Pieces in each of the two generations of a worker's tokenizer cache; a matter of memory only.
 CACHE = 400_000
 
-#: Unicode white space.  The byte-level pre-tokenizer never joins a visible character with white space
-#: that follows it, so a text may be tokenised piece by piece, cut there.
+# Unicode white space; ASCII signs without the apostrophe; letters of ASCII and Latin-1.
 _SPACE = r"\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_PIECES = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_SIGNS = r"!-&(-/:-@\[-`{-~"
+_LETTERS = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: The byte-level pre-tokenizer never joins a visible character with white space that follows it, nor a letter
+#: with such a sign, so a text may be tokenised piece by piece, cut there.
+_PIECES = re.compile(
+    f"[{_SPACE}]*[{_LETTERS}]++(?![^{_SPACE}{_SIGNS}])"
+    f"|(?<=[{_LETTERS}])[{_SIGNS}]++(?![^{_SPACE}])"
+    f"|[{_SPACE}]*[^{_SPACE}]+"
+    f"|[{_SPACE}]+"
+)
 
 PIECES = pa.schema(
     [
@@ -47,23 +58,64 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_letters() -> dict[str, int]:
+    """The printable letter that stands for each byte in a byte-level vocabulary, by its rule."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def fast_encoding(path: str):
+    """The byte-level BPE of a tokenizer file with its own merge loop in another library, or None.
+
+    It needs a vocabulary whose ids follow the order of the merges, which then are the ranks.
+    """
+    import json
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    vocabulary, letters = spec["model"]["vocab"], byte_letters()
+    merges = [m.replace(" ", "") if isinstance(m, str) else "".join(m) for m in spec["model"]["merges"]]
+    if spec["normalizer"] or spec["pre_tokenizer"].get("add_prefix_space") or not all(
+        vocabulary[m] == 256 + i for i, m in enumerate(merges)
+    ):
+        return None
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers, remembering pieces."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        self.fast = fast_encoding(path)
+        if self.fast is None:
+            from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+            self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, pieces: list[str]) -> list[list[int]]:
+        if self.fast is None:
+            return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        plain, marked, special = self.fast.encode_ordinary, self.fast.encode, self.fast.special_tokens_set
+        return [marked(p, allowed_special="all") if any(t in p for t in special) else plain(p) for p in pieces]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         if len(self.known) > CACHE:
-            self.known = {}
+            self.known, self.older = {}, self.known
         split = [_PIECES.findall(t or "") for t in texts]
-        known = self.known
-        new = list({p for pieces in split for p in pieces if p not in known})
-        for piece, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[piece] = np.asarray(encoding.ids, dtype="<u4").tobytes()
+        known, older = self.known, self.older
+        new = set(chain.from_iterable(split)).difference(known)
+        known.update((p, older[p]) for p in new if p in older)
+        unknown = list(new.difference(known))
+        for piece, found in zip(unknown, self.ids(unknown), strict=True):
+            known[piece] = struct.pack(f"<{len(found)}I", *found)
         for pieces in split:
             yield b"".join(map(known.__getitem__, pieces))
 
@@ -73,8 +125,6 @@ def tokenised(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         encoder = Encoder(tokenizer)
         for batch in batches:
