@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, gram_hashes, word_spans, words_of
+from .common import _BASE, WORD, gram_hashes, mixed, word_spans, words_of
 
 WINDOW = 10
 #: Bits of a shift table: 2**18 bytes.
@@ -117,8 +117,8 @@ def occurrences(words, search: SearchSet) -> Iterator[tuple[int, set[int]]]:
     if not len(at) or not len(search.keys):
         return
     key = np.zeros(len(at), dtype=np.uint64)
-    for i in range(search.length):
-        key = _next_key(key, hashes[at + i])
+    for i in range(search.length):  # as gram_hashes does, at the candidates alone
+        key = mixed(key * np.uint64(_BASE) + hashes[at + i])
     slot = np.minimum(np.searchsorted(search.keys, key), len(search.keys) - 1)
     for k in np.flatnonzero(search.keys[slot] == key):
         begin = int(at[k])
@@ -130,12 +130,6 @@ def occurrences(words, search: SearchSet) -> Iterator[tuple[int, set[int]]]:
                 yield begin, ids
 
 
-def _next_key(key: np.ndarray, word: np.ndarray) -> np.ndarray:
-    from .common import _BASE, mixed
-
-    return mixed(key * np.uint64(_BASE) + word)
-
-
 def hits(texts: list[str | None], sets: list[SearchSet]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[set[int]]]:
     """Word starts, hit flags of the words, the first word of each text, and the items of each text."""
     words = words_of(texts, WORD)
@@ -166,6 +160,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     return _several(docs, rounds, window)
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` in whose text no window of a benchmark item occurs, with all their columns."""
+    place = docs.columns.index("text")
+    for items in _rounds(benchmark):
+
+        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+            sets = search_sets(items, window)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    part = batch.slice(at, 1024)
+                    _, flags, first, _ = hits(part.column(place).to_pylist(), sets)
+                    counts = np.concatenate([[0], np.cumsum(flags)])
+                    yield part.filter(pa.array(counts[first[1:]] == counts[first[:-1]]))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def _rounds(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
     held, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, fingerprints, neardup, packing, pages, quality, suffixes, toxicity
+from . import chat, decontamination, fingerprints, lm, neardup, packing, pages, quality, suffixes, toxicity
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -77,6 +77,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(documents(spark, sf_dir))
+
+
 @query(
     "op6_chat_formatting",
     r"""

@@ -427,22 +427,38 @@ def remove_repeats(docs: DataFrame, **sizes) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, **sizes) -> DataFrame:
-    """(doc_id, text): the texts without their repeated bytes.
+    """The rows of ``docs`` with their repeated bytes taken out of ``text``.
 
-    A span is narrowed to whole characters, so what is left is valid UTF-8.  Null texts stay null.
+    A span is narrowed to whole characters, so what is left is valid UTF-8.  Null texts stay null; other
+    columns are passed on as they are.
     """
-    source, spans = repeated_spans(docs, **sizes)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    blocks = parts(text_bytes(docs), sizes.get("block_bytes", BLOCK_BYTES))
+    _, spans = repeated_spans(docs, **sizes)
+    # the other columns travel under names of their own, so none clashes
+    carried = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"other_{i}") for i, c in enumerate(others)])
+    source = blocked(carried, blocks, *[f"other_{i}" for i in range(len(others))])
 
     def apply(key, table, found):
-        table, by_row, rows = in_order(table), spans_by_row(found), []
-        for k, (doc_id, text) in enumerate(zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist(), strict=True)):
-            if k in by_row:
-                raw = text.encode("utf-8", "surrogatepass")
-                text = b"".join(remaining(raw, [_whole(raw, *s) for s in by_row[k]])).decode("utf-8", "surrogatepass")
-            rows.append((doc_id, text))
-        return _table(rows, pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
-
-    return source.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(apply, "doc_id long, text string")
+        table, by_row = in_order(table), spans_by_row(found)
+        texts = table.column("text").to_pylist()
+        for k, cut in by_row.items():
+            raw = texts[k].encode("utf-8", "surrogatepass")
+            texts[k] = b"".join(remaining(raw, [_whole(raw, *s) for s in cut])).decode("utf-8", "surrogatepass")
+        kept = table.drop_columns(["block"])
+        return kept.set_column(kept.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+
+    schema = source.drop("block").schema
+    cleaned = source.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(apply, schema)
+    named = {f"other_{i}": c for i, c in enumerate(others)}
+    return cleaned.select(
+        *[
+            F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id") if c == "doc_id"
+            else F.col("text") if c == "text"
+            else F.col(next(k for k, v in named.items() if v == c)).alias(c)
+            for c in docs.columns
+        ]
+    )
 
 
 def _whole(raw: bytes, start: int, end: int) -> tuple[int, int]:

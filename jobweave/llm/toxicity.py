@@ -200,5 +200,21 @@ def score_toxicity(docs: DataFrame, model, folds: int = 3, held_out: int = 1, th
     return source.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def without_toxic(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose text scores below the threshold, with all their columns, in one pass."""
+    at, weights, bias = model
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = np.zeros(1 << FEATURE_BITS)
+        dense[at] = weights
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 1024):
+                part = batch.slice(begin, 1024)
+                yield part.filter(pa.array(score_texts(part.column(place).to_pylist(), dense, bias) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score_toxicity(docs, fit(docs, labels))
