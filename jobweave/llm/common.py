@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import gc
+import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 #: Odd multiplier of the polynomial hash, and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -104,6 +107,17 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
     return int(df.agg(F.sum(F.octet_length(column))).first()[0] or 0)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The frame written as a compressed table in the shared checkpoint folder and read again.
+
+    Cuts lineage as ``checkpoint()`` does, which writes rows uncompressed.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop shuffle files whose frames are gone already."""
     gc.collect()

@@ -18,9 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .blocks import blocked, from_low_bytes, in_order, low_bytes, pack_ids, parts, pieces, unpack_ids
-from .common import _BASE, _INVERSE, mixed, powers, release, text_bytes
+from .common import _BASE, _INVERSE, mixed, powers, release, text_bytes, written
 
 LENGTH = 50
 ANCHOR = 25
@@ -347,7 +346,7 @@ def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes
         return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "verdict": pa.array(verdicts, pa.binary())})
 
     messages = source.groupBy("block").applyInArrow(send, "bucket long, block long, message binary")
-    verdicts = cut_lineage(messages.groupBy("bucket").applyInArrow(answer, "bucket long, block long, verdict binary"))
+    verdicts = written(messages.groupBy("bucket").applyInArrow(answer, "bucket long, block long, verdict binary"))
     del messages
     release(spark)
 
@@ -358,7 +357,7 @@ def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes
         of = dict(zip(answers.column("bucket").to_pylist(), answers.column("verdict").to_pylist(), strict=True))
         return _table(block_findings(block, of, key[0].as_py()), FOUND)
 
-    found = cut_lineage(source.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(find, FOUND_DDL))
+    found = written(source.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(find, FOUND_DDL))
     release(spark)
     branching = found.where(F.col("kind") == BRANCHING)
     shards = max(LEAST_SHARDS, -(-branching.count() // SHARD_ROWS))
@@ -370,7 +369,7 @@ def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes
         branching.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard").applyInArrow(sort, SPANS_DDL)
     )
     known = found.where("kind = 0").select("block", "row", "starts", "ends")
-    return source, cut_lineage(known.unionByName(tree).unionByName(hot_spans(found)))
+    return source, written(known.unionByName(tree).unionByName(hot_spans(found)))
 
 
 REMOVED = pa.schema(
