@@ -16,9 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .blocks import blocked, from_low_bytes, in_order, low_bytes, pack_counts, parts, pieces, unpack_counts
-from .common import _BASE, INK, fold_of, mixed, release, text_bytes, words_of
+from .common import _BASE, INK, fold_of, mixed, release, text_bytes, words_of, written
 
 #: The token that ends a text and is the context of the next text's first word.
 END = np.uint64(0x1F3D5B79A2C4E680)
@@ -225,7 +224,7 @@ def lm_scores(
         )
 
     messages = source.groupBy("block").applyInArrow(send, "bucket long, width int, block long, message binary")
-    replies = cut_lineage(
+    replies = written(
         messages.groupBy("bucket", "width").applyInArrow(
             answer, "bucket long, width int, block long, reply binary, tokens long, types long"
         )

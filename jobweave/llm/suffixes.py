@@ -369,7 +369,10 @@ def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes
         branching.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard").applyInArrow(sort, SPANS_DDL)
     )
     known = found.where("kind = 0").select("block", "row", "starts", "ends")
-    return source, written(known.unionByName(tree).unionByName(hot_spans(found)))
+    spans = written(known.unionByName(tree).unionByName(hot_spans(found)))
+    del tree, branching
+    release(spark)
+    return source, spans
 
 
 REMOVED = pa.schema(
