@@ -89,8 +89,19 @@ def norm_key(col: Column | str, form: str | None = None) -> Column:
     return F.lower(norm_text(col))
 
 
+# Marks, jamo, and the ranges and single characters that the composed form (NFC) replaces.
+_NOT_COMPOSED = r"[\p{M}\u1100-\u11ff\u2000\u2001\u2126\u212a\u212b\u2329\u232a\u0374\u037e\u0387\u1f71-\u1ffd\uf900-\ufaff]"
+
+
+def composed(col: Column | str) -> Column:
+    """Composed Unicode form.  Only texts that may not be in it are handed to Python."""
+    text = _c(col)
+    return F.coalesce(normalize_unicode(F.when(text.rlike(_NOT_COMPOSED), text), "NFC"), text)
+
+
 def composite_key(title: Column, company: Column, location: Column) -> Column:
-    return F.concat_ws("__", norm_key(title), norm_key(company), norm_key(location))
+    """Key of three texts, the same for every Unicode spelling of them."""
+    return F.concat_ws("__", *[norm_key(composed(c)) for c in (title, company, location)])
 
 
 @lru_cache(maxsize=2)

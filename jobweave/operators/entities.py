@@ -1,180 +1,246 @@
-"""Fuzzy matching: greedy leader groups, computed in parallel rounds.
+"""Fuzzy matching: greedy leader groups.
 
 The rule to reproduce is sequential: walk the names in order; a name joins the
-best earlier leader that is similar enough, otherwise it becomes a leader.  A
-name is a leader exactly when no earlier *leader* is similar to it, so leaders
-can be found in rounds:
-
-* every name has blocking keys such that similar names share at least one;
-* in each key the first few undecided names form a window.  A name that lies
-  inside the window of all of its keys has every earlier undecided neighbour in
-  sight; if none of them is similar, it is a leader;
-* undecided names similar to a new leader are decided and leave.
-
-A round emits at most window x window pairs per key plus (new leaders of the
-key) x (members of the key); it never pairs up a whole key.
+best earlier leader that is similar enough, otherwise it becomes a leader.  So
+a name only ever has to be compared with leaders, of which there are few:
+
+* the first undecided names are a front.  The first front is small and walked
+  in one task; later ones double, and their leaders follow from the similar
+  pairs inside the front, which are few, since names close to earlier leaders
+  have left;
+* the new leaders meet all names behind them, whoever is similar is decided.
+
+Names meet in blocks of bounded size, dealt evenly over the tasks, so neither
+a frequent word nor a long text makes a hot key.  Within a pair of blocks the
+letter counts of all texts bound all ratios at once; only pairs that can
+reach the threshold are compared letter by letter, each once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import length_bound, may_reach, mean_ratio, ratio
+from ..functions.similarity import mean_ratio, text_ratio
 from ..functions.text import _c, strip, strip_accents
 from ..session import cut_lineage
 from .ranking import lookup
 
 THRESHOLD = 0.8
-COMMON_GRAM = 200  # a letter pair in more names than this is combined with a second one
-LONGEST_COMBINED = 64  # combinations grow with the square of the length
-BROADCAST_GRAMS = 200_000
-FIRST_WINDOW, LARGEST_WINDOW = 128, 512
-
-# (earlier, later) -> condition or score
-PairExpr = Callable[[Column, Column], Column]
+#: Names of the first front, walked in one task; every later front holds twice as many.
+FRONT = 4096
+#: Names of a block; two blocks meet in one task.
+BLOCK = 1024
+#: Letters are counted in this many classes.
+CLASSES = 32
+#: Ratios a task remembers.
+REMEMBERED = 200_000
+
+
+class Texts:
+    """The fields of many names: texts, lengths and letter counts; ``agree`` holds texts that must be equal."""
+
+    def __init__(self, rows: list[list[str]], agree: list[list[str] | None]):
+        self.rows = rows
+        self.agree = agree
+        n, fields = len(rows), len(rows[0]) if rows else 0
+        self.sizes = np.array([[len(t) for t in row] for row in rows], dtype=np.int64).reshape(n, fields)
+        self.counts = np.zeros((fields, n, CLASSES), dtype=np.int16)
+        for i, row in enumerate(rows):
+            for f, text in enumerate(row):
+                if text:
+                    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) % CLASSES
+                    self.counts[f, i] = np.minimum(np.bincount(codes, minlength=CLASSES), 1 << 14)
+
+
+class Comparison:
+    """Ratio of an earlier and a later name: the mean over the fields that both fill.
+
+    With ``skip_empty`` off a field counts whether filled or not; ``agreeing`` is the number of
+    ``agree`` texts that must be equal and not empty.
+    """
 
+    def __init__(self, threshold: float, skip_empty: bool, agreeing: int):
+        self.threshold, self.skip_empty, self.agreeing = threshold, skip_empty, agreeing
+        self.known: dict[tuple[str, str], float] = {}
 
-@dataclass(frozen=True)
-class Similarity:
-    """Three tests of a pair, from cheap to exact.
+    def possible(self, early: Texts, late: Texts, j: int) -> np.ndarray:
+        """Early names that may reach the threshold with late name ``j``.
 
-    ``lengths`` compares the text lengths where two postings meet, which
-    happens once per shared key; ``bound`` and ``score`` see the texts, once
-    per pair.
+        Every letter that one text has more often than the other is an insertion or deletion.
+        """
+        if not len(early.rows):
+            return np.zeros(0, dtype=bool)
+        total, filled = np.zeros(len(early.rows)), np.zeros(len(early.rows))
+        for f in range(len(early.counts)):
+            both = early.sizes[:, f] + late.sizes[j, f]
+            edits = np.abs(early.counts[f] - late.counts[f, j]).sum(axis=1, dtype=np.int64)
+            bound = 1.0 - edits / np.maximum(both, 1)
+            counts = (early.sizes[:, f] > 0) & (late.sizes[j, f] > 0) if self.skip_empty else np.ones(len(bound), dtype=bool)
+            total += np.where(counts, bound, 0.0)
+            filled += counts
+        return (filled > 0) & (total >= (self.threshold - 1e-9) * filled)
+
+    def score(self, early: Texts, i: int, late: Texts, j: int) -> float:
+        if self.agreeing:
+            same = sum(1 for a, b in zip(early.agree[i] or (), late.agree[j] or ()) if a and a == b)
+            if same < self.agreeing:
+                return 0.0
+        scores = []
+        for a, b in zip(early.rows[i], late.rows[j]):
+            if self.skip_empty and not (a and b):
+                continue
+            if (a, b) not in self.known:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[a, b] = text_ratio(b, a)
+            scores.append(self.known[a, b])
+        return sum(scores, 0.0) / len(scores) if scores else 0.0
+
+
+def _texts(table: pa.Table, side: str) -> tuple[np.ndarray, Texts]:
+    """Names of a table in the order of their ids."""
+    table = table.sort_by("id")
+    return table.column("id").to_numpy(), Texts(table.column(side).to_pylist(), table.column("agree").to_pylist())
+
+
+def walk(table: pa.Table, compare: Comparison) -> list[int]:
+    """The sequential rule itself: positions of the leaders among the names in order."""
+    _, early = _texts(table, "early")
+    _, late = _texts(table, "late")
+    leaders: list[int] = []
+    chosen = Texts([], [])
+    chosen.sizes, chosen.counts = early.sizes[:0], early.counts[:, :0]
+    sizes, counts = np.empty_like(early.sizes), np.empty_like(early.counts)
+    for j in range(table.num_rows):
+        hits = np.flatnonzero(compare.possible(chosen, late, j))
+        if any(compare.score(early, leaders[k], late, j) >= compare.threshold for k in hits):
+            continue
+        k = len(leaders)
+        sizes[k], counts[:, k] = early.sizes[j], early.counts[:, j]
+        leaders.append(j)
+        chosen.rows = leaders
+        chosen.sizes, chosen.counts = sizes[: k + 1], counts[:, : k + 1]
+    return leaders
+
+
+def meet(early: DataFrame, late: DataFrame, compare: Comparison, every: bool, first: bool) -> DataFrame:
+    """``early_id, late_id, score`` of similar pairs, the earlier one in ``early``.
+
+    Each pair of blocks gives all of its pairs with ``every``, else the one choice of each later name: the
+    first similar one, or the most similar and then first.
     """
+    parts = [max(1, -(-df.count() // BLOCK)) for df in (early, late)]
+    place = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    e = early.select(
+        F.col("id").alias("early_id"),
+        F.col("early").alias("early_text"),
+        F.col("agree").alias("early_agree"),
+        place(parts[0]).alias("early_a"),
+        all_of(parts[1]).alias("early_b"),
+    )
+    l = late.select(
+        F.col("id").alias("late_id"),
+        F.col("late").alias("late_text"),
+        F.col("agree").alias("late_agree"),
+        place(parts[1]).alias("late_b"),
+        all_of(parts[0]).alias("late_a"),
+    )
 
-    nodes: DataFrame
-    lengths: PairExpr
-    bound: PairExpr
-    score: PairExpr
-    threshold: float = THRESHOLD
-
-    def pairs(self, early: DataFrame, late: DataFrame) -> DataFrame:
-        """Similar pairs ``early_id, late_id, score`` among postings that share a key.
+    names = ["id", "text", "agree", "block", "other_block"]
+
+    def pairs(left, right):
+        found: list[tuple[int, int, float]] = []
+        if left.num_rows and right.num_rows:
+            early_id, early_texts = _texts(left.rename_columns(names), "text")
+            late_id, late_texts = _texts(right.rename_columns(names), "text")
+            for j in range(len(late_id)):
+                before = int(np.searchsorted(early_id, late_id[j]))
+                hits = np.flatnonzero(compare.possible(early_texts, late_texts, j)[:before])
+                best: tuple[float, int] | None = None
+                for i in hits:
+                    score = compare.score(early_texts, i, late_texts, j)
+                    if score < compare.threshold:
+                        continue
+                    if every:
+                        found.append((int(early_id[i]), int(late_id[j]), score))
+                    elif best is None or score > best[0]:
+                        best = (score, i)
+                        if first:
+                            break
+                if best is not None:
+                    found.append((int(early_id[best[1]]), int(late_id[j]), best[0]))
+        columns = list(zip(*found)) if found else [[], [], []]
+        types = (pa.int64(), pa.int64(), pa.float64())
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("early_id", "late_id", "score"), columns, types)})
+
+    together = e.groupBy("early_a", "early_b").cogroup(l.groupBy("late_a", "late_b"))
+    return together.applyInArrow(pairs, "early_id long, late_id long, score double")
+
+
+def _front_leaders(front: DataFrame, compare: Comparison) -> DataFrame:
+    """Leaders of a front by the similar pairs inside it: whoever has no undecided name before it leads."""
+    edges = cut_lineage(meet(front, front, compare, every=True, first=True).select("early_id", "late_id"))
+    nodes = front.select("id")
+    found = [nodes.join(edges.select(F.col("late_id").alias("id")), "id", "left_anti")]
+    while not edges.isEmpty():
+        held = edges.select(F.col("late_id").alias("id")).distinct()
+        leads = cut_lineage(edges.select(F.col("early_id").alias("id")).distinct().join(held, "id", "left_anti"))
+        covered = edges.join(leads, edges["early_id"] == leads["id"], "left_semi").select(F.col("late_id").alias("id")).distinct()
+        gone = cut_lineage(leads.unionByName(covered))
+        rest = edges.join(gone, edges["early_id"] == gone["id"], "left_anti").join(gone, edges["late_id"] == gone["id"], "left_anti")
+        # a name whose earlier neighbours were all covered leads too, though no pair holds it any more
+        freed = edges.join(gone, edges["late_id"] == gone["id"], "left_anti").select(F.col("late_id").alias("id")).distinct()
+        rest = cut_lineage(rest)
+        found += [leads, freed.join(rest.select(F.explode(F.array("early_id", "late_id")).alias("id")), "id", "left_anti")]
+        edges = rest
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def leader_groups(
+    names: DataFrame, threshold: float = THRESHOLD, first: bool = False, skip_empty: bool = False, agreeing: int = 0
+) -> DataFrame:
+    """``id, leader, score`` of every name.
 
-        Postings carry ids and lengths only; the texts are joined to the
-        distinct pairs afterwards.
-        """
-        e = early.select("key", F.col("id").alias("early_id"), F.col("sizes").alias("early_sizes"))
-        l = late.select("key", F.col("id").alias("late_id"), F.col("sizes").alias("late_sizes"))
-        met = e.join(l, (e["key"] == l["key"]) & (F.col("early_id") < F.col("late_id")))
-        met = met.filter(self.lengths(F.col("early_sizes"), F.col("late_sizes")))
-        met = met.select("early_id", "late_id").distinct()
-        of = lambda name: self.nodes.select(F.col("id").alias(f"{name}_id"), F.col("node").alias(name))
-        texts = met.join(of("early"), "early_id").join(of("late"), "late_id")
-        nodes = F.col("early"), F.col("late")
-        scored = texts.filter(self.bound(*nodes)).select("early_id", "late_id", self.score(*nodes).alias("score"))
-        return scored.filter(F.col("score") >= self.threshold)
-
-
-def leader_groups(keys: DataFrame, similarity: Similarity, first: bool = False) -> DataFrame:
-    """``id, leader, score`` for every node of ``similarity.nodes`` (``id, node, sizes``).
-
-    ``keys`` holds one row ``id, key`` per node and blocking key; ids are unique
-    and give the order.  A member joins its most similar leader, or with
+    ``names`` holds ``id`` (unique, giving the order), the fields as ``early`` and as ``late`` name of a
+    pair, and the texts that may have to ``agree``.  A member joins its most similar leader, or with
     ``first`` its earliest one.
     """
-    nodes = similarity.nodes
-    keys = cut_lineage(keys)
-    met = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    shared = keys.join(met, "key", "left_semi").withColumn("n_keys", F.count("*").over(Window.partitionBy("id")))
-    postings = cut_lineage(shared.join(nodes.select("id", "sizes"), "id"))
-    # whoever shares no key with anyone leads at once
-    leaders = [cut_lineage(nodes.select("id").join(postings, "id", "left_anti"))]
-    undecided, window = postings, FIRST_WINDOW
+    compare = Comparison(threshold, skip_empty, agreeing)
+    names = cut_lineage(names)
+    leaders, matches, undecided, size = [], [], names, FRONT
+
+    def lead(table):
+        ids = table.sort_by("id").column("id")
+        return pa.table({"id": ids.take(pa.array(walk(table, compare), pa.int64()))})
+
     while not undecided.isEmpty():
-        place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        front = undecided.withColumn("place", place).filter(F.col("place") <= window).drop("place")
-        in_sight = front.groupBy("id", "n_keys").agg(F.count("*").alias("n")).filter("n = n_keys").select("id")
-        visible = front.join(in_sight, "id", "left_semi")
-        held_back = similarity.pairs(front, visible).select(F.col("late_id").alias("id"))
-        found = cut_lineage(in_sight.join(held_back, "id", "left_anti"))
-        leaders.append(found)
-        new_rows = undecided.join(found, "id", "left_semi")
-        joined = similarity.pairs(new_rows, undecided).select(F.col("late_id").alias("id"))
-        decided = found.unionByName(joined).distinct()
+        if not leaders:
+            front = undecided.orderBy("id").limit(size)
+            ids = front.groupBy(F.lit(0).alias("front")).applyInArrow(lead, "id long")
+        else:
+            share = min(1.0, size / undecided.count())
+            last = undecided.agg(F.percentile_approx("id", share, 10_000)).first()[0]
+            ids = _front_leaders(cut_lineage(undecided.where(F.col("id") <= last)), compare)
+        found = cut_lineage(names.join(ids, "id", "left_semi"))
+        leaders.append(found.select("id"))
+        others = names.join(reduce(DataFrame.unionByName, leaders), "id", "left_anti")
+        matches.append(cut_lineage(meet(found, others, compare, every=False, first=first)))
+        decided = found.select("id").unionByName(matches[-1].select(F.col("late_id").alias("id"))).distinct()
         undecided = cut_lineage(undecided.join(decided, "id", "left_anti"))
-        window = min(window * 2, LARGEST_WINDOW)
-    all_leaders = reduce(DataFrame.unionByName, leaders)
-    of_leader = postings.join(all_leaders, "id", "left_semi")
-    of_member = postings.join(all_leaders, "id", "left_anti")
-    matches = similarity.pairs(of_leader, of_member)
+        size *= 2
+    if not leaders:
+        return names.select("id", F.col("id").alias("leader"), F.lit(1.0).alias("score"))
     rank = F.lit(0.0) if first else -F.col("score")
     choice = F.struct(rank.alias("rank"), F.col("early_id").alias("leader"), F.col("score"))
-    best = matches.groupBy(F.col("late_id").alias("id")).agg(F.min(choice).alias("best"))
-    members = best.select("id", "best.leader", "best.score")
-    return all_leaders.select("id", F.col("id").alias("leader"), F.lit(1.0).alias("score")).unionByName(members)
-
-
-# --- blocking keys that lose no similar pair -------------------------------------------------------------------------
-
-
-def _letter_pairs(texts: DataFrame) -> DataFrame:
-    """``id, text, gram``: letter pairs of each text between two end marks, repeated ones numbered."""
-    padded = F.concat(F.lit("\x02"), F.col("text"), F.lit("\x03"))
-    pairs = F.transform(F.sequence(F.lit(1), F.char_length(padded) - 1), lambda i: F.substr(padded, i, F.lit(2)))
-    counted = texts.select("id", "text", F.explode(pairs).alias("pair")).groupBy("id", "text", "pair")
-    repeats = counted.agg(F.count("*").alias("n")).select("id", "text", "pair", F.explode(F.sequence(F.lit(1), "n")).alias("k"))
-    return repeats.select("id", "text", F.concat("pair", F.col("k").cast("string")).alias("gram"))
-
-
-def _shared_at_least(length: Column, threshold: float) -> Column:
-    """Letter pairs a text must share with any text similar to it.
-
-    With a common subsequence of L letters, every deletion breaks two pairs and
-    every insertion one, so 3 L - (n + m) + 1 survive, and L >= t (n + m) / 2.
-    The shortest partner allowed has t n / (2 - t) letters.
-    """
-    partner = F.ceil(length * (threshold / (2 - threshold)) - 1e-9)
-    return F.ceil((length + partner) * (1.5 * threshold - 1) + 1 - 1e-9)
-
-
-def similarity_keys(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``id, key``: texts whose ratio reaches ``threshold`` share a key.
-
-    Prefix filtering over letter pairs, rarest first: similar texts share a
-    pair among the rarest n - s + 1.  When the rarest shared one is common they
-    also share a second one, and only the combination becomes a key.  Texts above
-    ``LONGEST_COMBINED`` letters keep common pairs as keys of their own, as
-    do the shorter texts that could be similar to such a long one.
-    """
-    if threshold <= 2 / 3:
-        raise ValueError("letter pairs bound the ratio only above two thirds")
-    grams = cut_lineage(_letter_pairs(texts))
-    counts = grams.groupBy("gram").agg(F.count("*").alias("n"))
-    counts = cut_lineage(counts)
-    if counts.count() <= BROADCAST_GRAMS:
-        counts = F.broadcast(counts)
-    ordered = (
-        grams.join(counts, "gram")
-        .groupBy("id", "text")
-        .agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
-    )
-    length = F.char_length("text")
-    need = _shared_at_least(length, threshold)
-    alone = length >= int(LONGEST_COMBINED * threshold / (2 - threshold))
-    first = F.slice("grams", F.lit(1), (F.size("grams") - F.col("need") + 1).cast("int"))
-    second = F.slice("grams", F.lit(1), (F.size("grams") - F.col("need") + 2).cast("int"))
-    rare = F.transform(
-        F.filter(first, lambda g: (g["n"] <= COMMON_GRAM) | (F.col("need") < 2) | alone), lambda g: g["gram"]
-    )
-    short = length <= LONGEST_COMBINED
-    common = F.transform(F.filter(second, lambda g: short & (g["n"] > COMMON_GRAM)), lambda g: g["gram"])
-    combined = F.flatten(
-        F.transform(
-            common,
-            lambda g, i: F.transform(
-                F.slice(common, i + 2, F.size(common)), lambda h: F.concat(g, F.lit("\x1f"), h)
-            ),
-        )
-    )
-    keys = ordered.withColumn("need", need).select("id", F.explode(F.concat(rare, combined)).alias("key"))
-    return keys.distinct()
+    found = reduce(DataFrame.unionByName, matches).groupBy(F.col("late_id").alias("id")).agg(F.min(choice).alias("best"))
+    own = reduce(DataFrame.unionByName, leaders).select("id", F.col("id").alias("leader"), F.lit(1.0).alias("score"))
+    return own.unionByName(found.select("id", "best.leader", "best.score"))
 
 
 def first_seen(df: DataFrame, name: str, row_id: str) -> DataFrame:
@@ -191,21 +257,13 @@ def entity_mapping(df: DataFrame, name: str, row_id: str, threshold: float = THR
     """
     names = cut_lineage(first_seen(df, name, row_id))
     low = F.lower("name")
-    variants = names.select("id", F.explode(F.array_distinct(F.array(strip(low), low))).alias("text"))
-    keys = similarity_keys(variants, threshold)
     nodes = names.select(
-        "id",
-        F.struct(strip(low).alias("probe"), low.alias("text")).alias("node"),
-        F.array(F.char_length(strip(low)), F.char_length(low)).alias("sizes"),
+        F.col("id").cast("long"),
+        F.array(low).alias("early"),
+        F.array(strip(low)).alias("late"),
+        F.array().cast("array<string>").alias("agree"),
     )
-    similarity = Similarity(
-        cut_lineage(nodes),
-        lambda early, late: length_bound(late[0], early[1]) >= threshold - 1e-9,
-        lambda early, late: may_reach(late["probe"], early["text"], threshold),
-        lambda early, late: ratio(late["probe"], early["text"]),
-        threshold,
-    )
-    groups = leader_groups(keys, similarity)
+    groups = leader_groups(nodes, threshold)
     canonical = names.select(F.col("id").alias("leader"), F.col("name").alias("canonical"))
     return names.join(groups, "id").join(canonical, "leader").select("name", "canonical", "score", "id")
 
@@ -234,87 +292,22 @@ def record_similarity(left: Column, right: Column, fields: list[str]) -> Column:
     return mean_ratio([(left[f], right[f]) for f in fields])
 
 
-def _mean_bound(pairs: list[tuple[Column, Column, Column]]) -> Column:
-    """Mean of the per-field bounds ``(filled in a, filled in b, bound)`` over the fields both fill."""
-    total, filled = F.lit(0.0), F.lit(0)
-    for in_a, in_b, bound in pairs:
-        total = total + F.when(in_a & in_b, bound).otherwise(F.lit(0.0))
-        filled = filled + F.when(in_a & in_b, 1).otherwise(0)
-    return F.coalesce(F.try_divide(total, filled), F.lit(0.0))
-
-
-def _edit_bound(a: Column, b: Column) -> Column:
-    edits = 1 - F.levenshtein(a, b) / (F.char_length(a) + F.char_length(b))
-    return F.when(a == b, F.lit(1.0)).otherwise(edits)
-
-
-def field_keys(records: DataFrame, fields: list[str], threshold: float) -> DataFrame:
-    """``id, key``: records whose mean similarity reaches the threshold share a key.
-
-    A mean that reaches the threshold needs one field that does, so the
-    similarity keys of the single fields lose nothing.  Keys are made once per
-    distinct value and looked up; a frequent value is no hot join key.
-    """
-    result = None
-    for f in fields:
-        values = records.filter(F.col(f) != "").groupBy(f).agg(F.count("*").alias("n_records"))
-        values = cut_lineage(values)
-        keys = similarity_keys(values.select(F.col(f).alias("id"), F.col(f).alias("text")), threshold)
-        per_value = keys.groupBy(F.col("id").alias(f)).agg(F.collect_list("key").alias("keys"))
-        found = lookup(records.select("id", f), cut_lineage(values.join(per_value, f)), [f], "n_records")
-        part = found.select("id", F.explode("keys").alias("key")).withColumn("key", F.concat(F.lit(f"{f}\x1f"), "key"))
-        result = part if result is None else result.unionByName(part)
-    return result
-
-
-def two_field_keys(fields: list[str]) -> Column:
-    """Coarser and cheaper keys: any two fields agree up to case, accents and punctuation."""
-    folded = {f: strip_accents(F.coalesce(_c(f), F.lit(""))) for f in fields}
-    keys = [
-        F.when((folded[a] != "") & (folded[b] != ""), F.concat_ws("\x1f", F.lit(f"{a}+{b}"), folded[a], folded[b]))
-        for i, a in enumerate(fields)
-        for b in fields[i + 1:]
-    ]
-    return F.array_compact(F.array(*keys))
-
-
 def similar_records(
-    df: DataFrame,
-    row_id: str,
-    fields: list[str],
-    threshold: float = THRESHOLD,
-    keys: Column | None = None,
+    df: DataFrame, row_id: str, fields: list[str], threshold: float = THRESHOLD, agreeing: int = 0
 ) -> DataFrame:
     """``fields, id, leader, score, copies``: greedy groups of similar records.
 
     A record joins the earliest leader it is similar to.  Equal records are
-    collapsed first, so copies cost nothing.  By default no similar pair is
-    lost; ``keys`` (an array column such as :func:`two_field_keys`) compares
-    only records that share one of the given blocking keys.
+    collapsed first, so copies cost nothing.  With ``agreeing`` records are
+    similar only if so many fields also agree up to case, accents and
+    punctuation, which is another rule.
     """
     values = [F.coalesce(F.lower(_c(f)), F.lit("")).alias(f) for f in fields]
-    rows = df.select(F.col(row_id).alias("row"), *values)
+    rows = df.select(F.col(row_id).cast("long").alias("row"), *values)
     distinct = cut_lineage(rows.groupBy(*fields).agg(F.min("row").alias("id"), F.count("*").alias("copies")))
-    if keys is None:
-        blocked = field_keys(distinct, fields, threshold)
-    else:
-        blocked = distinct.select("id", F.explode(F.array_distinct(keys)).alias("key"))
-    nodes = distinct.select(
-        "id", F.struct(*fields).alias("node"), F.array(*[F.char_length(f) for f in fields]).alias("sizes")
-    )
-
-    def lengths(early: Column, late: Column) -> Column:
-        sides = [(early[i], late[i]) for i in range(len(fields))]
-        return _mean_bound([(n > 0, m > 0, length_bound(n, m)) for n, m in sides]) >= threshold - 1e-9
-
-    def edits(early: Column, late: Column) -> Column:
-        sides = [(early[f], late[f]) for f in fields]
-        return _mean_bound([(a != "", b != "", _edit_bound(a, b)) for a, b in sides]) >= threshold - 1e-9
-
-    similarity = Similarity(
-        cut_lineage(nodes), lengths, edits, lambda early, late: record_similarity(early, late, fields), threshold
-    )
-    groups = leader_groups(blocked, similarity, first=True)
+    folded = F.array(*[strip_accents(f) for f in fields]) if agreeing else F.array().cast("array<string>")
+    nodes = distinct.select("id", F.array(*fields).alias("early"), F.array(*fields).alias("late"), folded.alias("agree"))
+    groups = leader_groups(nodes, threshold, first=True, skip_empty=True, agreeing=agreeing)
     return distinct.join(groups, "id").select(*fields, "id", "leader", "score", "copies")
 
 

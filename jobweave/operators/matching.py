@@ -11,7 +11,7 @@ from ..session import cut_lineage
 from .aggregates import one_row
 from .clean import KEY_COLUMNS, combine, key_columns, map_raw_for_matching
 from .dedup import duplicate_groups
-from .entities import resolve_entities, similar_records, two_field_keys
+from .entities import resolve_entities, similar_records
 from .ranking import lookup, renumber
 
 HIGH_DUPLICATE_RATE = 0.1
@@ -67,17 +67,16 @@ class Matching:
     combined: DataFrame
 
 
-def matching_report(df: DataFrame, row_id: str, keys: list[str] | None = None, blocked: bool = False) -> Matching:
+def matching_report(df: DataFrame, row_id: str, keys: list[str] | None = None) -> Matching:
     """Duplicates, similar records and entities of one frame, each computed once.
 
     The frame is reduced to its keys and checkpointed, since all three parts
-    read it.  ``blocked`` compares records only where two key fields agree.
+    read it.
     """
     keys = keys or KEY_COLUMNS
     keyed = cut_lineage(df.select(row_id, *[F.col(f"`{k}`") for k in keys]))
     duplicates = cut_lineage(duplicate_groups(keyed, keys))
-    blocks = two_field_keys(keys) if blocked and len(keys) > 1 else None
-    similar = cut_lineage(similar_records(keyed, row_id, keys, keys=blocks))
+    similar = cut_lineage(similar_records(keyed, row_id, keys))
     title, company = keys[0], keys[1] if len(keys) > 1 else keys[0]
     mappings, statistics = resolve_entities(keyed, row_id, company, title)
     report = one_row(duplicate_report(duplicates, keyed), similarity_report(similar), entity_report(statistics))
@@ -97,7 +96,7 @@ def matching_report(df: DataFrame, row_id: str, keys: list[str] | None = None, b
 
 
 def match_sources(
-    frames: dict[str, DataFrame], raw: bool = False, row_order: list[str] | None = None, blocked: bool = False
+    frames: dict[str, DataFrame], raw: bool = False, row_order: list[str] | None = None
 ) -> Matching:
     """Combine the sources, pick the key columns, and match.
 
@@ -113,4 +112,4 @@ def match_sources(
     order = ["source", *(row_order or keys)]
     columns = dict.fromkeys(["source", *keys, *(row_order or [])])
     numbered = renumber(combined.select(*columns), *order, name="row_id")
-    return matching_report(numbered, "row_id", keys, blocked)
+    return matching_report(numbered, "row_id", keys)

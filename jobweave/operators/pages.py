@@ -250,9 +250,19 @@ def joboko_deadline(page: Page) -> Column:
     return F.coalesce(boxed, F.get(F.filter(mentions, lambda m: m.isNotNull()), F.lit(0)), F.lit(""))
 
 
-def joboko_details(links: DataFrame, pages: DataFrame, strict: bool = False) -> DataFrame:
+def one_per_address(rows: DataFrame, address: str, order: list[Column | str] | None = None) -> DataFrame:
+    """The first row of each address in ``order``, by content where none is given; a null address is kept out."""
+    place = order or sorted(c for c in rows.columns if c != address)
+    return keep_first(rows.filter(F.col(address).isNotNull()), [address], place)
+
+
+def joboko_details(
+    links: DataFrame, pages: DataFrame, strict: bool = False, order: list[Column | str] | None = None
+) -> DataFrame:
     """The 14-field record of each listed posting.
 
+    A page stored several times counts once: the first in ``order`` (such as the crawl time).
+
     A posting without a link or page keeps its row with blank fields; with
     ``strict`` it is left out.
     """
@@ -265,7 +275,7 @@ def joboko_details(links: DataFrame, pages: DataFrame, strict: bool = False) ->
         "quy_mo": joboko_company_size(page),
         "han_nop": joboko_deadline(page),
     } | {name: joboko_fact(page, labels) for name, labels in FACT_LABELS.items()}
-    facts = parsed(pages).select(F.col("url").alias("link"), *[f.alias(n) for n, f in fields.items()])
+    facts = parsed(one_per_address(pages, "url", order)).select(F.col("url").alias("link"), *[f.alias(n) for n, f in fields.items()])
     # rows without a link have no page, so they need not meet in one task
     has_link = F.coalesce(F.col("link"), F.lit("")) != ""
     rows = links.filter(has_link).join(facts, "link", "inner" if strict else "left")
@@ -453,12 +463,12 @@ def topcv_rows(cards: DataFrame, jobs: DataFrame, companies: DataFrame, order: l
     """Search card, posting page and company page in one numbered row per posting.
 
     A posting is known by the path of its address; pages that are missing leave
-    nulls.
+    nulls, and of pages stored several times one counts.
     """
     first = keep_first(cards, [url_path("job_url")], order)
-    rows = first.join(jobs, "job_url", "left")
+    rows = first.join(one_per_address(jobs, "job_url"), "job_url", "left")
     rows = rows.withColumn("_company", F.coalesce("company_url_from_job", "company_url"))
-    found = cut_lineage(companies.withColumnRenamed("company_url", "_company"))
+    found = cut_lineage(one_per_address(companies.withColumnRenamed("company_url", "_company"), "_company"))
     return renumber(lookup(cut_lineage(rows), found, ["_company"]).drop("_company"), *order)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +9,6 @@ from ..session import cut_lineage
 
 _ROW = "_row_in_partition"
 _PARTITION_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
-HOT_KEYS = 1000  # keys broadcast in a lookup; any other key holds less than 1/1000 of the rows
 
 
 def _placed(df: DataFrame, *order: Column | str) -> DataFrame:
@@ -56,32 +53,13 @@ def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column | str
 
 
 def lookup(df: DataFrame, values: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
-    """Left join to one row per key, safe for hot and null keys.
+    """Left join to one row per key, reading each input once.
 
-    The ``HOT_KEYS`` most frequent keys are broadcast with their values; every
-    other key holds less than one row in ``HOT_KEYS`` and is shuffled; rows with
-    a null key bypass the join.  ``weight`` names the column of ``values`` that
-    counts the rows of ``df`` per key; without it the keys are counted here, and
-    both inputs are read more than once.
+    A hot or null key of ``df`` is a skewed partition of a left join, which adaptive execution splits.
+    ``weight`` names a column of ``values`` that only counts rows and is left out.
     """
     extra = [c for c in values.columns if c not in keys and c != weight]
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    keyed = df.filter(complete)
-    if weight:
-        hot = values.orderBy(F.desc(weight), *keys).limit(HOT_KEYS).drop(weight)
-    else:
-        counts = keyed.groupBy(*keys).agg(F.count("*").alias("_rows"))
-        frequent = counts.orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS).select(*keys)
-        hot = F.broadcast(frequent).join(values, keys, "left").select(*keys, *extra)
-    hot = F.broadcast(hot)
-    values = values.select(*keys, *extra)
-    no_value = [F.lit(None).cast(values.schema[c].dataType).alias(c) for c in extra]
-    columns = [*df.columns, *extra]
-    return (
-        keyed.join(hot, keys).select(columns)
-        .unionByName(keyed.join(hot, keys, "left_anti").join(values, keys, "left").select(columns))
-        .unionByName(df.filter(~complete).select("*", *no_value).select(columns))
-    )
+    return df.join(values.select(*keys, *extra), keys, "left").select(*df.columns, *extra)
 
 
 def sample_rows(df: DataFrame, row_id: str, n: int = 500, seed: int = 42) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import ratio
+from .ranking import sample_values
 
 NAME_THRESHOLD = 0.8
 COMPATIBLE_FROM = 0.5
@@ -62,6 +65,24 @@ def detect_schema(frames: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "source string, position int, column string, type string")
 
 
+def describe_schema(frames: dict[str, DataFrame], row_id: str) -> DataFrame:
+    """``source, position, column, type, samples, field``: the first three values of each column, and its role."""
+    rows = detect_schema({s: df.drop(row_id) for s, df in frames.items()})
+    parts = [
+        sample_values(df, name, row_id).withColumn("source", F.lit(source))
+        for source, df in frames.items()
+        for name in df.columns
+        if name != row_id
+    ]
+    values = reduce(DataFrame.unionByName, parts).groupBy("source", "column")
+    # three rows for each column
+    samples = values.agg(F.transform(F.array_sort(F.collect_list(F.struct("row_id", "value"))), lambda v: v["value"]).alias("samples"))
+    described = rows.join(samples, ["source", "column"], "left")
+    roles = map_columns(rows).groupBy("source", "column").agg(F.min("field").alias("field"))
+    empty = F.array().cast("array<string>")
+    return described.join(roles, ["source", "column"], "left").withColumn("samples", F.coalesce("samples", empty))
+
+
 def map_columns(schema_rows: DataFrame) -> DataFrame:
     """``source, field, column, type, score``: an exact name first, else the most similar above the threshold."""
     expected = expected_columns(schema_rows.sparkSession)
@@ -84,6 +105,20 @@ def unified_schema(mapped: DataFrame, n_sources: int) -> DataFrame:
     )
 
 
+def standard_schema(mapped: DataFrame, n_sources: int) -> DataFrame:
+    """All standard fields with their declared type, covered or not."""
+    fields = [(field, FIELD_TYPES.get(field, "string")) for field in EXPECTED]
+    declared = mapped.sparkSession.createDataFrame(fields, "field string, declared_type string")
+    covered = declared.join(unified_schema(mapped, n_sources), "field", "left")
+    return covered.select(
+        "field",
+        "declared_type",
+        F.coalesce("sources", F.array().cast("array<string>")).alias("sources"),
+        F.coalesce("coverage_rate", F.lit(0.0)).alias("coverage_rate"),
+        F.coalesce("is_common", F.lit(False)).alias("is_common"),
+    )
+
+
 def field_compatibility(mapped: DataFrame, n_sources: int) -> DataFrame:
     """Coverage and type agreement per field."""
     types = mapped.groupBy("field", "type").agg(F.count("*").alias("n"))
@@ -120,6 +155,7 @@ def analyze(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "schemas": rows,
         "mapping": mapped,
         "unified": unified_schema(mapped, len(filled)),
+        "standard": standard_schema(mapped, len(filled)),
         "fields": fields,
         "overall": overall_compatibility(fields),
     }

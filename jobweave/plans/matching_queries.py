@@ -80,11 +80,16 @@ def keep_first_link(spark, sf):
     return ranking.keep_first(postings(spark, sf, "posting_id", "link", "title"), ["link"], ["posting_id"])
 
 
+# two letters in their decomposed spelling, on every second posting
+_DECOMPOSED = "CASE WHEN posting_id % 2 = 0 THEN replace(replace({c}, 'ô', 'o\u0302'), 'à', 'a\u0300') ELSE {c} END"
+
+
 @query(
     "chunk_merge",
     f"""WITH {postings_cte('posting_id', 'title', 'company', 'location', 'link', 'industry')},
     c AS (SELECT posting_id, posting_id % 7 AS file, posting_id AS pos,
-      CASE WHEN posting_id % 3 = 0 THEN '' ELSE link END AS link, title, company, location FROM postings),
+      CASE WHEN posting_id % 3 = 0 THEN '' ELSE link END AS link, title, nfc_normalize({_DECOMPOSED.format(c='company')}) AS company,
+      nfc_normalize({_DECOMPOSED.format(c='location')}) AS location FROM postings),
     k AS (SELECT *, coalesce(nullif(link, ''), '_fallback_' || lower({_norm_sql('title')}) || '__' ||
       lower({_norm_sql('company')}) || '__' || lower({_norm_sql('location')})) AS k FROM c),
     f AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY file, pos) AS rn FROM k)
@@ -97,8 +102,8 @@ def chunk_merge(spark, sf):
         f"posting_id AS {POSITION}",
         "CASE WHEN posting_id % 3 = 0 THEN '' ELSE link END AS `Liên_kết`",
         "title AS `tên công việc`",
-        "company AS `công ty`",
-        "location AS `địa điểm làm việc`",
+        f"{_DECOMPOSED.format(c='company')} AS `công ty`",
+        f"{_DECOMPOSED.format(c='location')} AS `địa điểm làm việc`",
     )
     merged = dedup.merge_chunks(chunks, number="stt")
     return merged.select("posting_id", F.col("`Liên_kết`").alias("link"), "stt")
@@ -115,14 +120,17 @@ def renumber_orders(spark, sf):
 
 @query(
     "suppress_seen",
-    "SELECT event_type, min(event_id) AS event_id, user_id FROM events WHERE event_id >= 500 AND user_id NOT IN "
-    "(SELECT user_id FROM events WHERE event_id < 500 AND user_id IS NOT NULL) GROUP BY user_id, event_type "
+    "WITH b AS (SELECT count(*) / 20 AS n FROM events) "
+    "SELECT event_type, min(event_id) AS event_id, user_id FROM events, b WHERE event_id >= n AND user_id NOT IN "
+    "(SELECT user_id FROM events, b WHERE event_id < n AND user_id IS NOT NULL) GROUP BY user_id, event_type "
     "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY min(event_id)) = 1",
 )
 def suppress_seen(spark, sf):
     """Incremental load: keep only users the earlier events did not bring."""
     events = table(spark, sf, "events").select("event_type", "event_id", "user_id")
-    seen, new = events.filter("event_id < 500"), events.filter("event_id >= 500")
+    loaded = F.broadcast(events.agg((F.count("*") / 20).alias("n")))  # one row
+    placed = events.crossJoin(loaded)
+    seen, new = placed.filter("event_id < n").drop("n"), placed.filter("event_id >= n").drop("n")
     return dedup.suppress_seen(new, seen, "user_id", ["event_id"])
 
 
@@ -298,12 +306,43 @@ def entity_companies(spark, sf):
     return mapping.select("name", "canonical")
 
 
-@query("similar_records_blocked")
+_TWO_AGREE = " OR ".join(
+    f"(x.f{a} <> '' AND x.f{a} = y.f{a} AND x.f{b} <> '' AND x.f{b} = y.f{b})" for a, b in (("t", "c"), ("t", "l"), ("c", "l"))
+)
+
+
+@query(
+    "similar_records_blocked",
+    f"""WITH RECURSIVE {postings_cte('posting_id', 'title', 'company', 'location')},
+    records AS (SELECT t, c, l, min(posting_id) AS id, count(*) AS copies FROM
+      (SELECT posting_id, lower(coalesce(title, '')) AS t, lower(coalesce(company, '')) AS c, lower(coalesce(location, '')) AS l
+       FROM postings) GROUP BY t, c, l),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY id) AS i, {_accents_sql('t')} AS ft, {_accents_sql('c')} AS fc,
+      {_accents_sql('l')} AS fl FROM records),
+    cand AS (SELECT x.i AS ei, y.i AS li, x.t AS xt, y.t AS yt, x.c AS xc, y.c AS yc, x.l AS xl, y.l AS yl
+      FROM ranked x JOIN ranked y ON x.i < y.i AND ({_TWO_AGREE})),
+    q AS (SELECT DISTINCT a, b FROM (SELECT xt AS a, yt AS b FROM cand UNION ALL SELECT xc, yc FROM cand UNION ALL SELECT xl, yl FROM cand)
+      WHERE a <> '' AND b <> ''), {lcs_sql('q')},
+    near AS (SELECT li, ei, (coalesce(rt.ratio, 0) + coalesce(rc.ratio, 0) + coalesce(rl.ratio, 0)) /
+        nullif((rt.ratio IS NOT NULL)::INT + (rc.ratio IS NOT NULL)::INT + (rl.ratio IS NOT NULL)::INT, 0) AS score
+      FROM cand LEFT JOIN ratios rt ON rt.a = xt AND rt.b = yt LEFT JOIN ratios rc ON rc.a = xc AND rc.b = yc
+      LEFT JOIN ratios rl ON rl.a = xl AND rl.b = yl),
+    close AS (SELECT * FROM near WHERE score >= 0.8),
+    seen AS (SELECT i, list(ei) FILTER (WHERE ei IS NOT NULL) AS es FROM ranked LEFT JOIN close ON close.li = i GROUP BY i),
+    walk(i, leaders) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL
+      SELECT s.i, CASE WHEN list_has_any(leaders, coalesce(s.es, [])) THEN leaders ELSE list_append(leaders, s.i) END
+      FROM walk JOIN seen s ON s.i = walk.i + 1),
+    leaders AS (SELECT unnest(leaders) AS i FROM walk WHERE i = (SELECT count(*) FROM ranked)),
+    chosen AS (SELECT li, min(ei) AS ei, arg_min(score, ei) AS score FROM close WHERE ei IN (SELECT i FROM leaders)
+      AND li NOT IN (SELECT i FROM leaders) GROUP BY li)
+    SELECT r.id, coalesce(x.id, r.id) AS leader, round(coalesce(chosen.score, 1), 9) AS score, r.copies FROM ranked r
+    LEFT JOIN chosen ON chosen.li = r.i LEFT JOIN ranked x ON x.i = chosen.ei""",
+)
 def similar_records_blocked(spark, sf):
-    """Compared only where two fields agree, over the larger postings table."""
+    """A rule of its own: records are similar if two fields agree up to accents and the mean ratio reaches 0.8."""
     p = postings(spark, sf, "posting_id", "title", "company", "location")
     fields = ["title", "company", "location"]
-    groups = entities.similar_records(p, "posting_id", fields, keys=entities.two_field_keys(fields))
+    groups = entities.similar_records(p, "posting_id", fields, agreeing=2)
     return groups.select("id", "leader", F.round("score", 9).alias("score"), "copies")
 
 
@@ -343,6 +382,16 @@ def similar_records(spark, sf):
     return groups.select("id", "leader", F.round("score", 9).alias("score"), "copies")
 
 
+_LONG = "lower(p_name || ' ' || p_type || ' ' || p_brand)"
+
+
+@query("entity_long_titles", _greedy_sql(f"SELECT {_LONG} AS name, min(p_partkey) AS id FROM part GROUP BY name"))
+def entity_long_titles(spark, sf):
+    """Thousands of distinct titles of 40 to 60 letters built from few words."""
+    rows = table(spark, sf, "part").selectExpr("p_partkey", "lower(concat(p_name, ' ', p_type, ' ', p_brand)) AS title")
+    return entities.entity_mapping(rows, "title", "p_partkey").select("name", "canonical")
+
+
 _TITLES = "SELECT p_name AS name, min(p_partkey) AS id FROM part GROUP BY p_name"
 _COMPANIES = (
     "SELECT name, min(p_partkey) AS id FROM (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN '' WHEN 1 THEN NULL "

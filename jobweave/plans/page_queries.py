@@ -142,8 +142,13 @@ JOBOKO_PAGE = _html(
 
 
 def _joboko_pages(spark, sf):
-    rows = postings(spark, sf)
-    return rows.selectExpr("concat('https://vn.joboko.com/x/', CAST(posting_id AS STRING)) AS url", f"{JOBOKO_PAGE} AS html")
+    """Rendered pages; every fourth was stored a second time after it had gone."""
+    rows = postings(spark, sf).withColumn("crawl", F.explode(F.expr("sequence(1, IF(posting_id % 4 = 0, 2, 1))")))
+    return rows.selectExpr(
+        "concat('https://vn.joboko.com/x/', CAST(posting_id AS STRING)) AS url",
+        "crawl",
+        f"CASE crawl WHEN 1 THEN {JOBOKO_PAGE} ELSE '<p>Không còn</p>' END AS html",
+    )
 
 
 def _trimmed(col: str) -> str:
@@ -173,7 +178,7 @@ def joboko_details(spark, sf):
         "concat(CASE WHEN posting_id % 9 = 0 THEN 'https://vn.joboko.com/lost/' ELSE 'https://vn.joboko.com/x/' END, "
         "CAST(posting_id AS STRING)) AS link",
     )
-    return pg.joboko_details(links, _joboko_pages(spark, sf))
+    return pg.joboko_details(links, _joboko_pages(spark, sf), order=["crawl"])
 
 
 @query(
@@ -224,7 +229,10 @@ CAREERLINK_PAGE = _html(
     '<div id="section-job-skills"><div class="rich-text-content">', "{skills}", "</div></div>"
     '<div class="row job-summary d-flex"><div><div class="my-0 summary-label">Loại công việc</div><div>', "{job_type}",
     '</div></div><div><div class="my-0 summary-label">Cấp bậc</div><div>', "{job_level}",
-    '</div></div><div><div class="my-0 summary-label">Học vấn</div><div>', "{education}", "</div></div></div>",
+    '</div></div><div><div class="my-0 summary-label">Học vấn</div><div>', "{education}",
+    '</div></div><div><div class="my-0 summary-label">Giới tính</div><div>', "{CASE WHEN posting_id % 3 = 0 THEN 'Nam' ELSE 'Nữ' END}",
+    '</div></div><div><div class="my-0 summary-label">Tuổi</div><div>', "{CAST(posting_id % 40 + 18 AS STRING)}",
+    '</div></div><div><div class="my-0 summary-label">Ngành nghề</div><div>', "{industry}", "</div></div></div>",
 )
 
 
@@ -234,15 +242,16 @@ CAREERLINK_PAGE = _html(
     coalesce(company, '') AS "tên công ty", trim('Tại ' || trim(coalesce(location, ''))) AS "Địa điểm công việc",
     trim(coalesce(salary_text, '')) AS "Mức lương", trim(coalesce(experience_text, '')) AS "Kinh nghiệm",
     description || 'Hết' AS "mô tả công việc", trim(coalesce(skills, '')) AS "kĩ năng yêu cầu",
-    coalesce(job_type, '') AS "loại công việc", coalesce(job_level, '') AS "cấp bậc", coalesce(education, '') AS "học vấn"
-    FROM postings WHERE posting_id % 10 <> 3""",
+    coalesce(job_type, '') AS "loại công việc", coalesce(job_level, '') AS "cấp bậc", coalesce(education, '') AS "học vấn",
+    CASE WHEN posting_id % 3 = 0 THEN 'Nam' ELSE 'Nữ' END AS "giới tính", CAST(posting_id % 40 + 18 AS VARCHAR) AS "tuổi",
+    coalesce(industry, '') AS "ngành nghề" FROM postings WHERE posting_id % 10 <> 3""",
 )
 def careerlink_details(spark, sf):
     """Rendered pages; every tenth has no title element and is dropped."""
     rows = postings(spark, sf).selectExpr(
         "posting_id", f"CASE WHEN posting_id % 10 = 3 THEN '<p>Không có</p>' ELSE {CAREERLINK_PAGE} END AS html"
     )
-    return pg.careerlink_details(pg.parsed(rows), "posting_id").drop("giới tính", "tuổi", "ngành nghề")
+    return pg.careerlink_details(pg.parsed(rows), "posting_id")
 
 
 def _fact(title: str, value: str) -> list[str]:
@@ -264,7 +273,7 @@ TOPCV_PAGE = _html(
     '<a class="company" href="/cong-ty/', "{CAST(posting_id % 40 AS STRING)}", '"><span class="company-name">', "{company}", "</span></a>",
 )
 TOPCV_CARD = _html(
-    '<div class="job-item-search-result"><h3 class="title"><a href="/viec-lam/', "{CAST(posting_id % 700 AS STRING)}",
+    '<div class="job-item-search-result"><h3 class="title"><a href="/viec-lam/', "{CAST(posting_id - posting_id % 3 AS STRING)}",
     '.html"> ', "{job_type}", '</a></h3><a class="company" href="/cong-ty/9"><span class="company-name">', "{company}",
     '</span></a><label class="title-salary">', "{salary_text}", '</label><label class="address"><span class="city-text">', "{location}",
     '</span></label><label class="exp"><span>', "{experience_text}", '</span></label></div><div class="job-item-search-result"><p>Quảng cáo</p></div>',
@@ -295,7 +304,7 @@ def topcv_jobs(spark, sf):
 
 @query(
     "topcv_results",
-    f"""WITH {postings_cte()} SELECT posting_id, job_type AS title, 'https://www.topcv.vn/viec-lam/' || (posting_id % 700) || '.html' AS job_url,
+    f"""WITH {postings_cte()} SELECT posting_id, job_type AS title, 'https://www.topcv.vn/viec-lam/' || (posting_id - posting_id % 3) || '.html' AS job_url,
     {_blank('company')} AS company, 'https://www.topcv.vn/cong-ty/9' AS company_url, {_blank('salary_text')} AS salary_list,
     {_blank('location')} AS address_list, {_blank('experience_text')} AS exp_list FROM postings""",
 )
@@ -325,7 +334,7 @@ def topcv_companies(spark, sf):
 @query(
     "topcv_rows",
     f"""WITH {postings_cte()}, companies AS ({_COMPANY_SQL}),
-    cards AS (SELECT *, posting_id % 700 AS job FROM postings QUALIFY row_number() OVER (PARTITION BY posting_id % 700 ORDER BY posting_id) = 1)
+    cards AS (SELECT *, posting_id - posting_id % 3 AS job FROM postings QUALIFY row_number() OVER (PARTITION BY posting_id - posting_id % 3 ORDER BY posting_id) = 1)
     SELECT row_number() OVER (ORDER BY c.posting_id) AS stt, c.job_type AS title,
       'https://www.topcv.vn/viec-lam/' || c.job || '.html' AS job_url, j.description AS detail_title, j.deadline AS deadline,
       k.company_name_full, k.company_website, k.company_size
@@ -333,10 +342,12 @@ def topcv_companies(spark, sf):
     LEFT JOIN companies k ON k.company_url = 'https://www.topcv.vn/cong-ty/' || CASE WHEN j.posting_id IS NULL THEN 9 ELSE j.posting_id % 40 END""",
 )
 def topcv_rows(spark, sf):
-    """Cards, posting pages (every sixth missing) and company pages in one row."""
+    """Cards, posting pages (every sixth missing, every fifth stored twice) and company pages in one row."""
     rows = postings(spark, sf)
     cards = pg.topcv_results(pg.parsed(rows.selectExpr("posting_id", f"{TOPCV_CARD} AS html")), "posting_id")
-    job_pages = rows.filter("posting_id % 6 <> 0 AND posting_id < 700").selectExpr(
+    twice = rows.filter("posting_id % 6 <> 0").withColumn("n", F.expr("IF(posting_id % 5 = 0, 2, 1)"))
+    stored = twice.select("*", F.explode(F.sequence(F.lit(1), "n")))
+    job_pages = stored.selectExpr(
         "concat('https://www.topcv.vn/viec-lam/', CAST(posting_id AS STRING), '.html') AS url", f"{TOPCV_PAGE} AS html"
     )
     merged = pg.topcv_rows(cards, pg.topcv_jobs(pg.parsed(job_pages)), _companies(spark, sf), ["posting_id"])

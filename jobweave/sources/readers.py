@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 from . import schemas
 
 _BROKEN = "_broken_record"
-FILE, POSITION = "_file", "_position"
+FILE, BLOCK, POSITION = "_file", "_block", "_position"
+#: Columns that order rows as they stand in the input: by file, split of the file, and row of the split.
+PLACE = [FILE, BLOCK, POSITION]
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -27,40 +29,65 @@ def _drop_broken(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.filter(readable).drop(_BROKEN)
 
 
-def _read(spark: SparkSession, path, schema: T.StructType, fmt: str, options: dict[str, str]) -> DataFrame:
+def _read(
+    spark: SparkSession, path, schema: T.StructType, fmt: str, options: dict[str, str], placed: bool = False
+) -> DataFrame:
+    """Rows as written, with the text of broken ones; ``placed`` adds the columns of ``PLACE``.
+
+    Spark packs large files first, so a bare row id does not follow the order of files.
+    """
     full = T.StructType(schema.fields + [T.StructField(_BROKEN, T.StringType())])
     reader = spark.read.format(fmt).schema(full).option("mode", "PERMISSIVE")
-    reader = reader.option("columnNameOfCorruptRecord", _BROKEN).option("multiLine", "true").options(**options)
+    reader = reader.option("columnNameOfCorruptRecord", _BROKEN).options(**options)
+    place = [F.lit(None).cast("string"), F.lit(None).cast("bigint")]
     try:
-        return reader.load(path)
+        rows = reader.load(path)
+        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return empty(spark, full)
+        rows = empty(spark, full)
+    if not placed:
+        return rows
+    return rows.select("*", place[0].alias(FILE), place[1].alias(BLOCK), F.monotonically_increasing_id().alias(POSITION))
 
 
-def load_json(spark: SparkSession, path, schema: T.StructType, **options: str) -> DataFrame:
-    """JSON arrays; a missing or unreadable file gives no rows instead of an error."""
-    return _drop_broken(_read(spark, path, schema, "json", options), schema)
+def load_json(
+    spark: SparkSession, path, schema: T.StructType, lines: bool = False, placed: bool = False, **options: str
+) -> DataFrame:
+    """JSON; a missing or unreadable file gives no rows instead of an error.
+
+    A file is an array, read by one task, or with ``lines`` one record per line, which large files are
+    split by.
+    """
+    options = {"multiLine": str(not lines).lower()} | options
+    return _drop_broken(_read(spark, path, schema, "json", options, placed), schema)
 
 
 def load_csv(spark: SparkSession, path, schema: T.StructType, **options: str) -> DataFrame:
     """CSV with a header, quoted line breaks and an optional byte-order mark."""
-    defaults = {"header": "true", "escape": '"', "enforceSchema": "true"}
+    defaults = {"header": "true", "escape": '"', "enforceSchema": "true", "multiLine": "true"}
     return _drop_broken(_read(spark, path, schema, "csv", defaults | options), schema)
 
 
 def load_source(
-    spark: SparkSession, source: str, path: str | None = None, encoding: str = "utf-8"
+    spark: SparkSession,
+    source: str,
+    path: str | None = None,
+    encoding: str = "utf-8",
+    lines: bool = False,
+    placed: bool = False,
 ) -> DataFrame:
     path = path or f"./data/data_{source}.json"
-    return load_json(spark, path, schemas.SOURCES[source], encoding=encoding)
+    return load_json(spark, path, schemas.SOURCES[source], lines, placed, encoding=encoding)
 
 
-def load_all_sources(spark: SparkSession, paths: dict[str, str] | None = None) -> dict[str, DataFrame]:
+def load_all_sources(
+    spark: SparkSession, paths: dict[str, str] | None = None, lines: bool = False, placed: bool = False
+) -> dict[str, DataFrame]:
     """One frame per source; a source without a file is empty and the rest go on."""
     paths = paths or {}
-    return {source: load_source(spark, source, paths.get(source)) for source in schemas.SOURCES}
+    return {s: load_source(spark, s, paths.get(s), lines=lines, placed=placed) for s in schemas.SOURCES}
 
 
 def source_profile(frames: dict[str, DataFrame]) -> DataFrame:
@@ -91,20 +118,20 @@ def source_profile(frames: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
-def read_standard(spark: SparkSession, glob: str) -> DataFrame:
-    """Input of the feature job: multi-line JSON with the fixed string schema."""
-    return load_json(spark, glob, schemas.FEATURE_INPUT)
+def read_standard(spark: SparkSession, glob: str, lines: bool = True) -> DataFrame:
+    """Input of the feature job: what ``export_records`` writes, one record per line; arrays on request."""
+    return load_json(spark, glob, schemas.FEATURE_INPUT, lines)
 
 
-def read_typed(spark: SparkSession, glob: str) -> DataFrame:
-    return load_json(spark, glob, schemas.TYPED_RECORD)
+def read_typed(spark: SparkSession, glob: str, lines: bool = True) -> DataFrame:
+    return load_json(spark, glob, schemas.TYPED_RECORD, lines)
 
 
-def read_tagged(spark: SparkSession, paths: dict[str, str], schema: T.StructType) -> DataFrame:
+def read_tagged(spark: SparkSession, paths: dict[str, str], schema: T.StructType, lines: bool = False) -> DataFrame:
     """Several files in one frame, each row tagged with its file's name in ``_src``."""
     result = None
     for tag, path in paths.items():
-        part = load_json(spark, path, schema).withColumn("_src", F.lit(tag))
+        part = load_json(spark, path, schema, lines).withColumn("_src", F.lit(tag))
         result = part if result is None else result.unionByName(part)
     return result
 
@@ -122,12 +149,8 @@ def read_chunks(
     single object instead of a list.  A JSON file is one split, so the row id
     grows with the position inside its file.
     """
-    raw = _read(spark, glob, schema, "json", {})
-    if FILE not in raw.columns and raw.inputFiles():
-        raw = raw.withColumn(FILE, F.col("_metadata.file_path"))
-    else:
-        raw = raw.withColumn(FILE, F.lit(None).cast("string"))
-    rows = _drop_broken(raw.withColumn(POSITION, F.monotonically_increasing_id()), schema)
+    raw = _read(spark, glob, schema, "json", {"multiLine": "true"}, placed=True).drop(BLOCK)
+    rows = _drop_broken(raw, schema)
     for path in exclude:
         rows = rows.filter(~F.endswith(F.col(FILE), F.lit(path)))
     if lists_only and raw.inputFiles():

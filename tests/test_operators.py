@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from jobweave.functions import text
 from jobweave.functions.similarity import text_ratio
-from jobweave.operators import aggregates, clean, dedup, entities, matching, quality, ranking, schema_match
+from jobweave.operators import aggregates, clean, dedup, entities, matching, pages, quality, ranking, schema_match
 from jobweave.plans import extract, jobs
 from jobweave.sources import readers, schemas, sinks
 
@@ -98,7 +99,7 @@ def test_tagged_and_typed_reads(spark, tmp_path):
     tagged = readers.read_tagged(spark, {"s1": one, "s2": two}, schemas.FEATURE_INPUT)
     assert {(r["_src"], r["source"]) for r in tagged.collect()} == {("s1", "x"), ("s2", "y")}
     typed = write(tmp_path / "t.json", [{"id": 1, "skills": ["Git"], "salary_min": 8000000, "salary_max": 15000000, "salary_currency": "VND", "job_description": "Docker"}])
-    row = extract.extract_typed_features(readers.read_typed(spark, typed)).first()
+    row = extract.extract_typed_features(readers.read_typed(spark, typed, lines=False)).first()
     assert row["Knowledges"] == ["Git"] and row["Salaries"] == [5, 10, 15] and row["FrameworkPlattforms"] == ["Docker", "Git"]
 
 
@@ -237,11 +238,10 @@ def noisy_names(seed, n_base, copies):
     return list(dict.fromkeys(n for n in names if n))
 
 
-@pytest.mark.parametrize("common,window", [(1000, 32), (2, 1)])
-def test_entity_mapping_equals_the_sequential_rule(spark, monkeypatch, common, window):
-    monkeypatch.setattr(entities, "COMMON_GRAM", common)
-    monkeypatch.setattr(entities, "FIRST_WINDOW", window)
-    monkeypatch.setattr(entities, "LARGEST_WINDOW", max(window, 4))
+@pytest.mark.parametrize("front,block", [(4096, 1024), (3, 7)])
+def test_entity_mapping_equals_the_sequential_rule(spark, monkeypatch, front, block):
+    monkeypatch.setattr(entities, "FRONT", front)
+    monkeypatch.setattr(entities, "BLOCK", block)
     names = noisy_names(5, 30, 5)
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "row long, name string")
     got = {r["name"]: r["canonical"] for r in entities.entity_mapping(df, "name", "row").collect()}
@@ -249,19 +249,13 @@ def test_entity_mapping_equals_the_sequential_rule(spark, monkeypatch, common, w
     assert got == {names[i]: names[leader] for i, leader in want.items()}
 
 
-@pytest.mark.parametrize("longest", [64, 9])
-def test_similar_texts_share_a_key(spark, monkeypatch, longest):
-    monkeypatch.setattr(entities, "COMMON_GRAM", 1)
-    monkeypatch.setattr(entities, "LONGEST_COMBINED", longest)
+def test_letter_counts_bound_the_ratio():
     names = noisy_names(9, 25, 5)
-    texts = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id long, text string")
-    keys = {}
-    for r in entities.similarity_keys(texts).collect():
-        keys.setdefault(r["id"], set()).add(r["key"])
-    similar = [(i, j) for i in range(len(names)) for j in range(i) if text_ratio(names[i], names[j]) >= 0.8]
-    assert similar and all(keys[i] & keys[j] for i, j in similar)
-    with pytest.raises(ValueError):
-        entities.similarity_keys(texts, 0.5)
+    texts = entities.Texts([[n] for n in names], [None] * len(names))
+    compare = entities.Comparison(0.8, False, 0)
+    for j in range(len(names)):
+        possible = compare.possible(texts, texts, j)
+        assert all(possible[i] for i in range(len(names)) if text_ratio(names[i], names[j]) >= 0.8)
 
 
 @pytest.mark.parametrize("blocked", [False, True])
@@ -274,8 +268,7 @@ def test_similar_records_equal_the_sequential_rule(spark, blocked):
         company = random.choice(["Alpha", "Alpha Co", "Beta", "", None])
         rows.append((i, title, company, random.choice(["Hà Nội", "Huế", "Đà Nẵng"])))
     df = spark.createDataFrame(rows, "id long, job_title_clean string, company_name string, location_clean string")
-    keys = entities.two_field_keys(fields) if blocked else None
-    groups = entities.similar_records(df, "id", fields, keys=keys)
+    groups = entities.similar_records(df, "id", fields, agreeing=2 if blocked else 0)
     distinct = {}
     for i, *values in rows:
         distinct.setdefault(tuple((v or "").lower() for v in values), i)
@@ -366,12 +359,66 @@ def test_integrate_and_feature_job(spark, tmp_path):
     assert summary["statistics"]["total_processed_records"] == 3 and summary["statistics"]["unique_companies"] == 1
     assert summary["data_sources"]["joboko"]["raw_records"] == 3
 
-    export = spark.read.json(written["records"]).toPandas().to_dict("records")
-    write(tmp_path / "standard.json", export)
-    features = jobs.feature_job(spark, str(tmp_path / "standard.json"), out)
+    features = jobs.feature_job(spark, written["records"], out)
     rows = spark.read.json(features[0])
     row = rows.filter("title = 'Kỹ sư Java'").first()
     assert rows.count() == 3 and row["salary_avg"] == 11.5e6 and row["Knowledges"] == ["Git"] and row["Experience"] == [1, 2]
     assert (row["location_area"], row["province"], row["JobSummary"]) == ("Thanh Xuân", "Hà Nội", ["software"])
     assert spark.read.json(f"{out}/index/recruit").count() == 3
-    assert len(extract.extract_features(readers.read_standard(spark, str(tmp_path / "standard.json"))).columns) == 24
+    assert len(extract.extract_features(readers.read_standard(spark, written["records"])).columns) == 24
+
+
+def test_export_is_read_back_whole(spark, tmp_path):
+    """Several files, one record per line; an array on request."""
+    rows = spark.range(1000).selectExpr("CAST(id AS STRING) AS source", "'t\\nx' AS job_title_clean").repartition(2)
+    path = sinks.export_records(rows, str(tmp_path))
+    back = readers.read_standard(spark, path)
+    assert back.count() == 1000 and back.select("source").distinct().count() == 1000
+    assert back.first()["job_title_clean"] == "t\nx"
+    array = write(tmp_path / "array.json", [{"source": "x"}, {"source": "y"}])
+    assert readers.read_standard(spark, array, lines=False).count() == 2
+
+
+def test_first_seen_follows_the_files(spark, tmp_path):
+    """The same leaders and survivors for one, two and twenty files of mixed size."""
+    rows = [POSTING | {"ten_cong_viec": f"{POSTING['ten_cong_viec']} {'abc'[i % 3]}", "link": f"https://x/{i}"} for i in range(40)]
+    rows[0] = POSTING | {"ten_cong_viec": POSTING["ten_cong_viec"] + " z"}
+    found = []
+    for cuts in ([0], [0, 1], list(range(0, 40, 2))):
+        folder = tmp_path / f"in{len(cuts)}"
+        folder.mkdir()
+        for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], 40])):
+            write(folder / f"part{k:02d}.json", rows[a:b])
+        placed = readers.load_all_sources(
+            spark, {"joboko": f"{folder}/*.json", "topcv": "/none", "careerlink": "/none"}, placed=True
+        )["joboko"]
+        first = ranking.keep_first(placed, ["ten_cong_ty"], readers.PLACE)
+        numbered = ranking.renumber(placed, *readers.PLACE, name="n")
+        names = entities.entity_mapping(numbered, "ten_cong_viec", "n")
+        found.append((first.first()["ten_cong_viec"], sorted((r["name"], r["canonical"]) for r in names.collect())))
+    assert found[0] == found[1] == found[2] and found[0][0].endswith(" z")
+
+
+def test_merge_key_ignores_the_unicode_form(spark):
+    import unicodedata
+
+    texts = ["Hà Nội", "Kỹ sư", "Å", "plain"]
+    df = spark.createDataFrame([(unicodedata.normalize(f, t),) for t in texts for f in ("NFC", "NFD")], "t string")
+    keys = df.select(text.composite_key(F.col("t"), F.col("t"), F.lit("x")).alias("k")).distinct()
+    assert keys.count() == len(texts)
+
+
+def test_pages_stored_twice_count_once(spark):
+    links = spark.createDataFrame([(1, "a", "u1"), (2, "b", "u2")], "stt int, ten string, link string")
+    page = '<h4 class="nw-job-detail__heading">Quy mô công ty</h4><div class="nw-job-detail__text">5</div>'
+    stored = [("u1", page, 2), ("u1", "<p>old</p>", 3), ("u1", page, 2), (None, page, 1)]
+    rows = pages.joboko_details(links, spark.createDataFrame(stored, "url string, html string, at int"), order=["at"]).collect()
+    assert sorted((r["stt"], r["quy_mo"]) for r in rows) == [(1, "5"), (2, "")]
+
+
+def test_schema_description(spark):
+    frames = {"joboko": spark.createDataFrame([(1, None, "b"), (2, "x", "c")], "id int, muc_luong string, unknown string")}
+    rows = {r["column"]: r for r in schema_match.describe_schema(frames, "id").collect()}
+    assert rows["muc_luong"]["samples"] == ["x"] and rows["unknown"]["samples"] == ["b", "c"] and rows["unknown"]["field"] is None
+    standard = schema_match.analyze(frames)["standard"]
+    assert standard.count() == 12 and {r["declared_type"] for r in standard.collect()} == {"string", "numeric"}
