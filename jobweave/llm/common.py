@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 import numpy as np
@@ -119,6 +120,11 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files whose frames are gone already."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop shuffle files whose frames are gone already.
+
+    Twice: frames that the first pass sets free on either side of the gateway go in the second.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
