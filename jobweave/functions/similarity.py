@@ -37,11 +37,6 @@ def ratio(a: Column | str, b: Column | str) -> Column:
     return _ratio(_c(a), _c(b))
 
 
-def length_bound(n: Column, m: Column) -> Column:
-    """Upper bound of the ratio of two texts with these lengths."""
-    return 1 - F.abs(n - m) / F.greatest(n + m, F.lit(1))
-
-
 def may_reach(a: Column, b: Column, threshold: float) -> Column:
     """Necessary condition for ``ratio(a, b) >= threshold``, inside the JVM.
 
@@ -51,8 +46,25 @@ def may_reach(a: Column, b: Column, threshold: float) -> Column:
     return F.call_function("levenshtein", a, b, budget) >= 0
 
 
+@F.pandas_udf(DoubleType())
+def _mean_ratio(left: pd.DataFrame, right: pd.DataFrame) -> pd.Series:
+    known: dict[tuple[str, str], float] = {}
+    means = []
+    for a, b in zip(left.itertuples(index=False, name=None), right.itertuples(index=False, name=None)):
+        scores = []
+        for x, y in zip(a, b):
+            if x and y:
+                if (x, y) not in known:
+                    known[x, y] = text_ratio(x, y)
+                scores.append(known[x, y])
+        means.append(sum(scores, 0.0) / len(scores) if scores else 0.0)
+    return pd.Series(means, dtype="float64")
+
+
 def mean_ratio(pairs: list[tuple[Column, Column]]) -> Column:
-    """Mean ratio over the pairs of which both sides are non-empty; 0 when none is."""
-    scores = F.array_compact(F.array(*[F.when((a != "") & (b != ""), ratio(F.lower(a), F.lower(b))) for a, b in pairs]))
-    total = F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + x)
-    return F.coalesce(F.try_divide(total, F.size(scores).cast("double")), F.lit(0.0))
+    """Mean ratio over the pairs of which both sides are non-empty; 0 when none is.
+
+    One call for all pairs; equal texts of a batch are compared once.
+    """
+    lowered = [[F.lower(c).alias(f"f{i}") for i, c in enumerate(side)] for side in zip(*pairs)]
+    return _mean_ratio(F.struct(*lowered[0]), F.struct(*lowered[1]))
