@@ -387,7 +387,7 @@ _LONG = "lower(p_name || ' ' || p_type || ' ' || p_brand)"
 
 @query("entity_long_titles", _greedy_sql(f"SELECT {_LONG} AS name, min(p_partkey) AS id FROM part GROUP BY name"))
 def entity_long_titles(spark, sf):
-    """Thousands of distinct titles of 40 to 60 letters built from few words."""
+    """Nearly as many distinct titles as rows, built from few words."""
     rows = table(spark, sf, "part").selectExpr("p_partkey", "lower(concat(p_name, ' ', p_type, ' ', p_brand)) AS title")
     return entities.entity_mapping(rows, "title", "p_partkey").select("name", "canonical")
 
