@@ -139,17 +139,19 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, r
 
     def to_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, marks = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
-            owner, feature = distinct_features(texts)
-            ends = np.searchsorted(owner, np.arange(len(texts) + 1))
-            packed = [feature[a:b].astype("<u4").tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(packed, pa.binary()), marks], names=["doc_id", "features", "label"]
-            )
+            for begin in range(0, batch.num_rows, 512):
+                part = batch.slice(begin, 512)
+                texts = part.column(1).to_pylist()
+                owner, feature = distinct_features(texts)
+                ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+                packed = [feature[a:b].astype("<u4").tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(packed, pa.binary()), part.column(2)], names=["doc_id", "features", "label"]
+                )
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "label"], kind="stable")
-        found = [np.frombuffer(f, "<u4").astype(np.int64) for f in pdf["features"]]
+        found = [np.frombuffer(f, "<u4") for f in pdf["features"]]
         at, weights, bias = train(found, pdf["label"].to_numpy())
         return pd.DataFrame({"feature": np.append(at, -1), "weight": np.append(weights, bias)})
 
