@@ -15,27 +15,52 @@ COMPATIBLE_FROM = 0.5
 ADVICE_BELOW = 0.7
 ADVICE = "Low schema compatibility detected. Consider data preprocessing."
 
-# The column expected for a field, and the sources that capitalise or name it differently.
+# The column expected for each standard field, per source.
 EXPECTED = {
-    "job_title": "tên công việc",
-    "company_name": "tên công ty",
-    "location": "địa điểm",
-    "salary": "mức lương",
-    "industry": "ngành nghề",
-    "job_description": "mô tả công việc",
-    "skills": "kĩ năng yêu cầu",
-    "experience": "kinh nghiệm",
-    "job_type": "loại công việc",
-    "job_level": "cấp bậc",
-    "education": "học vấn",
-    "benefits": "quyền lợi",
+    "careerlink": {
+        "job_title": "tên công việc",
+        "company_name": "tên công ty",
+        "location": "Địa điểm công việc",
+        "salary": "Mức lương",
+        "industry": "ngành nghề",
+        "job_description": "mô tả công việc",
+        "skills": "kĩ năng yêu cầu",
+        "experience": "Kinh nghiệm",
+        "job_type": "loại công việc",
+        "job_level": "cấp bậc",
+        "education": "học vấn",
+        "benefits": "quyền lợi",
+    },
+    "joboko": {
+        "job_title": "tên công việc",
+        "company_name": "tên công ty",
+        "location": "địa điểm",
+        "salary": "mức lương",
+        "industry": "ngành nghề",
+        "job_description": "mô tả công việc",
+        "skills": "kĩ năng yêu cầu",
+        "experience": "kinh nghiệm",
+        "job_type": "loại công việc",
+        "job_level": "cấp bậc",
+        "education": "học vấn",
+        "benefits": "quyền lợi",
+    },
+    "topcv": {
+        "job_title": "tên công việc",
+        "company_name": "tên công ty",
+        "location": "địa điểm",
+        "salary": "mức lương",
+        "industry": "ngành nghề",
+        "job_description": "mô tả công việc",
+        "skills": "kĩ năng yêu cầu",
+        "experience": "kinh nghiệm",
+        "job_type": "loại công việc",
+        "job_level": "cấp bậc",
+        "education": "học vấn",
+        "benefits": "quyền lợi",
+    },
 }
-EXPECTED_EXCEPTIONS = {
-    ("careerlink", "location"): "Địa điểm công việc",
-    ("careerlink", "salary"): "Mức lương",
-    ("careerlink", "experience"): "Kinh nghiệm",
-}
-KNOWN_SOURCES = ("careerlink", "joboko", "topcv")
+STANDARD_FIELDS = list(EXPECTED["joboko"])
 # Declared type per standard field.
 FIELD_TYPES = {
     "job_title": "string", "company_name": "string", "location": "string", "salary_min": "numeric",
@@ -46,11 +71,7 @@ FIELD_TYPES = {
 
 def expected_columns(spark: SparkSession) -> DataFrame:
     """``source, field, expected`` dimension: a few dozen rows."""
-    rows = [
-        (source, field, EXPECTED_EXCEPTIONS.get((source, field), name))
-        for source in KNOWN_SOURCES
-        for field, name in EXPECTED.items()
-    ]
+    rows = [(source, field, name) for source, fields in EXPECTED.items() for field, name in fields.items()]
     return spark.createDataFrame(rows, "source string, field string, expected string")
 
 
@@ -107,7 +128,7 @@ def unified_schema(mapped: DataFrame, n_sources: int) -> DataFrame:
 
 def standard_schema(mapped: DataFrame, n_sources: int) -> DataFrame:
     """All standard fields with their declared type, covered or not."""
-    fields = [(field, FIELD_TYPES.get(field, "string")) for field in EXPECTED]
+    fields = [(field, FIELD_TYPES.get(field, "string")) for field in STANDARD_FIELDS]
     declared = mapped.sparkSession.createDataFrame(fields, "field string, declared_type string")
     covered = declared.join(unified_schema(mapped, n_sources), "field", "left")
     return covered.select(

@@ -564,8 +564,7 @@ _COLUMNS_SQL = "cols(source, position, name, expr) AS (VALUES " + ", ".join(
     f"('{s}', {i}, '{c}', '{e}')" for s, columns in RAW.items() for i, (c, e) in enumerate(columns.items())
 ) + ")"
 _EXPECTED_SQL = "expected(source, field, name) AS (VALUES " + ", ".join(
-    f"('{s}', '{f}', '{schema_match.EXPECTED_EXCEPTIONS.get((s, f), n)}')"
-    for s in schema_match.KNOWN_SOURCES for f, n in schema_match.EXPECTED.items()
+    f"('{s}', '{f}', '{n}')" for s, fields in schema_match.EXPECTED.items() for f, n in fields.items()
 ) + ")"
 _MAPPING_SQL = f"""{_COLUMNS_SQL}, {_EXPECTED_SQL},
   p AS (SELECT c.source, field, position, c.name AS "column", expr, c.name = e.name AS exact, lower(c.name) AS a, lower(e.name) AS b
@@ -617,7 +616,7 @@ def schema_compatibility(spark, sf):
 @query(
     "schema_standard",
     f"WITH RECURSIVE {postings_cte()}, {_MAPPING_SQL}, {_FILLED_SQL}, n AS (SELECT count(DISTINCT source) AS n FROM postings), "
-    "f AS (SELECT unnest([" + ", ".join(f"'{f}'" for f in schema_match.EXPECTED) + "]) AS field) "
+    "f AS (SELECT unnest([" + ", ".join(f"'{f}'" for f in schema_match.STANDARD_FIELDS) + "]) AS field) "
     "SELECT f.field, CASE f.field WHEN 'experience' THEN 'numeric' ELSE 'string' END AS declared_type, "
     "coalesce(array_to_string(list_sort(list(source) FILTER (WHERE source IS NOT NULL)), ';'), '') AS sources, "
     "count(source) / any_value(n) AS coverage_rate, count(source) = any_value(n) AS is_common, coalesce(sum(filled), 0) AS filled "

@@ -72,7 +72,7 @@ def run_summary(
     unique = distinct_counts(combined, ["company_name", "location_clean"])
     overall = schema["overall"].select(
         F.round(F.col("overall_compatibility") * 100, 2).alias("overall_compatibility"),
-        F.lit(len(schema_match.EXPECTED)).alias("standard_fields_count"),
+        F.lit(len(schema_match.STANDARD_FIELDS)).alias("standard_fields_count"),
     )
     found = report.select(
         "duplicate_count", F.round(F.col("duplicate_rate") * 100, 2).alias("duplicate_rate"), "similar_groups"
