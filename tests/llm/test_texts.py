@@ -525,6 +525,31 @@ def test_large_nodes_are_branched_on(frame, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == near_classes(rows)
 
 
+def test_paths_keep_pairs_at_the_threshold(spark):
+    """Classes that agree in a token with probability 0.75 still share a node after five steps down."""
+    draw = np.random.default_rng(11)
+    n = 2000
+    one, two = (draw.integers(0, 1 << 32, (n, neardup.COORDINATES), dtype=np.uint32) for _ in range(2))
+    two = np.where(draw.random(one.shape) < 0.75, one, two)
+    rows = [(i, bytearray(t.astype("<u4").tobytes())) for i, t in enumerate(np.concatenate([one, two]))]
+    classes = spark.createDataFrame(rows, "vertex long, tokens binary")
+    places = neardup.root_places(classes)
+    for _ in range(5):
+        places = neardup.child_places(places.join(classes, "vertex")).distinct()
+    met = places.selectExpr("node", f"vertex % {n} AS pair", "vertex").groupBy("node", "pair").count().where("count = 2")
+    assert met.select("pair").distinct().count() == n
+
+
+def test_classes_of_large_nodes_meet_on_rare_shingles(frame, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 8)
+    common = words(300, 78)
+    rows = [(i, f"{common} {words(15, 5000 + i // 2)} {words(49, 7000 + i)}") for i in range(40)]
+    want = near_classes(rows)
+    assert sum(not r[3] for r in want) == 20
+    got = neardup.near_duplicates(frame(rows, DOCS)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == want
+
+
 def test_near_duplicates_of_nothing(frame):
     assert neardup.near_duplicates(frame([], DOCS)).collect() == []
     got = neardup.near_duplicates(frame([(3, None), (4, ""), (5, " ")], DOCS)).collect()
