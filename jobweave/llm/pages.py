@@ -35,11 +35,11 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 PROSE = frozenset("article main p h1 h2 h3 h4 h5 h6 blockquote pre li ul ol dl dt dd table tbody tr td th".split())
 FURNITURE_TAGS = frozenset(
-    "aside button datalist dialog footer form head header input menu nav object search select svg audio video canvas "
-    "math label fieldset map".split()
+    "aside button datalist dialog footer head header input menu nav object search select svg audio video canvas "
+    "fieldset".split()
 )
 FURNITURE_ROLES = frozenset(
-    "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split()
+    "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split()
 )
 FURNITURE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner popup modal overlay "
@@ -48,6 +48,12 @@ FURNITURE_NAMES = frozenset(
     "newsletter share sharing social related recommended recommendations comment comments replies reply respond "
     "discussion disqus form search hidden".split()
 )
+#: Names that main text bears as well, even as a whole name.
+WEAK_NAMES = frozenset(
+    "side form related share sharing search social notice notices alert hidden header banner overlay promotion "
+    "subscription login discussion respond reply recommended".split()
+)
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th".split())
 CLOSED_BY_SAME = {
     "li": ("ul", "ol", "menu"),
     "dt": ("dl",),
@@ -75,17 +81,23 @@ class Element:
     tag: str
     path: str
     furniture: bool
-    in_article: bool
+    in_article: int
     in_main: bool
     block: bool
+    named: tuple[int, ...]
 
 
 @dataclass
 class Block:
     path: str
-    in_article: bool
+    in_article: int
     in_main: bool
     text: str
+    named: tuple[int, ...] = ()
+
+    @property
+    def prose(self) -> bool:
+        return self.path.rpartition("/")[2].partition(".")[0] in PARAGRAPHS
 
 
 def _attributes(tag: str) -> dict[str, str]:
@@ -105,26 +117,58 @@ def _is_furniture(tag: str, attributes: dict[str, str], parent: Element) -> bool
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
         return True
     names = _names(attributes)
-    if tag == "article":
-        return any(n.startswith(("comment", "reply")) for n in names)
-    return any(part in FURNITURE_NAMES for n in names for part in _SPLIT_NAME.split(n))
+    if tag in ("a", "ins", "span"):
+        return any(n in FURNITURE_NAMES and n not in WEAK_NAMES for n in names)
+    return tag == "article" and any(n.startswith(("comment", "reply")) for n in names)
+
+
+def _named(tag: str, attributes: dict[str, str]) -> bool | None:
+    """Whether names speak against a branch: False if weakly, None if not at all."""
+    if tag in ("html", "body", "main", "article"):
+        return None
+    names = _names(attributes)
+    if tag == "form" or any(n in FURNITURE_NAMES and n not in WEAK_NAMES for n in names):
+        return True
+    if attributes.get("role", "").lower() == "form" or any(p in FURNITURE_NAMES for n in names for p in _SPLIT_NAME.split(n)):
+        return False
+    return None
+
+
+def _without_named(blocks: list[Block], named: list[bool]) -> list[Block]:
+    """Blocks outside the branches that their names speak against, and whose text does not speak for them.
+
+    A branch with most of the page's text, or with all of its article or main, stays; one with a weak name or
+    a part of one goes only if it holds no prose.  The site's tree may still cut what stays.
+    """
+    every = sum(len(b.text) for b in blocks)
+    kinds = [[b for b in blocks if b.in_article], [b for b in blocks if b.in_main]]
+    cut = set()
+    for number, strong in enumerate(named):
+        inside = [b for b in blocks if number in b.named]
+        most = 2 * sum(len(b.text) for b in inside) > every
+        whole = any(kind and all(number in b.named for b in kind) for kind in kinds)
+        if not most and not whole and (strong or not any(b.prose for b in inside)):
+            cut.add(number)
+    return [b for b in blocks if not cut.intersection(b.named)]
 
 
 def parse(page: str | None) -> tuple[list[Block], dict[str, list[str]]]:
     """Text blocks outside furniture in page order, and the child paths of every block element."""
     page = page or ""
-    root = Element("", "", False, False, False, True)
+    root = Element("", "", False, 0, False, True, ())
     stack = [root]
     blocks: list[Block] = []
     children: dict[str, list[str]] = {}
     words: list[str] = []
+    named: list[bool] = []
+    articles = 0
 
     def flush() -> None:
         text = " ".join("".join(words).split())
         words.clear()
         if text:
             owner = next(e for e in reversed(stack) if e.block)
-            blocks.append(Block(owner.path, owner.in_article, owner.in_main, text))
+            blocks.append(Block(owner.path, owner.in_article, owner.in_main, text, owner.named))
 
     def pop(depth: int) -> None:
         if any(e.block for e in stack[depth:]):
@@ -177,20 +221,25 @@ def parse(page: str | None) -> tuple[list[Block], dict[str, list[str]]]:
             path = f"{parent.path}/{label}"
             children.setdefault(parent.path, []).append(path)
         furniture = parent.furniture or _is_furniture(tag, attributes, parent)
+        against = None if furniture or not block else _named(tag, attributes)
+        if against is not None:
+            named.append(against)
+        articles += tag == "article"
         stack.append(
             Element(
                 tag,
                 path,
                 furniture,
-                (parent.in_article or tag == "article") and not furniture,
+                0 if furniture else parent.in_article or (articles if tag == "article" else 0),
                 (parent.in_main or tag == "main" or attributes.get("role", "").lower() == "main") and not furniture,
                 block,
+                parent.named if against is None else (*parent.named, len(named) - 1),
             )
         )
     if at < len(page) and not stack[-1].furniture:
         words.append(html.unescape(page[at:]))
     flush()
-    return blocks, children
+    return _without_named(blocks, named) if named else blocks, children
 
 
 def _protected(path: str) -> bool:
@@ -203,11 +252,23 @@ def _protected(path: str) -> bool:
 
 
 def main_text(blocks: list[Block], cut: frozenset[str] | set[str] = frozenset()) -> str:
-    """Blocks of the article, or of main, or of the page, without the cut branches."""
+    """Blocks of the article, or of main, or of the page, without the cut branches.
+
+    The articles are left for main or the page when more prose stands outside them than in the longest of
+    them, and main when more stands outside it.
+    """
     if cut:
         blocks = [b for b in blocks if not any(b.path == c or b.path.startswith(c + "/") for c in cut)]
-    chosen = [b for b in blocks if b.in_article] or [b for b in blocks if b.in_main] or blocks
-    return "\n".join(b.text for b in chosen)
+    longest: dict[int, int] = {}
+    for b in blocks:
+        longest[b.in_article] = longest.get(b.in_article, 0) + len(b.text)
+    longest.pop(0, None)
+    main = sum(len(b.text) for b in blocks if b.in_main)
+    if longest and sum(len(b.text) for b in blocks if b.prose and not b.in_article) <= max(longest.values()):
+        blocks = [b for b in blocks if b.in_article]
+    elif main and sum(len(b.text) for b in blocks if b.prose and not b.in_main) <= main:
+        blocks = [b for b in blocks if b.in_main]
+    return "\n".join(b.text for b in blocks)
 
 
 def _number(text: str) -> int:

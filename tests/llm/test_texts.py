@@ -467,6 +467,22 @@ def test_page_text(frame):
     assert texts == [(i, t, len(t)) for i, t in want]
 
 
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        ("<div class='content has-sidebar'><article><p>real text</article></div>", "real text"),
+        ("<div id='no-sidebar-layout'><article><p>real text</article></div>", "real text"),
+        ("<div class=long-form>real text</div><div class=share>x</div>", "real text"),
+        ("<form><main><p>real text</main><p>x</form>", "real text"),
+        ("<article><p>real text <math>x</math> <label>y</label><div class=notice><p>mind</div></article>", "real text x y\nmind"),
+        ("<main><p>long text of the page itself<article><p>card</article><article><p>more</article></main>",
+         "long text of the page itself\ncard\nmore"),
+    ],
+)
+def test_names_alone_cut_no_text(body, want):
+    assert pages.main_text(pages.parse(page(body))[0]) == want
+
+
 def test_shared_branches_are_cut(frame):
     rows = [
         (i, f"https://h.example/{i}", page(f"<div class=top><p>Welcome to our site</p></div><div class=body><p>{words(30, i)}</p></div>"))
