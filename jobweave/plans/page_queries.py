@@ -184,7 +184,8 @@ def joboko_details(spark, sf):
 @query(
     "page_reported_total",
     f"WITH {postings_cte('posting_id')} SELECT 'https://vn.joboko.com/x/' || posting_id AS url, "
-    "CAST('1' || (posting_id + 100) AS BIGINT) AS total FROM postings UNION ALL SELECT url, -1 FROM pages",
+    "CAST('1' || (posting_id + 100) AS BIGINT) AS total FROM postings UNION ALL "
+    "SELECT 'https://vn.joboko.com/x/' || posting_id, -1 FROM postings WHERE posting_id % 4 = 0 UNION ALL SELECT url, -1 FROM pages",
 )
 def page_reported_total(spark, sf):
     rendered = _joboko_pages(spark, sf).select("url", "html")
