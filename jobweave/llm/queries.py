@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, fingerprints, lm, neardup, packing, pages, quality, suffixes, toxicity
+from ..session import ensure_checkpoint_dir
+from . import audit, chat, decontamination, fingerprints, lm, neardup, packing, pages, quality, resampling, suffixes, toxicity, warc
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -151,3 +154,111 @@ FROM docs JOIN reach ON reach.a = docs.doc_id LEFT JOIN sizes ON sizes.doc_id =
 )
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
+
+
+@query(
+    "op11_warc",
+    """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b, sha1(encode(coalesce(html, ''))) AS h,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS least
+  FROM pages)
+SELECT page_id, octet_length(b) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > least THEN least END AS refers_to
+FROM p
+""",
+)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_pages(documents(spark, sf_dir, "pages"), folder)
+    return warc.archived_pages(spark, folder)
+
+
+@query(
+    "op12_importance_resampling",
+    f"""
+WITH codes AS (
+  SELECT list(c ORDER BY b) AS k FROM (
+    SELECT b, list_reduce([b] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+      lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+    FROM range(256) t(b))),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+heard AS (SELECT r, unnest(w) AS f FROM docs),
+wanted AS (SELECT unnest({_WORDS}) AS f FROM benchmark),
+features AS (
+  SELECT f, xor(4294967295, list_reduce([4294967295] || list_transform(range(octet_length(encode(f))),
+      lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT)),
+    lambda a, x: xor(a >> 8, k[(xor(a, x) & 255) + 1]))) % 10000 AS bucket
+  FROM (SELECT f FROM heard UNION SELECT f FROM wanted), codes),
+source AS (SELECT bucket, count(*) AS n FROM heard JOIN features USING (f) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS n FROM wanted JOIN features USING (f) GROUP BY bucket),
+totals AS (SELECT CAST((SELECT count(*) FROM heard) AS DOUBLE) AS s_all, CAST((SELECT count(*) FROM wanted) AS DOUBLE) AS t_all),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(target.n, 0) + 1) * (s_all + 10000)
+    / ((coalesce(source.n, 0) + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM source FULL JOIN target USING (bucket), totals),
+weights AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM heard JOIN features USING (f) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8) AS BIGINT)
+      + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (r)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST, weight, n_features) AS place,
+    count(*) FILTER (n_features >= 20) OVER () * 10 // 100 AS drawn
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+""",
+)
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op13_filter_audit",
+    r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w
+  FROM documents),
+masks AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM texts),
+known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM masks LEFT JOIN known USING (doc_id) GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, list_sum(bits[1 : step]) - bits[step] AS earlier
+  FROM (SELECT *, unnest(range(1, 6)) AS step FROM orders)),
+rows AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (bit | earlier)::BIGINT = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier::BIGINT = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier::BIGINT > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & bit > 0 AND mask & earlier::BIGINT = 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & earlier::BIGINT = 0), 0) AS toxic_lost
+  FROM counts, (SELECT filter_order, step, bit, CAST(earlier AS BIGINT) AS earlier FROM steps) GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM rows
+""",
+)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
