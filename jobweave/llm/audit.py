@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import with_least, written
 
 FILTERS = "ABCDE"
 _UPPER = bytes(range(0x41, 0x5B))
@@ -66,9 +66,7 @@ def failure_masks(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
     )
     rows = written(rows.mapInArrow(_masks, _MASKS))
-    least = rows.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    # copies of one text may be a third of all rows: a skewed partition of a left join, which is split
-    copied = rows.join(least.select("text_hash", "least"), "text_hash", "left")
+    copied = with_least(rows, "text_hash", "doc_id", "least")
     fails = F.coalesce(F.col("least") < F.col("doc_id"), F.lit(False))
     return copied.select("doc_id", "part", (F.col("mask") + F.when(fails, 16).otherwise(0)).alias("mask"))
 
@@ -176,7 +174,7 @@ def audit_part(counts: dict[int, tuple[int, int, int]], names: str = FILTERS) ->
     n = len(names)
     fails = [sum(c[0] for m, c in counts.items() if m >> i & 1) for i in range(n)]
     alone = [counts.get(1 << i, (0,))[0] for i in range(n)]
-    diagram = Diagram(counts, n)
+    diagram = Diagram(counts or {0: (0, 0, 0)}, n)
     rows, shares = [], [0] * n
     for level in [None, *adjacent_swaps(n)]:
         if level is not None:

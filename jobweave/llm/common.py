@@ -119,6 +119,28 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys with more than this share of the rows (one in so many) are hot; there are at most so many of them.
+HOT = 512
+
+
+def with_least(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``rows`` and, as ``name``, the least ``value`` among the rows of the same binary ``key``; null for single rows.
+
+    A key may hold a third of all rows.  Hot keys, at most HOT of them, are looked up by broadcast; for the join of
+    the others the rows of hot keys are dealt by ``value`` instead of the key, and meet nothing there.
+    """
+    several = rows.groupBy(key).agg(F.min(value).alias(name), F.count("*").alias("_n")).where("_n > 1")
+    several = written(several.select(key, name, "_n"))
+    hot = (F.col("_n") * HOT > rows.count()) if several.take(1) else F.lit(False)
+    hottest = several.where(hot).select(F.col(key).alias("_hot"), F.col(name).alias("_hot_least"))
+    rest = several.where(~hot).select(F.col(key).alias("_key"), name)
+    marked = rows.join(F.broadcast(hottest), F.col(key) == F.col("_hot"), "left")
+    # keys are hashes, which no value's text equals
+    dealt = F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.coalesce(F.col(value).cast("string"), F.lit("")).cast("binary"))
+    joined = marked.withColumn("_dealt", dealt).join(rest, F.col("_dealt") == F.col("_key"), "left")
+    return joined.select(*rows.columns, F.coalesce(F.col(name), F.col("_hot_least")).alias(name))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop shuffle files whose frames are gone already.
 

@@ -36,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, MapType, StructType
 
 from ..sources.filesets import FileSetWriter, listed, located, packed
-from .common import written
+from .common import with_least, written
 
 #: Header fields with names of their own in the WARC format.
 NAMED = {
@@ -424,10 +424,10 @@ def page_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         F.col("url").cast("string").alias("target_uri"),
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("_hash", F.unhex(F.sha2("payload", 256)))
-    same = rows.where(F.octet_length("payload") >= least_bytes).groupBy("_hash")
-    least = same.agg(F.min("page_id").alias("_least"), F.count("*").alias("_n")).where("_n > 1 AND _least IS NOT NULL")
-    # copies of one payload may be a third of all rows: a skewed partition of a left join, which is split
-    marked = rows.join(least.select("_hash", "_least"), "_hash", "left")
+    large = F.octet_length("payload") >= least_bytes
+    # a payload below the bound has a key of its own, so that it meets no other
+    alone = F.concat(F.col("_hash"), F.coalesce(F.col("page_id").cast("string"), F.lit("")).cast("binary"))
+    marked = with_least(rows.withColumn("_same", F.when(large, F.col("_hash")).otherwise(alone)), "_same", "page_id", "_least")
     revisits = F.coalesce(F.col("_least") < F.col("page_id"), F.col("_least").isNotNull() & F.col("page_id").isNull())
 
     def urn(page_id: str) -> Column:
