@@ -123,22 +123,28 @@ def written(df: DataFrame) -> DataFrame:
 HOT = 512
 
 
-def with_least(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """``rows`` and, as ``name``, the least ``value`` among the rows of the same binary ``key``; null for single rows.
+def with_groups(rows: DataFrame, key: str, groups: DataFrame, apart: str, count: int) -> DataFrame:
+    """``rows`` left-joined with ``groups``, one row of which stands for each ``key`` and has its rows' number, ``_n``.
 
-    A key may hold a third of all rows.  Hot keys, at most HOT of them, are looked up by broadcast; for the join of
-    the others the rows of hot keys are dealt by ``value`` instead of the key, and meet nothing there.
+    A key may hold a third of all ``count`` rows.  Hot keys, at most HOT of them, are looked up by broadcast; in the
+    join of the others their rows are dealt by ``apart`` and meet nothing.  ``groups`` should be a written table.
     """
-    several = rows.groupBy(key).agg(F.min(value).alias(name), F.count("*").alias("_n")).where("_n > 1")
-    several = written(several.select(key, name, "_n"))
-    hot = (F.col("_n") * HOT > rows.count()) if several.take(1) else F.lit(False)
-    hottest = several.where(hot).select(F.col(key).alias("_hot"), F.col(name).alias("_hot_least"))
-    rest = several.where(~hot).select(F.col(key).alias("_key"), name)
+    names = [c for c in groups.columns if c not in (key, "_n")]
+    hot = F.col("_n") * HOT > F.lit(count)
+    hottest = groups.where(hot).select(F.col(key).alias("_hot"), F.struct(*names).alias("_of_hot"))
+    rest = groups.where(~hot).select(F.col(key).alias("_key"), F.lit(0).alias("_place"), F.struct(*names).alias("_of_rest"))
     marked = rows.join(F.broadcast(hottest), F.col(key) == F.col("_hot"), "left")
-    # keys are hashes, which no value's text equals
-    dealt = F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.coalesce(F.col(value).cast("string"), F.lit("")).cast("binary"))
-    joined = marked.withColumn("_dealt", dealt).join(rest, F.col("_dealt") == F.col("_key"), "left")
-    return joined.select(*rows.columns, F.coalesce(F.col(name), F.col("_hot_least")).alias(name))
+    spread = F.when(F.col("_hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(apart), F.lit(1 << 20)).cast("int"))
+    joined = marked.withColumn("_dealt", spread).join(
+        rest, (F.col(key) == F.col("_key")) & (F.col("_dealt") == F.col("_place")), "left"
+    )
+    return joined.select(*rows.columns, *[F.coalesce(f"_of_rest.{n}", f"_of_hot.{n}").alias(n) for n in names])
+
+
+def with_least(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``rows`` and, as ``name``, the least ``value`` among the rows of the same ``key``; null for single rows."""
+    groups = rows.groupBy(key).agg(F.min(value).alias(name), F.count("*").alias("_n")).where("_n > 1")
+    return with_groups(rows, key, written(groups), value, rows.count())
 
 
 def release(spark: SparkSession) -> None:

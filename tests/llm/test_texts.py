@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from jobweave.llm.components import components
 from jobweave.llm import chat, decontamination, fingerprints, lm, neardup, packing, pages, quality, suffixes, toxicity
 
 DOCS = "doc_id long, text string"
@@ -566,6 +567,43 @@ def test_classes_of_large_nodes_meet_on_rare_shingles(frame, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == want
 
 
+def test_an_id_has_the_links_of_all_its_texts(frame):
+    one, two, three = words(60, 901).split(), words(60, 902).split(), words(60, 903).split()
+    near = lambda w: " ".join([*w[:30], "changed", *w[31:]])
+    rows = [
+        (7, " ".join(one)), (7, " ".join(two)), (7, None), (9, near(one)), (8, near(two)), (8, " ".join(three)), (8, " ".join(three)),
+        (11, near(three)), (12, "else"), (None, near(two)), (13, ""), (13, "a b c"), (5, "A b\tc"),
+    ]
+    got = neardup.near_duplicates(frame(rows, DOCS)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == near_classes(rows)
+    for _ in range(2):  # whichever text has the smaller tokens
+        one, two = words(80, 910 + _).split(), words(80, 920 + _).split()
+        rows = [(1, " ".join(two)), (1, " ".join(one)), (2, near(one))]
+        assert {r["component_id"] for r in neardup.near_duplicates(frame(rows, DOCS)).collect()} == {1}
+
+
+def test_clusters_of_many_bytes_meet_in_blocks(frame, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 2000)
+    draw = np.random.default_rng(5)
+    base = words(150, 930).split()
+    rows = []
+    for i in range(60):  # a chain: each text changes the one before
+        base[int(draw.integers(0, 150))] = f"c{i}"
+        rows.append((i, " ".join(base)))
+    got = neardup.near_duplicates(frame(rows, DOCS)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == near_classes(rows)
+
+
+def test_components_of_long_paths(spark):
+    n = 3000
+    order = np.random.default_rng(1).permutation(n).tolist()
+    links = [(order[i], order[i + 1]) for i in range(n - 1) if i % 1000 != 999] + [(5, 5)]
+    got = {r["vertex"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    for k in range(0, n, 1000):
+        part = order[k : k + 1000]
+        assert {got[v] for v in part} == {min(part)}
+
+
 def test_near_duplicates_of_nothing(frame):
     assert neardup.near_duplicates(frame([], DOCS)).collect() == []
     got = neardup.near_duplicates(frame([(3, None), (4, ""), (5, " ")], DOCS)).collect()
