@@ -119,26 +119,27 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Keys with more than this share of the rows (one in so many) are hot; there are at most so many of them.
-HOT = 512
+#: Keys with more than this share of the rows (one in so many) are hot, so there are at most so many of them;
+#: the rows of each are dealt to this many places.
+HOT, PLACES = 512, 128
 
 
 def with_groups(rows: DataFrame, key: str, groups: DataFrame, apart: str, count: int) -> DataFrame:
     """``rows`` left-joined with ``groups``, one row of which stands for each ``key`` and has its rows' number, ``_n``.
 
-    A key may hold a third of all ``count`` rows.  Hot keys, at most HOT of them, are looked up by broadcast; in the
-    join of the others their rows are dealt by ``apart`` and meet nothing.  ``groups`` should be a written table.
+    A key may hold a third of all ``count`` rows.  The rows of hot keys are dealt to PLACES by ``apart``, and their
+    groups, at most HOT, are repeated for each.  ``groups`` should be a written table.
     """
     names = [c for c in groups.columns if c not in (key, "_n")]
     hot = F.col("_n") * HOT > F.lit(count)
-    hottest = groups.where(hot).select(F.col(key).alias("_hot"), F.struct(*names).alias("_of_hot"))
-    rest = groups.where(~hot).select(F.col(key).alias("_key"), F.lit(0).alias("_place"), F.struct(*names).alias("_of_rest"))
-    marked = rows.join(F.broadcast(hottest), F.col(key) == F.col("_hot"), "left")
-    spread = F.when(F.col("_hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(apart), F.lit(1 << 20)).cast("int"))
-    joined = marked.withColumn("_dealt", spread).join(
-        rest, (F.col(key) == F.col("_key")) & (F.col("_dealt") == F.col("_place")), "left"
-    )
-    return joined.select(*rows.columns, *[F.coalesce(f"_of_rest.{n}", f"_of_hot.{n}").alias(n) for n in names])
+    hottest = [r[0] for r in groups.where(hot).select(key).collect()]
+    spread = F.lit(0)
+    if hottest:
+        spread = F.when(F.col(key).isin(hottest), F.pmod(F.xxhash64(apart), F.lit(PLACES)).cast("int")).otherwise(0)
+    places = F.when(hot, F.sequence(F.lit(0), F.lit(PLACES - 1))).otherwise(F.array(F.lit(0)))
+    of = groups.select(F.col(key).alias("_key"), *names, F.explode(places).alias("_place"))
+    joined = rows.withColumn("_dealt", spread).join(of, (F.col(key) == F.col("_key")) & (F.col("_dealt") == F.col("_place")), "left")
+    return joined.select(*rows.columns, *names)
 
 
 def with_least(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
