@@ -1,10 +1,12 @@
 """Main text of web pages by a site style tree.
 
 The pages of a host are merged into one tree of element paths.  A node's presentation importance is the
-entropy of the child sequences seen there, a block's content importance falls with the number of pages
-that share its text, and both are combined from the leaves up.  Branches of low importance are cut out of
-each page, beside the elements that are furniture by their tag, role or class; what is left of the article
-is the text.
+entropy of the child sequences seen there; a block's content importance falls with the number of pages that
+share its text and, outside the article, with the share of it that is links.  Both start from a prior that
+stands for a few pages, so a host of one page has a tree as well, and are combined from the leaves up.  Names
+of classes and ids are priors: those of reader comments, adverts, notices and the like make a branch worthless
+unless it holds the article.  Branches of low importance are cut out of each page, beside elements that are
+furniture by their tag or role; what is left of the article is the text.
 """
 
 from __future__ import annotations
@@ -20,11 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_groups, written
+
 #: Weight of a node's children against its own presentation.
 DAMPING = 0.9
-#: A branch below this importance is cut, if so many different pages have it.
+#: A branch below this importance is cut.
 LOW_IMPORTANCE = 0.2
-LEAST_PAGES = 5
+#: Importance before any page is seen and the pages it stands for: of a node, and of one with a doubtful name.
+PRIOR, DOUBTFUL = (0.6, 2.0), (0.1, 1.0)
 
 # Elements of HTML by their kind.
 BLOCKS = frozenset(
@@ -41,18 +46,19 @@ FURNITURE_TAGS = frozenset(
 FURNITURE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split()
 )
-FURNITURE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner popup modal overlay "
-    "cookie cookies consent gdpr notice notices alert nav navbar navigation menu breadcrumb breadcrumbs pager "
-    "pagination sidebar side aside widget footer header masthead topbar toolbar login signup subscribe subscription "
-    "newsletter share sharing social related recommended recommendations comment comments replies reply respond "
-    "discussion disqus form search hidden".split()
+# Words in classes and ids.  Those of readers and furniture count anywhere in a name, those of
+# doubt may be borne by main text as well; a name with a word of layout says how a page is built, not what it holds.
+READER_WORDS = frozenset("comment comments reply replies respond disqus".split())
+FURNITURE_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr nav navbar "
+    "navigation menu breadcrumb breadcrumbs pager pagination sidebar footer masthead topbar toolbar signup subscribe "
+    "newsletter popup modal".split()
 )
-#: Names that main text bears as well, even as a whole name.
-WEAK_NAMES = frozenset(
-    "side form related share sharing search social notice notices alert hidden header banner overlay promotion "
-    "subscription login discussion respond reply recommended".split()
+DOUBTFUL_WORDS = frozenset(
+    "side form related share sharing search social notice notices alert hidden header banner overlay promotion subscription "
+    "login discussion recommended recommendations aside widget".split()
 )
+LAYOUT_WORDS = frozenset("has no not with without is layout grid column columns template theme".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th".split())
 CLOSED_BY_SAME = {
     "li": ("ul", "ol", "menu"),
@@ -73,7 +79,8 @@ _TOKEN = re.compile(
 )
 _NAME = re.compile(r"</?\s*([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"'<]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-_SPLIT_NAME = re.compile(r"[^a-z]+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_NOT_LETTERS = re.compile(r"[^a-z]+")
 
 
 @dataclass
@@ -84,7 +91,6 @@ class Element:
     in_article: int
     in_main: bool
     block: bool
-    named: tuple[int, ...]
 
 
 @dataclass
@@ -93,11 +99,15 @@ class Block:
     in_article: int
     in_main: bool
     text: str
-    named: tuple[int, ...] = ()
+    links: int = 0
 
     @property
     def prose(self) -> bool:
-        return self.path.rpartition("/")[2].partition(".")[0] in PARAGRAPHS
+        return _tag(self.path) in PARAGRAPHS
+
+
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
 
 
 def _attributes(tag: str) -> dict[str, str]:
@@ -106,7 +116,9 @@ def _attributes(tag: str) -> dict[str, str]:
 
 
 def _names(attributes: dict[str, str]) -> list[str]:
-    return [n for key in ("class", "id") for n in attributes.get(key, "").lower().split()]
+    """Class and id names, each as lower-case words joined by hyphens."""
+    names = [n for key in ("class", "id") for n in attributes.get(key, "").split()]
+    return [w for n in names if (w := _NOT_LETTERS.sub("-", _HUMP.sub("-", n).lower()).strip("-"))]
 
 
 def _is_furniture(tag: str, attributes: dict[str, str], parent: Element) -> bool:
@@ -117,58 +129,42 @@ def _is_furniture(tag: str, attributes: dict[str, str], parent: Element) -> bool
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
         return True
     names = _names(attributes)
-    if tag in ("a", "ins", "span"):
-        return any(n in FURNITURE_NAMES and n not in WEAK_NAMES for n in names)
+    if tag in ("a", "ins", "span"):  # not in the tree, which is one of blocks
+        return any(n in FURNITURE_WORDS or n in READER_WORDS for n in names)
     return tag == "article" and any(n.startswith(("comment", "reply")) for n in names)
 
 
-def _named(tag: str, attributes: dict[str, str]) -> bool | None:
-    """Whether names speak against a branch: False if weakly, None if not at all."""
+def name_kind(path: str) -> str | None:
+    """What the names of a path's last element make of it: "reader", "furniture", "doubtful" or nothing."""
+    tag, *names = path.rpartition("/")[2].split(".")
     if tag in ("html", "body", "main", "article"):
         return None
-    names = _names(attributes)
-    if tag == "form" or any(n in FURNITURE_NAMES and n not in WEAK_NAMES for n in names):
-        return True
-    if attributes.get("role", "").lower() == "form" or any(p in FURNITURE_NAMES for n in names for p in _SPLIT_NAME.split(n)):
-        return False
-    return None
-
-
-def _without_named(blocks: list[Block], named: list[bool]) -> list[Block]:
-    """Blocks outside the branches that their names speak against, and whose text does not speak for them.
-
-    A branch with most of the page's text, or with all of its article or main, stays; one with a weak name or
-    a part of one goes only if it holds no prose.  The site's tree may still cut what stays.
-    """
-    every = sum(len(b.text) for b in blocks)
-    kinds = [[b for b in blocks if b.in_article], [b for b in blocks if b.in_main]]
-    cut = set()
-    for number, strong in enumerate(named):
-        inside = [b for b in blocks if number in b.named]
-        most = 2 * sum(len(b.text) for b in inside) > every
-        whole = any(kind and all(number in b.named for b in kind) for kind in kinds)
-        if not most and not whole and (strong or not any(b.prose for b in inside)):
-            cut.add(number)
-    return [b for b in blocks if not cut.intersection(b.named)]
+    words = {w for n in names if LAYOUT_WORDS.isdisjoint(n.split("-")) for w in n.split("-")}
+    if words & READER_WORDS:
+        return "reader"
+    if tag == "form" or words & FURNITURE_WORDS:
+        return "furniture"
+    return "doubtful" if words & DOUBTFUL_WORDS else None
 
 
 def parse(page: str | None) -> tuple[list[Block], dict[str, list[str]]]:
-    """Text blocks outside furniture in page order, and the child paths of every block element."""
+    """Text blocks outside furniture tags in page order, and the child paths of every block element."""
     page = page or ""
-    root = Element("", "", False, 0, False, True, ())
+    root = Element("", "", False, 0, False, True)
     stack = [root]
     blocks: list[Block] = []
     children: dict[str, list[str]] = {}
     words: list[str] = []
-    named: list[bool] = []
-    articles = 0
+    links = articles = 0
 
     def flush() -> None:
+        nonlocal links
         text = " ".join("".join(words).split())
         words.clear()
         if text:
             owner = next(e for e in reversed(stack) if e.block)
-            blocks.append(Block(owner.path, owner.in_article, owner.in_main, text, owner.named))
+            blocks.append(Block(owner.path, owner.in_article, owner.in_main, text, min(links, len(text))))
+        links = 0
 
     def pop(depth: int) -> None:
         if any(e.block for e in stack[depth:]):
@@ -188,6 +184,8 @@ def parse(page: str | None) -> tuple[list[Block], dict[str, list[str]]]:
     for found in _TOKEN.finditer(page):
         if found.start() > at and not stack[-1].furniture:
             words.append(html.unescape(page[at : found.start()]))
+            if any(e.tag == "a" for e in stack):
+                links += len(words[-1])
         at = found.end()
         token = found[0]
         name = _NAME.match(token)
@@ -217,13 +215,10 @@ def parse(page: str | None) -> tuple[list[Block], dict[str, list[str]]]:
         attributes = _attributes(token) if len(token) > len(tag) + 2 else {}
         path = parent.path
         if block:
-            label = ".".join([tag, *sorted(filter(None, (_SPLIT_NAME.sub("", n) for n in _names(attributes))))])
+            label = ".".join([tag, *sorted(_names(attributes))])
             path = f"{parent.path}/{label}"
             children.setdefault(parent.path, []).append(path)
         furniture = parent.furniture or _is_furniture(tag, attributes, parent)
-        against = None if furniture or not block else _named(tag, attributes)
-        if against is not None:
-            named.append(against)
         articles += tag == "article"
         stack.append(
             Element(
@@ -233,13 +228,12 @@ def parse(page: str | None) -> tuple[list[Block], dict[str, list[str]]]:
                 0 if furniture else parent.in_article or (articles if tag == "article" else 0),
                 (parent.in_main or tag == "main" or attributes.get("role", "").lower() == "main") and not furniture,
                 block,
-                parent.named if against is None else (*parent.named, len(named) - 1),
             )
         )
     if at < len(page) and not stack[-1].furniture:
         words.append(html.unescape(page[at:]))
     flush()
-    return _without_named(blocks, named) if named else blocks, children
+    return blocks, children
 
 
 def _protected(path: str) -> bool:
@@ -258,7 +252,7 @@ def main_text(blocks: list[Block], cut: frozenset[str] | set[str] = frozenset())
     them, and main when more stands outside it.
     """
     if cut:
-        blocks = [b for b in blocks if not any(b.path == c or b.path.startswith(c + "/") for c in cut)]
+        blocks = [b for b in blocks if cut.isdisjoint(_above(b.path))]
     longest: dict[int, int] = {}
     for b in blocks:
         longest[b.in_article] = longest.get(b.in_article, 0) + len(b.text)
@@ -275,105 +269,155 @@ def _number(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-NODES = pa.schema(
-    [
-        ("host", pa.string()),
-        ("path", pa.string()),
-        ("content", pa.bool_()),
-        ("feature", pa.int64()),
-        ("page", pa.int64()),
-    ]
-)
-
-
-def page_nodes(host: str, page: str | None) -> Iterator[tuple]:
+def page_nodes(blocks: list[Block], children: dict[str, list[str]]) -> list[dict]:
     """The page's part of the style tree: presentation of each node and content of each block."""
-    blocks, children = parse(page)
-    same = _number(main_text(blocks))
+    rows = []
     for path, below in children.items():
         run = [c for k, c in enumerate(below) if k == 0 or below[k - 1] != c]
-        yield host, path, False, _number("\n".join(run)), same
-    for path, text in {(b.path, b.text) for b in blocks}:
-        yield host, path, True, _number(text), same
+        rows.append({"path": path, "content": False, "feature": _number("\n".join(run)), "chars": 0, "links": 0})
+    for path, text, links in {(b.path, b.text, b.links) for b in blocks}:
+        rows.append({"path": path, "content": True, "feature": _number(text), "chars": len(text), "links": links})
+    return rows
+
+
+def _above(path: str) -> Iterator[str]:
+    """A path and all above it."""
+    while path:
+        yield path
+        path = path.rpartition("/")[0]
 
 
 def low_branches(nodes: pd.DataFrame) -> list[str]:
     """Highest branches of one host's tree whose combined importance is low.
 
-    ``nodes`` has for each path: pages, and per kind the importance of its presentation or content.
+    ``nodes`` has for each path and kind (presentation or content): pages, importance, chars and links.
     """
-    own: dict[str, dict[bool, float]] = {}
-    pages: dict[str, int] = {}
+    own: dict[str, dict[bool, tuple[float, int]]] = {}
+    dense: dict[str, float] = {}
+    every = article = 0
+    sums = {"all": {}, "article": {}}
+    heads, prose, protected = set(), set(), set()
     for row in nodes.itertuples():
-        own.setdefault(row.path, {})[bool(row.content)] = float(row.importance)
-        pages[row.path] = max(pages.get(row.path, 0), int(row.pages))
+        path, content = row.path, bool(row.content)
+        own.setdefault(path, {})[content] = (float(row.importance), int(row.pages))
+        above = list(_above(path))
+        if any(_tag(p) in ("main", "h1") for p in above):
+            heads.update(above)
+        if not content:
+            continue
+        inside = any(_tag(p) in ("article", "main") for p in above)
+        dense[path] = 0.0 if inside else int(row.links) / max(1, int(row.chars))
+        if _tag(path) in PARAGRAPHS:
+            prose.update(above)
+        if _protected(path):
+            protected.update(above)
+        if not any(name_kind(p) == "reader" for p in above):
+            every += int(row.chars)
+            article += int(row.chars) * inside
+            for p in above:
+                sums["all"][p] = sums["all"].get(p, 0) + int(row.chars)
+                sums["article"][p] = sums["article"].get(p, 0) + int(row.chars) * inside
+
+    def worthless(path: str) -> bool:
+        """Whether names alone decide: unless the branch holds the article, or most text where there is none."""
+        kind = name_kind(path)
+        if kind is None or (kind == "doubtful" and path in prose):
+            return False
+        if kind == "reader":
+            return path not in heads
+        if article:
+            return 2 * sums["article"].get(path, 0) <= article
+        return path not in heads and 2 * sums["all"].get(path, 0) <= every
+
     below: dict[str, list[str]] = {}
     for path in own:
         below.setdefault(path.rpartition("/")[0], []).append(path)
     combined: dict[str, float] = {}
+    named = {path for path in own if path and worthless(path)}
     for path in sorted(own, key=lambda p: -p.count("/")):
+        if path in named:
+            combined[path] = 0.0
+            continue
+        prior, weight = DOUBTFUL if name_kind(path) == "doubtful" else PRIOR
+        smooth = {k: (weight * prior + n * x) / (weight + n) for k, (x, n) in own[path].items()}
         parts = [combined[c] for c in below.get(path, ()) if c != path]
-        if True in own[path]:
-            parts.append(own[path][True])
+        if True in smooth:
+            parts.append(smooth[True] * (1 - dense[path]))
         mean = sum(parts) / len(parts) if parts else 0.0
         share = DAMPING if parts else 0.0
-        combined[path] = (1 - share) * own[path].get(False, 0.0) + share * mean
+        combined[path] = (1 - share) * smooth.get(False, 0.0) + share * mean
     low = {
-        p
-        for p in own
-        if p and pages[p] >= LEAST_PAGES and combined[p] < LOW_IMPORTANCE and not _protected(p) and _may_go(p, own)
-    }
-    return sorted(p for p in low if not any(p.startswith(q + "/") for q in low))
+        p for p in own
+        if p in named or (p and combined[p] < LOW_IMPORTANCE and p not in protected and _tag(p) not in ("html", "body"))
+    }
+    return sorted(p for p in low if not any(q in low for q in _above(p.rpartition("/")[0])))
 
 
-def _may_go(path: str, own: dict) -> bool:
-    """A branch that holds protected prose stays, as do html and body themselves."""
-    if path.count("/") <= 2:
-        return False
-    return not any(q.startswith(path + "/") and _protected(q) for q in own)
-
+OUTLINE = (
+    "page_id long, url string, host string, same long, "
+    "blocks array<struct<path: string, in_article: int, in_main: boolean, text: string>>, "
+    "nodes array<struct<path: string, content: boolean, feature: long, chars: long, links: long>>"
+)
+_BLOCKS = pa.list_(pa.struct([("path", pa.string()), ("in_article", pa.int32()), ("in_main", pa.bool_()), ("text", pa.string())]))
+_NODES = pa.list_(
+    pa.struct([("path", pa.string()), ("content", pa.bool_()), ("feature", pa.int64()), ("chars", pa.int64()), ("links", pa.int64())])
+)
 
-def site_branches(pages: DataFrame) -> DataFrame:
-    """(host, cut): the low-importance branches of every host that has some.
 
-    Pages of a host with the same main text count as one page, so copies make no text look like
-    furniture.  Counting is done before rows meet in one task; a host's task gets one row per path.
-    """
+def outlines(pages: DataFrame) -> DataFrame:
+    """Every page parsed once: its text blocks, its part of the style tree, and a hash of its text before any cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [
-                r
-                for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for r in page_nodes(host, page)
-            ]
-            if rows:
-                columns = zip(*rows, strict=True)
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 256):
+                batch = whole.slice(begin, 256)
+                parsed = [parse(page) for page in batch.column("html").to_pylist()]
+                blocks = [
+                    [{"path": b.path, "in_article": b.in_article, "in_main": b.in_main, "text": b.text} for b in found]
+                    for found, _ in parsed
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, NODES, strict=True)], schema=NODES
+                    [
+                        *(batch.column(c) for c in ("page_id", "url", "host")),
+                        pa.array([_number(main_text(found)) for found, _ in parsed], pa.int64()),
+                        pa.array(blocks, _BLOCKS),
+                        pa.array([page_nodes(*p) for p in parsed], _NODES),
+                    ],
+                    names=["page_id", "url", "host", "same", "blocks", "nodes"],
                 )
 
-    nodes = pages.select("host", "html").mapInArrow(
-        run, "host string, path string, content boolean, feature long, page long"
+    return pages.mapInArrow(run, OUTLINE)
+
+
+def site_branches(parsed: DataFrame) -> DataFrame:
+    """(host, cut, _n): the low-importance branches of every host that has some, and the host's pages.
+
+    Pages of a host with the same text count as one page, so copies make no text look like furniture.  Counting
+    is done before rows meet in one task; a host's task gets one row per path.
+    """
+    nodes = parsed.select("host", "same", F.explode("nodes").alias("node")).select("host", "same", "node.*")
+    seen = nodes.distinct().groupBy("host", "path", "content", "feature").agg(
+        F.count("*").alias("n"), F.max("chars").alias("chars"), F.max("links").alias("links")
     )
-    seen = nodes.distinct().groupBy("host", "path", "content", "feature").agg(F.count("*").alias("n"))
     n = F.col("n").cast("double")
     # content: a text on n of m pages has entropy log n / log m; presentation: -sum p log p / log m
     per_path = seen.groupBy("host", "path", "content").agg(
         F.sum("n").alias("total"),
-        F.max("n").alias("most"),
         F.sum(n * F.log(n)).alias("n_log_n"),
+        F.sum(F.col("n") * F.col("chars")).alias("chars"),
+        F.sum(F.col("n") * F.col("links")).alias("links"),
     )
     total = F.col("total").cast("double")
     spread = F.when(F.col("total") <= 1, F.lit(1.0)).otherwise(1 - F.col("n_log_n") / (total * F.log(total)))
-    per_path = per_path.select("host", "path", "content", F.col("total").alias("pages"), spread.alias("importance"))
+    per_path = per_path.select("host", "path", "content", F.col("total").alias("pages"), spread.alias("importance"), "chars", "links")
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         low = low_branches(pdf)
         rows = [(pdf["host"].iloc[0], low)] if low else []
         return pd.DataFrame(rows, columns=["host", "cut"], dtype=object)
 
-    return per_path.groupBy("host").applyInPandas(cut, "host string, cut array<string>")
+    cuts = per_path.groupBy("host").applyInPandas(cut, "host string, cut array<string>")
+    return cuts.join(parsed.groupBy("host").agg(F.count("*").alias("_n")), "host")
 
 
 RESULT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
@@ -392,14 +436,15 @@ def extract_pages(pages: DataFrame) -> DataFrame:
         F.col("html").cast("string").alias("html"),
         F.lower(F.coalesce(F.regexp_extract("url", r"://([^/?#]*)", 1), F.lit(""))).alias("host"),
     )
-    joined = source.join(site_branches(source), "host", "left").select("page_id", "url", "html", "cut")
+    parsed = written(outlines(source))
+    branches = written(site_branches(parsed))
+    rows = parsed.select("page_id", "url", "host", "blocks")
+    joined = with_groups(rows, "host", branches, "page_id", rows.count()).select("page_id", "url", "blocks", "cut")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                main_text(parse(page)[0], frozenset(cut or ()))
-                for page, cut in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ]
+            found = zip(batch.column("blocks").to_pylist(), batch.column("cut").to_pylist(), strict=True)
+            texts = [main_text([Block(**b) for b in blocks], frozenset(cut or ())) for blocks, cut in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 schema=RESULT,

@@ -1,16 +1,19 @@
 """Edge cases of every operator against brute force on small tables."""
 
+import collections
 import hashlib
 import math
 import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
-from jobweave.llm.components import components
 from jobweave.llm import chat, decontamination, fingerprints, lm, neardup, packing, pages, quality, suffixes, toxicity
+from jobweave.llm.components import components
 
 DOCS = "doc_id long, text string"
 PASSAGE = "the quick brown fox jumps over the lazy dog and runs far away from the big bad wolf at night"
@@ -481,7 +484,75 @@ def test_page_text(frame):
     ],
 )
 def test_names_alone_cut_no_text(body, want):
-    assert pages.main_text(pages.parse(page(body))[0]) == want
+    assert alone(body) == want
+
+
+def host_tree(parsed):
+    """Cut branches of one host's pages, all counted here; a text that stands on several pages of the same text counts once."""
+    counts = collections.defaultdict(collections.Counter)
+    sizes = {}
+    for same in {pages.main_text(blocks): (blocks, children) for blocks, children in parsed}.values():
+        for node in pages.page_nodes(*same):
+            counts[node["path"], node["content"]][node["feature"]] += 1
+            sizes[node["path"], node["content"], node["feature"]] = node["chars"], node["links"]
+    rows = []
+    for (path, content), features in counts.items():
+        m = sum(features.values())
+        entropy = -sum(n / m * math.log(n / m) for n in features.values()) / math.log(m) if m > 1 else 1.0
+        chars, links = (sum(n * sizes[path, content, f][k] for f, n in features.items()) for k in (0, 1))
+        rows.append((path, content, m, entropy, chars, links))
+    return set(pages.low_branches(pd.DataFrame(rows, columns=["path", "content", "pages", "importance", "chars", "links"])))
+
+
+def alone(body):
+    parsed = pages.parse(page(body))
+    return pages.main_text(parsed[0], host_tree([parsed]))
+
+
+POST = "<article><h1>Title</h1><p>The story itself, told at some length.</p>{inside}</article>"
+
+
+@pytest.mark.parametrize("n", [1, 4, 50])
+@pytest.mark.parametrize(
+    "body",
+    [
+        POST + "<div class='cookie-banner'><p>We use cookies</p></div>",
+        "<div class='post'><h1>Title</h1><p>The story itself, told at some length.</p></div><div class='cookie-banner'><p>We use cookies</p></div>",
+        "<div class='post'><h1>Title</h1><p>The story itself, told at some length.</p></div><div class='comments-section'><p>Great post {i}</p></div>",
+        POST.replace("{inside}", "<div class='comment-list'><p>Great post {i}!</p></div>"),
+        POST.replace("{inside}", "<div class='ad-slot'><p>Buy now {i}</p></div>"),
+        "<main><h1>Title</h1><p>The story itself, told at some length.</p><div class='newsletter-signup'><p>Sign up today</p></div></main>",
+        "<div id='sidebar-left'><ul><li>Link one</li></ul></div><div class='x'><h1>Title</h1><p>The story itself, told at some length.</p></div>",
+        "<div class='x'><h1>Title</h1><p>The story itself, told at some length.</p></div><div class='comments'><p>" + "so long {i} " * 40 + "</p></div>",
+        POST + "<div class='commentList'><article><p>" + "an answer {i} " * 40 + "</p></article></div>",
+        POST + "<div class='z'><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul></div>",
+    ],
+)
+def test_furniture_goes_on_hosts_of_every_size(body, n):
+    bodies = [body.replace("{inside}", "").replace("{i}", f"number{i}").replace("Title", f"Title {i}").replace("story", f"story{i}") for i in range(n)]
+    parsed = [pages.parse(page(b)) for b in bodies]
+    cut = host_tree(parsed)
+    assert [pages.main_text(p[0], cut) for p in parsed] == [f"Title {i}\nThe story{i} itself, told at some length." for i in range(n)]
+
+
+def test_tree_counts_like_one_host_in_plain_python(frame):
+    """Importance, cuts and texts of a whole table against counting each host by itself."""
+    source = duckdb.sql("SELECT page_id, url, html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()
+    source += [(1000 + i, f"https://big.example/{i % 9}", source[i % 40][2]) for i in range(60)]
+    source += [(2000 + i, None, f"<div class=a><p>{words(9, i % 4)}</p></div><div class=b><p>same here</p></div>") for i in range(12)]
+    hosts = collections.defaultdict(list)
+    for page_id, url, html in source:
+        found = re.search(r"://([^/?#]*)", url or "")
+        hosts[found[1].lower() if found else ""].append((page_id, pages.parse(html)))
+    want, changed = {}, 0
+    for parsed in hosts.values():
+        cut = host_tree([p for _, p in parsed])
+        for page_id, (blocks, _) in parsed:
+            want[page_id] = pages.main_text(blocks, cut)
+            changed += any(not cut.isdisjoint(pages._above(b.path)) for b in blocks)
+    got = pages.extract_pages(frame(source, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+    assert changed > 250  # the tree takes something from the pages, such as their adverts
 
 
 def test_shared_branches_are_cut(frame):
