@@ -10,14 +10,17 @@ a name only ever has to be compared with leaders, of which there are few:
   have left;
 * the new leaders meet all names behind them, whoever is similar is decided.
 
-Names meet in blocks of bounded size, dealt evenly over the tasks, so neither
-a frequent word nor a long text makes a hot key.  Within a pair of blocks the
-letter counts of all texts bound all ratios at once; only pairs that can
-reach the threshold are compared letter by letter, each once.
+Names meet in blocks of bounded size, so neither a frequent word nor a long
+text makes a hot key.  A block holds names of like lengths: texts whose lengths
+differ much cannot be similar, so most pairs of blocks never meet.  Within a
+pair of blocks the letter counts of all texts bound all ratios at once; only
+pairs that can reach the threshold are compared letter by letter, each once.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -35,6 +38,8 @@ THRESHOLD = 0.8
 FRONT = 4096
 #: Names of a block; two blocks meet in one task.
 BLOCK = 1024
+#: Lengths of one band differ by this factor at most; names are grouped by the bands of their fields.
+BAND = 1.1
 #: Letters are counted in this many classes.
 CLASSES = 32
 #: Ratios a task remembers.
@@ -128,37 +133,110 @@ def walk(table: pa.Table, compare: Comparison) -> list[int]:
     return leaders
 
 
+@dataclass
+class Group:
+    """Names whose fields have lengths from ``low`` to ``high``, in ``blocks`` blocks."""
+
+    bands: list[str]
+    names: int
+    low: tuple[int, ...]
+    high: tuple[int, ...]
+
+    @property
+    def blocks(self) -> int:
+        return max(1, -(-self.names // BLOCK))
+
+
+def _banded(names: DataFrame, side: str) -> DataFrame:
+    sizes = F.transform(side, F.char_length)
+    bands = F.transform(sizes, lambda n: F.when(n > 0, F.floor(F.log(n) / math.log(BAND)) + 1).otherwise(0).cast("int"))
+    return names.withColumn("sizes", sizes).withColumn("band", F.array_join(bands, ","))
+
+
+def length_groups(names: DataFrame, side: str) -> list[Group]:
+    """Groups of names by the lengths of their fields, from one count per combination of bands.
+
+    Bands grow with the length, so their number is bounded whatever the texts.  Rare combinations that follow each
+    other share a group of up to a block.
+    """
+    banded = _banded(names, side)
+    width = names.select(F.size(side)).first()
+    if width is None:
+        return []
+    fields = range(width[0])
+    counted = banded.groupBy("band").agg(
+        F.count("*").alias("n"),
+        *[F.min(F.col("sizes")[f]).alias(f"low{f}") for f in fields],
+        *[F.max(F.col("sizes")[f]).alias(f"high{f}") for f in fields],
+    )
+    rows = sorted(counted.collect(), key=lambda r: [int(b) for b in r["band"].split(",")])
+    groups: list[Group] = []
+    for r in rows:
+        low, high = tuple(r[f"low{f}"] for f in fields), tuple(r[f"high{f}"] for f in fields)
+        last = groups[-1] if groups else None
+        if last is not None and last.names + r["n"] <= BLOCK:
+            wide = tuple(map(min, last.low, low)), tuple(map(max, last.high, high))
+            groups[-1] = Group([*last.bands, r["band"]], last.names + r["n"], *wide)
+        else:
+            groups.append(Group([r["band"]], r["n"], low, high))
+    return groups
+
+
+def may_meet(a: Group, b: Group, compare: Comparison) -> bool:
+    """Whether any two names of the groups can reach the threshold, by their lengths alone.
+
+    A text of n and one of m > n letters differ in m - n insertions at least.  A field that may be empty on a side
+    may not count, so it is taken as equal.
+    """
+    total = fields = 0.0
+    for low_a, high_a, low_b, high_b in zip(a.low, a.high, b.low, b.high):
+        gap, both = max((low_a - high_b, low_a + high_b), (low_b - high_a, low_b + high_a))
+        optional = compare.skip_empty and not (low_a and low_b)
+        total += 1.0 if optional or gap <= 0 else 1 - gap / both
+        fields += 1
+    return total >= (compare.threshold - 1e-9) * fields
+
+
+def meetings(early: list[Group], late: list[Group], compare: Comparison) -> list[tuple[int, int]]:
+    """Pairs of groups whose blocks meet."""
+    return [(i, j) for i, a in enumerate(early) for j, b in enumerate(late) if may_meet(a, b, compare)]
+
+
+#: Columns of a dealt name, after the name of its side.
+DEALT = ["id", "text", "agree", "own", "own_block", "other", "other_block"]
+
+
+def _dealt(names: DataFrame, side: str, own: list[Group], met: list[tuple[int, int, int]]) -> DataFrame:
+    """Names with their group and block, once for every group and block that theirs meets.
+
+    ``met`` holds (own group, other group, blocks of the other); it is as long as there are pairs of groups.
+    """
+    spark = names.sparkSession
+    bands = spark.createDataFrame([(b, i, g.blocks) for i, g in enumerate(own) for b in g.bands], "band string, own int, blocks int")
+    others = spark.createDataFrame(met, "own int, other int, other_blocks int")
+    rows = _banded(names, side).join(F.broadcast(bands), "band").join(F.broadcast(others), "own")
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    other_block = F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1))
+    columns = [F.col("id"), F.col(side), F.col("agree"), F.col("own"), block, F.col("other"), other_block]
+    return rows.select(*[c.alias(f"{side}_{name}") for c, name in zip(columns, DEALT)])
+
+
 def meet(early: DataFrame, late: DataFrame, compare: Comparison, every: bool, first: bool) -> DataFrame:
     """``early_id, late_id, score`` of similar pairs, the earlier one in ``early``.
 
     Each pair of blocks gives all of its pairs with ``every``, else the one choice of each later name: the
     first similar one, or the most similar and then first.
     """
-    parts = [max(1, -(-df.count() // BLOCK)) for df in (early, late)]
-    place = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    e = early.select(
-        F.col("id").alias("early_id"),
-        F.col("early").alias("early_text"),
-        F.col("agree").alias("early_agree"),
-        place(parts[0]).alias("early_a"),
-        all_of(parts[1]).alias("early_b"),
-    )
-    l = late.select(
-        F.col("id").alias("late_id"),
-        F.col("late").alias("late_text"),
-        F.col("agree").alias("late_agree"),
-        place(parts[1]).alias("late_b"),
-        all_of(parts[0]).alias("late_a"),
-    )
-
-    names = ["id", "text", "agree", "block", "other_block"]
+    e_groups, l_groups = length_groups(early, "early"), length_groups(late, "late")
+    met = meetings(e_groups, l_groups, compare)
+    e = _dealt(early, "early", e_groups, [(i, j, l_groups[j].blocks) for i, j in met])
+    l = _dealt(late, "late", l_groups, [(j, i, e_groups[i].blocks) for i, j in met])
 
     def pairs(left, right):
         found: list[tuple[int, int, float]] = []
         if left.num_rows and right.num_rows:
-            early_id, early_texts = _texts(left.rename_columns(names), "text")
-            late_id, late_texts = _texts(right.rename_columns(names), "text")
+            early_id, early_texts = _texts(left.rename_columns(DEALT), "text")
+            late_id, late_texts = _texts(right.rename_columns(DEALT), "text")
             for j in range(len(late_id)):
                 before = int(np.searchsorted(early_id, late_id[j]))
                 hits = np.flatnonzero(compare.possible(early_texts, late_texts, j)[:before])
@@ -179,7 +257,8 @@ def meet(early: DataFrame, late: DataFrame, compare: Comparison, every: bool, fi
         types = (pa.int64(), pa.int64(), pa.float64())
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("early_id", "late_id", "score"), columns, types)})
 
-    together = e.groupBy("early_a", "early_b").cogroup(l.groupBy("late_a", "late_b"))
+    mine, theirs = ("own", "own_block", "other", "other_block"), ("other", "other_block", "own", "own_block")
+    together = e.groupBy(*[f"early_{n}" for n in mine]).cogroup(l.groupBy(*[f"late_{n}" for n in theirs]))
     return together.applyInArrow(pairs, "early_id long, late_id long, score double")
 
 

@@ -77,24 +77,54 @@ def sample_values(df: DataFrame, column: str, row_id: str, n: int = 3) -> DataFr
     return picked.select(F.lit(column).alias("column"), F.col(row_id).alias("row_id"), F.col(f"`{column}`").cast("string").alias("value"))
 
 
-def page_streaks(pages: DataFrame, site: str, page: str, new_count: str, limit: int = 10) -> DataFrame:
+def page_streaks(
+    pages: DataFrame, site: str, page: str, new_count: str, limit: int = 10, reported: str | None = None
+) -> DataFrame:
     """How many pages in a row up to each page brought nothing new, and where a crawl stops.
 
     The streak is the distance to the last page with news; a crawl stops at the
-    first page whose streak exceeds ``limit``.  A site may fill many partitions
-    of the range sort: each part counts on its own, and one row per site and
-    part carries the count and the last news forward.
+    first page whose streak exceeds ``limit``.  With ``reported``, the column
+    of the total that a page states, it also stops once so many were ``found``
+    as the site's first page stated (``total``; none unless positive).  A site
+    may fill many partitions of the range sort: each part counts on its own, and
+    one row per site and part carries the counts and the last news forward.
     """
     placed = _placed(pages, site, page)
     local = Window.partitionBy("_part", site).orderBy(_ROW)
-    counted = placed.withColumn("_n", F.row_number().over(local))
+    brought = F.coalesce(F.col(new_count).cast("bigint"), F.lit(0))
+    counted = placed.withColumn("_n", F.row_number().over(local)).withColumn("_found", F.sum(brought).over(local))
     news = F.when(F.col(new_count) > 0, F.col("_n"))
-    parts = counted.groupBy(site, "_part").agg(F.count("*").alias("_size"), F.max(news).alias("_news"))
+    states = F.col(reported).cast("bigint") if reported else F.lit(None).cast("bigint")
+    parts = counted.groupBy(site, "_part").agg(
+        F.count("*").alias("_size"), F.max(news).alias("_news"), F.sum(brought).alias("_sum"),
+        F.min_by(F.struct(states.alias("total")), _ROW).alias("_first"),
+    )
     offset = F.coalesce(F.sum("_size").over(_before(site)), F.lit(0))
     parts = parts.withColumn("_offset", offset)
     carried = F.coalesce(F.max(F.col("_news") + F.col("_offset")).over(_before(site)), F.lit(0))
-    parts = parts.select(site, "_part", "_offset", carried.alias("_carried"))
+    found_before = F.coalesce(F.sum("_sum").over(_before(site)), F.lit(0)).alias("_found_before")
+    total = F.first("_first").over(Window.partitionBy(site).orderBy("_part"))["total"].alias("total")
+    parts = parts.select(site, "_part", "_offset", carried.alias("_carried"), found_before, total)
     ordered = counted.withColumn("_last", F.max(news).over(local)).join(parts, [site, "_part"])
     last = F.coalesce(F.col("_last") + F.col("_offset"), F.col("_carried"))
-    streaks = ordered.withColumn("streak", F.col("_n") + F.col("_offset") - last)
-    return streaks.withColumn("stops", F.col("streak") > limit).select(*pages.columns, "streak", "stops")
+    streaks = ordered.withColumn("streak", F.col("_n") + F.col("_offset") - last).withColumn(
+        "found", F.col("_found") + F.col("_found_before")
+    )
+    silent = F.col("streak") > limit
+    if not reported:
+        return streaks.select(*pages.columns, "streak", silent.alias("stops"))
+    reached = F.coalesce((F.col("total") > 0) & (F.col("found") >= F.col("total")), F.lit(False))
+    return streaks.select(*pages.columns, "streak", "found", "total", (silent | reached).alias("stops"))
+
+
+def crawl_progress(
+    pages: DataFrame, links: DataFrame, site: str, page: str, link: str, reported: str, limit: int = 10
+) -> DataFrame:
+    """``page_streaks`` of the pages of a crawl, with ``new_count``: the links that no earlier page of the site had.
+
+    ``pages`` has one row a page, ``links`` one row a link of a page; a page without links brings nothing.
+    """
+    first = links.filter(F.col(link).isNotNull()).groupBy(site, link).agg(F.min(page).alias(page))
+    new = first.groupBy(site, page).agg(F.count("*").alias("new_count"))
+    rows = pages.join(new, [site, page], "left").withColumn("new_count", F.coalesce("new_count", F.lit(0)))
+    return page_streaks(rows, site, page, "new_count", limit, reported)

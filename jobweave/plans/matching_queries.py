@@ -11,6 +11,7 @@ from ..operators.entities import record_similarity
 from ..sources.readers import FILE, POSITION
 from .derive import postings, postings_cte
 from .features import _accents_sql, _clean_sql, _expand_sql, _norm_sql, _NUMBERS, _signature_sql
+from ..functions.html import reported_total
 from .registry import ORACLES, joined, query, table
 
 KEYS = ["job_title_clean", "company_name", "location_clean"]
@@ -84,6 +85,19 @@ def keep_first_link(spark, sf):
 _DECOMPOSED = "CASE WHEN posting_id % 2 = 0 THEN replace(replace({c}, 'ô', 'o\u0302'), 'à', 'a\u0300') ELSE {c} END"
 
 
+def chunk_rows(rows):
+    """Postings as records of seven chunk files, one in three without a link."""
+    return rows.selectExpr(
+        "posting_id",
+        f"posting_id % 7 AS {FILE}",
+        f"posting_id AS {POSITION}",
+        "CASE WHEN posting_id % 3 = 0 THEN '' ELSE link END AS `Liên_kết`",
+        "title AS `tên công việc`",
+        f"{_DECOMPOSED.format(c='company')} AS `công ty`",
+        f"{_DECOMPOSED.format(c='location')} AS `địa điểm làm việc`",
+    )
+
+
 @query(
     "chunk_merge",
     f"""WITH {postings_cte('posting_id', 'title', 'company', 'location', 'link', 'industry')},
@@ -96,15 +110,7 @@ _DECOMPOSED = "CASE WHEN posting_id % 2 = 0 THEN replace(replace({c}, 'ô', 'o\u
     SELECT posting_id, link, row_number() OVER (ORDER BY file, pos) AS stt FROM f WHERE rn = 1""",
 )
 def chunk_merge(spark, sf):
-    chunks = postings(spark, sf, "posting_id", "title", "company", "location", "link").selectExpr(
-        "posting_id",
-        f"posting_id % 7 AS {FILE}",
-        f"posting_id AS {POSITION}",
-        "CASE WHEN posting_id % 3 = 0 THEN '' ELSE link END AS `Liên_kết`",
-        "title AS `tên công việc`",
-        f"{_DECOMPOSED.format(c='company')} AS `công ty`",
-        f"{_DECOMPOSED.format(c='location')} AS `địa điểm làm việc`",
-    )
+    chunks = chunk_rows(postings(spark, sf, "posting_id", "title", "company", "location", "link"))
     merged = dedup.merge_chunks(chunks, number="stt")
     return merged.select("posting_id", F.col("`Liên_kết`").alias("link"), "stt")
 
@@ -148,6 +154,26 @@ def page_streaks(spark, sf):
     return ranking.page_streaks(events, "site", "page", "news").select("site", "page", "streak", "stops")
 
 
+@query(
+    "crawl_progress",
+    "WITH l AS (SELECT event_type AS site, event_id // 16 AS page, user_id AS link FROM events), "
+    "p AS (SELECT site, page, page % 9 + 2 * length(site) AS reported FROM l GROUP BY ALL), "
+    "f AS (SELECT site, link, min(page) AS page FROM l WHERE link IS NOT NULL GROUP BY ALL), "
+    "n AS (SELECT site, page, count(*) AS new_count FROM f GROUP BY ALL), "
+    "c AS (SELECT site, page, coalesce(new_count, 0) AS new_count, row_number() OVER w AS k, "
+    "CAST(sum(coalesce(new_count, 0)) OVER w AS BIGINT) AS found, first(reported) OVER w AS total FROM p LEFT JOIN n USING (site, page) "
+    "WINDOW w AS (PARTITION BY site ORDER BY page)), "
+    "s AS (SELECT *, k - coalesce(max(CASE WHEN new_count > 0 THEN k END) OVER (PARTITION BY site ORDER BY page), 0) AS streak FROM c) "
+    "SELECT site, page, new_count, streak, found, total, streak > 10 OR (total > 0 AND found >= total) AS stops FROM s",
+)
+def crawl_progress(spark, sf):
+    """Event types as sites, users as links: where a crawl ends, by silence or by the total that it was told."""
+    links = table(spark, sf, "events").selectExpr("event_type AS site", "event_id DIV 16 AS page", "user_id AS link")
+    told = F.concat(F.lit("<p>("), (F.col("page") % 9 + 2 * F.length("site")).cast("string"), F.lit(" việc)</p>"))
+    pages = links.select("site", "page").distinct().withColumn("reported", reported_total(told))
+    return ranking.crawl_progress(pages, links, "site", "page", "link", "reported").drop("reported")
+
+
 @query(
     "sample_seeded",
     "SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(concat(CAST(o_orderkey AS VARCHAR), ':42')), o_orderkey LIMIT 500",
