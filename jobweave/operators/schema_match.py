@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import ratio
+from .measured import measure, with_type
 from .ranking import sample_values
 
 NAME_THRESHOLD = 0.8
@@ -86,9 +87,24 @@ def detect_schema(frames: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "source string, position int, column string, type string")
 
 
-def describe_schema(frames: dict[str, DataFrame], row_id: str) -> DataFrame:
-    """``source, position, column, type, samples, field``: the first three values of each column, and its role."""
-    rows = detect_schema({s: df.drop(row_id) for s, df in frames.items()})
+def measured_schema(frames: dict[str, DataFrame], parse: bool = False) -> DataFrame:
+    """Schema rows with the type that the values have, and the counts per kind it follows from.
+
+    One pass per source.  JSON values read as variants count as they were written; ``parse`` asks what texts
+    spell, for sources that hold nothing but text.  Columns of an empty table have no type.
+    """
+    measures = [measure(df, parse=parse).withColumn("source", F.lit(source)) for source, df in frames.items()]
+    typed = with_type(reduce(DataFrame.unionByName, measures))
+    return detect_schema(frames).drop("type").join(typed, ["source", "column"], "left")
+
+
+def describe_schema(frames: dict[str, DataFrame], row_id: str, rows: DataFrame | None = None) -> DataFrame:
+    """``source, position, column, type, samples, field``: the first three values of each column, and its role.
+
+    ``rows`` are schema rows made before, of the frames without ``row_id``.
+    """
+    if rows is None:
+        rows = detect_schema({s: df.drop(row_id) for s, df in frames.items()})
     parts = [
         sample_values(df, name, row_id).withColumn("source", F.lit(source))
         for source, df in frames.items()
@@ -166,13 +182,21 @@ def overall_compatibility(fields: DataFrame) -> DataFrame:
     )
 
 
-def analyze(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Schema rows, mapping, unified schema and compatibility of the non-empty sources."""
+def analyze(
+    frames: dict[str, DataFrame], row_id: str | None = None, measured: bool = False
+) -> dict[str, DataFrame]:
+    """Schema rows, mapping, unified schema and compatibility of the non-empty sources.
+
+    ``measured`` takes types from the values instead of the declared columns.  With ``row_id``, a column that
+    orders the rows and has no role, the result also has ``described``: samples and roles of the columns.
+    """
     filled = {source: df for source, df in frames.items() if not df.isEmpty()}
-    rows = detect_schema(filled)
+    plain = {source: df.drop(row_id) for source, df in filled.items()} if row_id else filled
+    rows = measured_schema(plain) if measured else detect_schema(plain)
     mapped = map_columns(rows)
     fields = field_compatibility(mapped, len(filled))
-    return {
+    described = {"described": describe_schema(filled, row_id, rows)} if row_id else {}
+    return described | {
         "schemas": rows,
         "mapping": mapped,
         "unified": unified_schema(mapped, len(filled)),

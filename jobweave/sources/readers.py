@@ -64,6 +64,16 @@ def load_json(
     return _drop_broken(_read(spark, path, schema, "json", options, placed), schema)
 
 
+def load_variants(spark: SparkSession, path, names: Iterable[str]) -> DataFrame:
+    """JSON lines, the named members as variants that keep the type each value was written with.
+
+    A path into a variant quotes a name one way or the other, so a name may not hold both kinds of quotes.
+    """
+    rows = spark.read.option("singleVariantColumn", "_record").json(path)
+    paths = {n: f"$['{n}']" if '"' in n else f'$["{n}"]' for n in names}
+    return rows.select(*[F.try_variant_get("_record", at, "variant").alias(n) for n, at in paths.items()])
+
+
 def load_csv(spark: SparkSession, path, schema: T.StructType, **options: str) -> DataFrame:
     """CSV with a header, quoted line breaks and an optional byte-order mark."""
     defaults = {"header": "true", "escape": '"', "enforceSchema": "true", "multiLine": "true"}
