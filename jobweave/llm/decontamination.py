@@ -15,19 +15,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BASE, WORD, gram_hashes, mixed, word_spans, words_of
+from ..sources.filesets import located
+from .common import _BASE, WORD, gram_hashes, mixed, word_spans, words_of, written
 
 WINDOW = 10
 #: Bits of a shift table: 2**18 bytes.
 TABLE_BITS = 18
 #: Words searched by one cursor.
 STRETCH = 512
-#: Texts of the searched items that go to every task at once.  A larger set is searched in several
-#: rounds of this size, each a pass over the documents.
-ROUND_BYTES = 32 << 20
+#: Bytes of item texts whose windows a task holds at once; about 300 bytes of tables for each window.
+ROUND_BYTES = 2 << 20
+#: An item is stored in pieces of at most this many words that share ``window - 1`` words with the next.
+PIECE_WORDS = 4096
+#: Bytes of document texts searched for one round of items after the other.
+CHUNK_BYTES = 64 << 20
 
 RESULT = pa.schema(
     [
@@ -144,6 +150,95 @@ def hits(texts: list[str | None], sets: list[SearchSet]) -> tuple[np.ndarray, np
     return words[1], np.cumsum(flags[:-1]) > 0, first, items
 
 
+def item_pieces(items: list[tuple[int, str | None]], window: int = WINDOW) -> Iterator[tuple[int, str]]:
+    """The items cut so that every window lies whole in a piece and no piece has other windows than its item."""
+    for item_id, text in items:
+        raw, starts, ends, _, _ = words_of([text], WORD)
+        for at in range(0, max(len(starts) - window + 1, min(len(starts), 1)), PIECE_WORDS):
+            last = min(at + PIECE_WORDS + window - 1, len(starts)) - 1
+            yield item_id, raw[starts[at] : ends[last]].decode("utf-8", "surrogatepass")
+
+
+def stored_items(benchmark: DataFrame, window: int = WINDOW) -> list[str]:
+    """Files in the shared checkpoint folder that hold the items in pieces; tasks read them by themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                ids, texts = (c.to_pylist() for c in batch.slice(at, 1).columns)
+                cut = list(item_pieces(list(zip(ids, texts, strict=True)), window))
+                columns = [pa.array([c[0] for c in cut], pa.int64()), pa.array([c[1] for c in cut], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["item_id", "text"])
+
+    source = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return sorted(written(source.mapInArrow(run, "item_id long, text string")).inputFiles())
+
+
+class StoredSets:
+    """Search sets of stored items, a round of bounded size at a time; a single round is kept between passes."""
+
+    def __init__(self, files: list[str], window: int = WINDOW):
+        self.files, self.window = files, window
+        self.single: list[SearchSet] | None = None
+
+    def _rounds(self) -> Iterator[list[tuple[int, str]]]:
+        held, size = [], 0
+        for file in self.files:
+            store, path = located(file)
+            with store.open_input_file(path) as opened:
+                for batch in pq.ParquetFile(opened).iter_batches(batch_size=16):
+                    for item_id, text in zip(*(batch.column(c).to_pylist() for c in ("item_id", "text")), strict=True):
+                        if held and size + len(text) > ROUND_BYTES:
+                            yield held
+                            held, size = [], 0
+                        held.append((item_id, text))
+                        size += len(text)
+        yield held
+
+    def __iter__(self) -> Iterator[list[SearchSet]]:
+        if self.single is not None:
+            yield self.single
+            return
+        count, sets = 0, []
+        for items in self._rounds():
+            count, sets = count + 1, search_sets(items, self.window)
+            yield sets
+        if count == 1:
+            self.single = sets
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of at most 1,024 rows, gathered up to ``CHUNK_BYTES`` of text."""
+    held, size = [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column(place))).as_py() or 0
+            if size >= CHUNK_BYTES:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def searched(batches: Iterator[pa.RecordBatch], place: int, stored: StoredSets):
+    """(slice, hit flags of the words, first word of each text, items of each text) over all rounds of items."""
+    for chunk in _chunks(batches, place):
+        found: list = [None] * len(chunk)
+        for sets in stored:
+            for i, part in enumerate(chunk):
+                _, flags, first, items = hits(part.column(place).to_pylist(), sets)
+                if found[i] is None:
+                    found[i] = [flags, first, items]
+                else:
+                    found[i][0] |= flags
+                    for mine, more in zip(found[i][2], items, strict=True):
+                        mine |= more
+        for part, (flags, first, items) in zip(chunk, found, strict=True):
+            yield part, flags, first, items
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Words of each document that lie in a window of a benchmark item, and those items.
 
@@ -151,101 +246,43 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     items have no window; items and documents that occur several times count as they stand (an item id
     once per document).  Extra columns are not read; empty tables on either side are fine.
 
-    The benchmark is read to the driver in rounds of at most ``ROUND_BYTES``; one round is the usual
-    case, and its tables go to the tasks with the function.
+    The documents are read once and stay where they are.  Items are written in pieces to the checkpoint
+    folder; a task reads them in rounds of ``ROUND_BYTES`` and unites what the rounds find, so neither a
+    task nor the driver ever holds a benchmark of any size.
     """
-    rounds = list(_rounds(benchmark))
-    if len(rounds) == 1:
-        return _search(docs, rounds[0], window).drop("item_ids", "hit_words")
-    return _several(docs, rounds, window)
+    files = stored_items(benchmark, window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, flags, first, items in searched(batches, 1, StoredSets(files, window)):
+            counts = np.concatenate([[0], np.cumsum(flags)])
+            n_hit = counts[first[1:]] - counts[first[:-1]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).cast(pa.int64()),
+                    pa.array(np.diff(first)),
+                    pa.array(n_hit.astype(np.int64)),
+                    pa.array([len(f - {None}) for f in items], pa.int64()),
+                    pa.array([_digest(f) for f in items]),
+                    pa.array(n_hit > 0),
+                ],
+                schema=RESULT,
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, RESULT_DDL)
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in whose text no window of a benchmark item occurs, with all their columns."""
     place = docs.columns.index("text")
-    for items in _rounds(benchmark):
-
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            sets = search_sets(items, window)
-            for batch in batches:
-                for at in range(0, batch.num_rows, 1024):
-                    part = batch.slice(at, 1024)
-                    _, flags, first, _ = hits(part.column(place).to_pylist(), sets)
-                    counts = np.concatenate([[0], np.cumsum(flags)])
-                    yield part.filter(pa.array(counts[first[1:]] == counts[first[:-1]]))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    files = stored_items(benchmark, window)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, flags, first, _ in searched(batches, place, StoredSets(files, window)):
+            counts = np.concatenate([[0], np.cumsum(flags)])
+            yield part.filter(pa.array(counts[first[1:]] == counts[first[:-1]]))
 
-def _rounds(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    held, size = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
-        if size + len(row[1] or "") > ROUND_BYTES and held:
-            yield held
-            held, size = [], 0
-        held.append((row[0], row[1]))
-        size += len(row[1] or "")
-    yield held
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _digest(ids) -> str:
     return hashlib.sha256(",".join(sorted(str(i) for i in ids if i is not None)).encode()).hexdigest()
-
-
-def _search(docs: DataFrame, items: list, window: int) -> DataFrame:
-    schema = RESULT.append(pa.field("item_ids", pa.list_(pa.int64()))).append(
-        pa.field("hit_words", pa.list_(pa.int32()))
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = search_sets(items, window)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                ids, texts = (c.to_pylist() for c in batch.slice(at, 1024).columns)
-                _, flags, first, found = hits(texts, sets)
-                counts = np.concatenate([[0], np.cumsum(flags)])
-                n_hit = counts[first[1:]] - counts[first[:-1]]
-                where = [np.flatnonzero(flags[a:b]).astype(np.int32) for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, pa.int64()),
-                        pa.array(np.diff(first)),
-                        pa.array(n_hit.astype(np.int64)),
-                        pa.array([len(f - {None}) for f in found], pa.int64()),
-                        pa.array([_digest(f) for f in found]),
-                        pa.array(n_hit > 0),
-                        pa.array([sorted(f - {None}) for f in found], pa.list_(pa.int64())),
-                        pa.array(where, pa.list_(pa.int32())),
-                    ],
-                    schema=schema,
-                )
-
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInArrow(run, RESULT_DDL + ", item_ids array<long>, hit_words array<int>")
-
-
-def _several(docs: DataFrame, rounds: list, window: int) -> DataFrame:
-    """Searches by rounds, their hits united per row."""
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    per_round = None
-    for items in rounds:
-        part = _search(numbered.withColumn("doc_id", F.col("row")), items, window)
-        per_round = part if per_round is None else per_round.unionByName(part)
-    merged = per_round.groupBy(F.col("doc_id").alias("row")).agg(
-        F.first("n_words").alias("n_words"),
-        F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("hit_words")))).cast("long").alias("n_hit"),
-    )
-    return (
-        numbered.select(F.col("doc_id").cast("long"), "row")
-        .join(merged, "row")
-        .select(
-            "doc_id",
-            "n_words",
-            "n_hit",
-            F.size("item_ids").cast("long").alias("n_items"),
-            F.sha2(F.array_join(F.sort_array(F.col("item_ids").cast("array<string>")), ","), 256).alias("items_sha256"),
-            (F.col("n_hit") > 0).alias("contaminated"),
-        )
-    )
