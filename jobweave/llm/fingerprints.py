@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_bytes
@@ -23,6 +24,8 @@ HARD_BITS, EASY_BITS = 7, 5
 GEAR = np.random.default_rng(2024).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 #: Bytes of text in one stretch of the order by id.
 STRETCH_BYTES = 8 << 20
+#: Up to this number stretches grow with the input, beyond it with its root: 100 TB make 220,000 of 450 MB.
+STRETCHES = 4096
 
 RESULT = pa.schema(
     [
@@ -158,6 +161,21 @@ def fingerprinted(rows: Iterator[tuple], at_once: int = 256) -> Iterator[list[tu
     yield run(held)
 
 
+def stretch_number(key: Column, cuts: list[int]) -> Column:
+    """How many of the sorted ``cuts`` are less than ``key``, by binary search in a constant array."""
+    if not cuts:
+        return F.lit(0)
+    # text that is folded into one array literal; a literal per cut would make a plan of as many nodes
+    array = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+
+    def further(at: Column, step: Column) -> Column:
+        less = F.get(array, at + step - 1) < key  # null beyond the end
+        return F.when(less, at + step).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+
+
 def fingerprints(docs: DataFrame, stretch_bytes: int = STRETCH_BYTES) -> DataFrame:
     """Fingerprint of every text and of its edited text, and how alike they are.
 
@@ -169,18 +187,15 @@ def fingerprints(docs: DataFrame, stretch_bytes: int = STRETCH_BYTES) -> DataFra
     it, so the texts are shuffled once and a task streams over them.
     """
     spark = docs.sparkSession
-    stretches = max(1, min(4096, text_bytes(docs) // stretch_bytes))
+    wanted = text_bytes(docs) // stretch_bytes
+    stretches = max(1, min(wanted, isqrt(wanted * STRETCHES)))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shares = [i / stretches for i in range(1, stretches)]
-    cuts = sorted(set(source.agg(F.percentile_approx("doc_id", shares, 100_000)).first()[0] or [])) if shares else []
+    accuracy = max(100_000, 10 * stretches)
+    cuts = sorted(set(source.agg(F.percentile_approx("doc_id", shares, accuracy)).first()[0] or [])) if shares else []
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    number = F.lit(0)
-    if cuts:
-        number = F.aggregate(
-            F.array(*[F.lit(c) for c in cuts]), F.lit(0), lambda n, c: n + F.when(key > c, 1).otherwise(0)
-        )
-    placed = source.withColumn("key", key).withColumn("stretch", number.cast("int"))
-    # one row per stretch, at most 4096
+    placed = source.withColumn("key", key).withColumn("stretch", stretch_number(key, cuts))
+    # one row per stretch
     firsts = sorted((r[0], r[1]) for r in placed.groupBy("stretch").agg(F.min("key")).collect())
     if not firsts:
         firsts = [(0, 0)]

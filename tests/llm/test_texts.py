@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from jobweave.llm import chat, decontamination, fingerprints, lm, neardup, packing, pages, quality, suffixes, toxicity
 from jobweave.llm.components import components
@@ -168,7 +169,8 @@ def test_decontamination(frame, texts, items):
 
 
 def test_decontamination_in_rounds(frame, texts, monkeypatch):
-    monkeypatch.setattr(decontamination, "ROUND_BYTES", 40)
+    for name, value in (("ROUND_BYTES", 40), ("PIECE_WORDS", 2), ("CHUNK_BYTES", 100)):
+        monkeypatch.setattr(decontamination, name, value)
     items = frame(ITEMS, "item_id long, text string")
     got = decontamination.decontaminate(frame(texts, DOCS), items).collect()
     assert sorted((tuple(r) for r in got), key=str) == contaminated(texts, ITEMS)
@@ -176,6 +178,14 @@ def test_decontamination_in_rounds(frame, texts, monkeypatch):
     assert Counter(r["doc_id"] for r in clean) == Counter(r[0] for r in contaminated(texts, ITEMS) if not r[5])
 
 
+def test_pieces_hold_every_window_once(monkeypatch):
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 7)
+    items = [(1, words(60, 4)), (2, "A b"), (3, None), (4, "?"), (5, " ".join("abcdefghij")), (6, words(23, 5))]
+    pieces = list(decontamination.item_pieces(items))
+    assert decontamination.items_windows(pieces) == decontamination.items_windows(items)
+    assert max(len(t.split()) for _, t in pieces) <= 7 + 9
+
+
 def test_long_text_is_searched_whole():
     sets = decontamination.search_sets([(1, PASSAGE)])
     text = " ".join([words(3000, 7), PASSAGE, words(3000, 8), PASSAGE])
@@ -435,6 +445,13 @@ def test_fingerprints(frame, texts, stretch):
     assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 8, 1000])
+def test_stretches_by_binary_search(spark, n):
+    cuts = [3 * i for i in range(n)]
+    rows = spark.range(-2, 3 * n + 3).select("id", fingerprints.stretch_number(F.col("id"), cuts).alias("n"))
+    assert all(r["n"] == sum(c < r["id"] for c in cuts) for r in rows.collect())
+
+
 def test_fingerprints_survive_shifts():
     base = words(2000, 1)
     a, b, c = fingerprints.digest_sets([base.encode(), ("new start " + base).encode(), words(2000, 2).encode()])
