@@ -286,6 +286,17 @@ def salary_dialect_a(spark, sf):
     return _salary_frame(postings(spark, sf, "posting_id", "salary_text"), salary.salary_range_a)
 
 
+@query(
+    "salary_pair",
+    _salary_a_sql(postings_cte("posting_id", "salary_text"), "SELECT posting_id, salary_min AS low, salary_max AS high FROM r"),
+)
+def salary_pair(spark, sf):
+    """Salary ranges carried as arrays of two, taken apart again as doubles."""
+    p = postings(spark, sf, "posting_id", "salary_text")
+    pair = p.select("posting_id", salary.as_pair(salary.salary_range_a("salary_text")).alias("pair"))
+    return pair.select("posting_id", *[F.get("pair", F.lit(i)).cast("double").alias(n) for i, n in enumerate(("low", "high"))])
+
+
 @query("salary_dialect_b", _salary_b_sql(postings_cte("posting_id", "salary_text"), _SALARY_COLUMNS))
 def salary_dialect_b(spark, sf):
     return _salary_frame(postings(spark, sf, "posting_id", "salary_text"), salary.salary_range_b)

@@ -72,12 +72,13 @@ def export_summary(summary: DataFrame, root: str) -> str:
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False, bom: bool = False) -> str:
-    """CSV with a header; ``bom`` puts a byte-order mark before the header of each file."""
+    """CSV with a header, white space around values kept; ``bom`` puts a byte-order mark before the header of each file."""
     columns = list(df.columns)
     if bom:
         df = df.withColumnRenamed(columns[0], "﻿" + columns[0])
     df = df.coalesce(1) if single_file else df
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
