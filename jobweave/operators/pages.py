@@ -162,25 +162,32 @@ def joboko_requirements(page: Page) -> Column:
     return F.coalesce(first, rest, F.lit(""))
 
 
-def joboko_fact(page: Page, labels: list[str]) -> Column:
-    """Bold value of the first fact whose label holds one of the words, else the label itself."""
-    items = page.find(".nw-job-list__main", ".block-entry", ".item")
+def joboko_facts(page: Page, labels: dict[str, list[str]]) -> Column:
+    """Per field the bold value of the first fact whose label holds one of its words, else the label itself.
 
-    def fact(item: Column) -> Column:
-        label = page.first_text(".item-content", inside=item)
-        value = F.nullif(page.first_text(".fw-bold", inside=item, separator=""), F.lit(""))
+    The facts are read once for all fields.
+    """
+    items = page.find(".nw-job-list__main", ".block-entry", ".item")
+    facts = F.transform(
+        items,
+        lambda item: F.struct(
+            page.first_text(".item-content", inside=item).alias("label"),
+            F.nullif(page.first_text(".fw-bold", inside=item, separator=""), F.lit("")).alias("value"),
+        ),
+    )
 
-        def pick(text: Column) -> Column:
+    def first(found: Column, words: list[str]) -> Column:
+        def pick(fact: Column) -> Column:
             result = F.lit(None).cast("string")
-            for word in reversed(labels):
-                bare = strip(F.replace(text, F.lit(f"{word}:"), F.lit("")))
-                result = F.when(_has(text, word), F.coalesce(value, bare)).otherwise(result)
+            for word in reversed(words):
+                bare = strip(F.replace(fact["label"], F.lit(f"{word}:"), F.lit("")))
+                result = F.when(_has(fact["label"], word), F.coalesce(fact["value"], bare)).otherwise(result)
             return result
 
-        return let(label, pick)
+        hits = F.filter(F.transform(found, pick), lambda v: v.isNotNull())
+        return F.coalesce(F.get(hits, F.lit(0)), F.lit(""))
 
-    hits = F.filter(F.transform(items, fact), lambda v: v.isNotNull())
-    return F.coalesce(F.get(hits, F.lit(0)), F.lit(""))
+    return let(facts, lambda found: F.struct(*[first(found, words).alias(name) for name, words in labels.items()]))
 
 
 def joboko_company(page: Page) -> Column:
@@ -284,8 +291,10 @@ def joboko_details(
         "ki_nang_yeu_cau": joboko_requirements(page),
         "quy_mo": joboko_company_size(page),
         "han_nop": joboko_deadline(page),
-    } | {name: joboko_fact(page, labels) for name, labels in FACT_LABELS.items()}
-    facts = parsed(one_per_address(pages, "url", order)).select(F.col("url").alias("link"), *[f.alias(n) for n, f in fields.items()])
+        "facts": joboko_facts(page, FACT_LABELS),
+    }
+    read = parsed(one_per_address(pages, "url", order)).select(F.col("url").alias("link"), *[f.alias(n) for n, f in fields.items()])
+    facts = read.select("*", "facts.*").drop("facts")
     # rows without a link have no page, so they need not meet in one task
     has_link = F.coalesce(F.col("link"), F.lit("")) != ""
     rows = links.filter(has_link).join(facts, "link", "inner" if strict else "left")

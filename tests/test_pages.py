@@ -52,9 +52,9 @@ def test_facts(spark):
     main = '<div class="nw-job-list__main"><div class="block-entry">{}</div></div>'
     item = '<div class="item"><div class="item-content">{}</div></div>'
     markup = main.format(item.format("Mức lương: <b class='fw-bold'>10 triệu</b>") + item.format("Kinh nghiệm: 2 năm") + "<div class='item'>x</div>")
-    assert value(spark, markup, lambda p: pg.joboko_fact(p, pg.FACT_LABELS["muc_luong"])) == "10 triệu"
-    assert value(spark, markup, lambda p: pg.joboko_fact(p, pg.FACT_LABELS["kinh_nghiem"])) == "2 năm"
-    assert value(spark, markup, lambda p: pg.joboko_fact(p, pg.FACT_LABELS["cap_bac"])) == ""
+    assert value(spark, markup, lambda p: pg.joboko_facts(p, pg.FACT_LABELS)["muc_luong"]) == "10 triệu"
+    assert value(spark, markup, lambda p: pg.joboko_facts(p, pg.FACT_LABELS)["kinh_nghiem"]) == "2 năm"
+    assert value(spark, markup, lambda p: pg.joboko_facts(p, pg.FACT_LABELS)["cap_bac"]) == ""
 
 
 def test_company_place_size_deadline(spark):
