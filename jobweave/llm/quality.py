@@ -208,4 +208,10 @@ def score_quality(docs: DataFrame, model: dict, folds: int = 4, held_out: int =
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row, learned from the labels outside the held-out fold.
+
+    A null or empty text is scored as one chunk of zero bytes.  Without labels, or without documents that have
+    one, the network scores as it was drawn; without documents there are no rows.  Rows that repeat an id are
+    scored each by their own text.  Extra columns of either table are not read.
+    """
     return score_quality(docs, fit(docs, labels))

@@ -219,4 +219,10 @@ def without_toxic(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataF
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row, learned from the labels outside the held-out fold.
+
+    Null, empty and wordless texts get the score of the bias alone.  Without labels, or without documents that
+    have one, every score is 0.5; without documents there are no rows.  Rows that repeat an id are scored each
+    by their own text.  Extra columns of either table are not read.
+    """
     return score_toxicity(docs, fit(docs, labels))

@@ -258,3 +258,23 @@ def test_pipeline_edges(spark, tmp_path, case):
         spark.createDataFrame(data, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in got} == {"empty": set(), "nulls": {None, 1, 2}, "repeats": {1}}[case]
+
+
+@pytest.mark.parametrize("score, unlearned", [(toxicity.toxicity, 0.5), (quality.quality, None)])
+def test_scores_at_the_edges(spark, score, unlearned):
+    """Nulls, empty texts, repeated ids, clashing extra columns, and tables without rows or labels."""
+    docs_ddl, labels_ddl = "doc_id long, text string, label int", "doc_id long, toxic int, quality int, text string"
+    rows = [(1, None, 9), (2, "", 9), (3, "a b c", 9), (3, "x y", 9), (None, "q", 9)]
+    docs, none = spark.createDataFrame(rows, docs_ddl), spark.createDataFrame([], labels_ddl)
+    elsewhere = spark.createDataFrame([(77, 1, 1, "z")], labels_ddl)
+    labels = spark.createDataFrame([(1, 0, 1, "z"), (2, 1, 0, "z"), (3, 1, 1, "z")], labels_ddl)
+    assert score(spark.createDataFrame([], docs_ddl), labels).collect() == []
+    learned = {}
+    for name, table in {"none": none, "elsewhere": elsewhere, "labels": labels}.items():
+        got = score(docs, table).orderBy("doc_id", "score").collect()
+        assert [r["doc_id"] for r in got] == [None, 1, 2, 3, 3]
+        assert got[1]["score"] == got[2]["score"] and all(0 <= r["score"] <= 1 for r in got)
+        learned[name] = [tuple(r) for r in got]
+    assert learned["none"] == learned["elsewhere"]
+    if unlearned is not None:
+        assert {r[2] for r in learned["none"]} == {unlearned}
