@@ -5,7 +5,9 @@ after that (selecting, reading text, walking siblings) is a Spark expression on
 those arrays, so no shuffle is needed and a page never leaves its row.
 
 ``element``: ``node, last, parent, tag, id, classes, href, content`` where the
-nodes ``node + 1 … last`` lie inside the element.  ``text``: ``at, parent, text``.
+nodes ``node + 1 … last`` lie inside the element.  It is number ``place`` of the
+elements, and the next ``inside`` ones lie below it, as do ``text_count`` texts
+from number ``text_place`` on.  ``text``: ``at, parent, text``.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from functools import reduce
+from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +35,10 @@ _ELEMENT = (
     .add("href", "string")
     .add("content", "string")
     .add("property", "string")
+    .add("place", "integer")
+    .add("inside", "integer")
+    .add("text_place", "integer")
+    .add("text_count", "integer")
 )
 _TEXT = T.StructType().add("at", "integer").add("parent", "integer").add("text", "string")
 PAGE_TYPE = T.StructType().add("elements", T.ArrayType(_ELEMENT)).add("texts", T.ArrayType(_TEXT))
@@ -40,69 +47,120 @@ VOID = "area base br col embed hr img input link meta param source track wbr".sp
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "strong", "b")
 
 
-def _outline(markup: str) -> dict:
-    """Elements and texts of one page in document order."""
-    from html.parser import HTMLParser
-
-    elements, texts, open_nodes, count = [], [], [], [0]
-
-    def leave(depth):
-        for element in open_nodes[depth:]:
-            element["last"] = count[0]
-        del open_nodes[depth:]
-
-    class Outline(HTMLParser):
-        def handle_starttag(self, tag, attrs):
-            attrs = dict(attrs)
-            count[0] += 1
-            element = {
-                "node": count[0],
-                "last": count[0],
-                "parent": open_nodes[-1]["node"] if open_nodes else 0,
-                "tag": tag,
-                "id": attrs.get("id"),
-                "classes": (attrs.get("class") or "").split(),
-                "href": attrs.get("href"),
-                "content": attrs.get("content"),
-                "property": attrs.get("property"),
-            }
-            elements.append(element)
-            if tag not in VOID:
-                open_nodes.append(element)
-
-        def handle_startendtag(self, tag, attrs):
-            self.handle_starttag(tag, attrs)
-            if tag not in VOID:
-                leave(len(open_nodes) - 1)
-
-        def handle_endtag(self, tag):
-            for depth in range(len(open_nodes) - 1, -1, -1):
-                if open_nodes[depth]["tag"] == tag:
-                    return leave(depth)
-
-        def handle_data(self, data):
-            parent = open_nodes[-1] if open_nodes else {"node": 0, "tag": ""}
-            if texts and texts[-1]["at"] == count[0] and texts[-1]["parent"] == parent["node"]:
-                texts[-1]["text"] += data
-                return
-            count[0] += 1
-            if parent["tag"] not in ("script", "style", "template"):
-                texts.append({"at": count[0], "parent": parent["node"], "text": data})
-
-        def handle_comment(self, data):
-            count[0] += 1
-
-    parser = Outline(convert_charrefs=True)
-    parser.feed(markup)
-    parser.close()
-    leave(0)
-    return {"elements": elements, "texts": texts}
-
-
-@F.pandas_udf(PAGE_TYPE)
-def _parse(html: pd.Series) -> pd.DataFrame:
-    pages = [_outline(markup or "") for markup in html]
-    return pd.DataFrame({"elements": [p["elements"] for p in pages], "texts": [p["texts"] for p in pages]})
+#: Characters of markup whose elements are held as Python objects at a time.
+HELD = 1 << 20
+
+
+class _Outline(HTMLParser):
+    """Elements and texts of pages in document order, one flat list a field; ``end_page`` ends a page."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.clear()
+
+    def clear(self):
+        self.elements = {f.name: [] for f in _ELEMENT}
+        self.texts = {f.name: [] for f in _TEXT}
+        self.element_ends, self.text_ends = [0], [0]
+        self.begin_page()
+
+    def begin_page(self):
+        self.reset()
+        # of the open elements: tag, node and place in the lists
+        self.open, self.count = [], 0
+
+    def end_page(self):
+        self.close()
+        self.leave(0)
+        self.element_ends.append(len(self.elements["node"]))
+        self.text_ends.append(len(self.texts["at"]))
+        self.begin_page()
+
+    def leave(self, depth):
+        columns = self.elements
+        elements, texts = len(columns["node"]), len(self.texts["at"]) - self.text_ends[-1]
+        for _, _, i in self.open[depth:]:
+            columns["last"][i] = self.count
+            columns["inside"][i] = elements - i - 1
+            columns["text_count"][i] = texts + 1 - columns["text_place"][i]
+        del self.open[depth:]
+
+    def handle_starttag(self, tag, attrs):
+        attrs = dict(attrs)
+        self.count += 1
+        columns = self.elements
+        columns["node"].append(self.count)
+        columns["last"].append(self.count)
+        columns["parent"].append(self.open[-1][1] if self.open else 0)
+        columns["tag"].append(tag)
+        columns["classes"].append((attrs.get("class") or "").split())
+        for name in ("id", "href", "content", "property"):
+            columns[name].append(attrs.get(name))
+        columns["place"].append(len(columns["node"]) - self.element_ends[-1])
+        columns["inside"].append(0)
+        columns["text_place"].append(len(self.texts["at"]) - self.text_ends[-1] + 1)
+        columns["text_count"].append(0)
+        if tag not in VOID:
+            self.open.append((tag, self.count, len(columns["node"]) - 1))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.leave(len(self.open) - 1)
+
+    def handle_endtag(self, tag):
+        for depth in range(len(self.open) - 1, -1, -1):
+            if self.open[depth][0] == tag:
+                return self.leave(depth)
+
+    def handle_data(self, data):
+        tag, parent, _ = self.open[-1] if self.open else ("", 0, 0)
+        at, owner, text = self.texts["at"], self.texts["parent"], self.texts["text"]
+        if len(at) > self.text_ends[-1] and at[-1] == self.count and owner[-1] == parent:
+            text[-1] += data
+            return
+        self.count += 1
+        if tag not in ("script", "style", "template"):
+            at.append(self.count)
+            owner.append(parent)
+            text.append(data)
+
+    def handle_comment(self, data):
+        self.count += 1
+
+    def arrays(self) -> pa.StructArray:
+        """The pages ended since the last call, as Arrow columns."""
+
+        def listed(columns, ends, kind):
+            fields = [pa.field(f.name, _ARROW[f.dataType.simpleString()]) for f in kind]
+            items = pa.StructArray.from_arrays([pa.array(columns[f.name], f.type) for f in fields], fields=fields)
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
+
+        pages = [listed(self.elements, self.element_ends, _ELEMENT), listed(self.texts, self.text_ends, _TEXT)]
+        self.clear()
+        return pa.StructArray.from_arrays(pages, names=PAGE_TYPE.names)
+
+
+_ARROW = {"int": pa.int32(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
+
+
+def outlines(html: pa.Array) -> pa.Array:
+    """Parsed pages.  Elements become Arrow columns after each ``HELD`` characters, so a batch is never held as objects."""
+    outline, done, held = _Outline(), [], 0
+    for value in html:
+        markup = value.as_py() or ""
+        outline.feed(markup)
+        outline.end_page()
+        held += len(markup)
+        if held >= HELD:
+            done.append(outline.arrays())
+            held = 0
+    return pa.concat_arrays([*done, outline.arrays()])
+
+
+# Not deterministic for the optimiser alone: it copies other calls into filters, below the step that deals the pages to
+# tasks, where a page would be parsed a second time and all of them by one task.
+_parse = F.arrow_udf(outlines, PAGE_TYPE).asNondeterministic()
 
 
 def parse_page(html: Column | str) -> Column:
@@ -110,7 +168,10 @@ def parse_page(html: Column | str) -> Column:
 
 
 class Page:
-    """Selector expressions over a parsed page column."""
+    """Selector expressions over a parsed page column.
+
+    An element may be given as an expression: it is evaluated once, not for every text or element it is compared with.
+    """
 
     def __init__(self, page: Column | str):
         page = _c(page)
@@ -142,9 +203,7 @@ class Page:
     def find(self, *path: str, inside: Column | None = None) -> Column:
         """Elements matching the last selector that lie below matches of the ones before it."""
         first = self.matches(path[0])
-        found = F.filter(
-            self.elements, lambda e: first(e) & self.below(e, inside) if inside is not None else first(e)
-        )
+        found = F.filter(self.elements if inside is None else self.elements_below(inside), first)
         for selector in path[1:]:
             found = self._inside(found, self.matches(selector))
         return found
@@ -157,6 +216,13 @@ class Page:
             ),
         )
 
+    def elements_below(self, ancestor: Column) -> Column:
+        below = F.slice(self.elements, ancestor["place"] + 1, ancestor["inside"])
+        return F.coalesce(below, F.slice(self.elements, 1, 0))
+
+    def texts_below(self, e: Column) -> Column:
+        return F.slice(self.texts, e["text_place"], e["text_count"])
+
     @staticmethod
     def below(e: Column, ancestor: Column) -> Column:
         return (e["node"] > ancestor["node"]) & (e["node"] <= ancestor["last"])
@@ -169,14 +235,21 @@ class Page:
 
     def raw_text(self, e: Column) -> Column:
         """All text below the element, as it stands."""
-        inner = F.filter(self.texts, lambda t: (t["at"] > e["node"]) & (t["at"] <= e["last"]))
-        return F.when(e.isNotNull(), F.array_join(F.transform(inner, lambda t: t["text"]), ""))
+
+        def read(e: Column) -> Column:
+            return F.when(e.isNotNull(), F.array_join(F.transform(self.texts_below(e), lambda t: t["text"]), ""))
+
+        return let(e, read)
 
     def text(self, e: Column, separator: str = " ", collapse: bool = True) -> Column:
         """Text pieces below the element, trimmed and joined; white space collapses unless told otherwise."""
-        inner = F.filter(self.texts, lambda t: (t["at"] > e["node"]) & (t["at"] <= e["last"]))
-        pieces = F.array_join(F.array_remove(F.transform(inner, lambda t: strip(t["text"])), ""), separator)
-        return F.when(e.isNotNull(), collapse_space(pieces) if collapse else pieces)
+
+        def read(e: Column) -> Column:
+            stripped = F.transform(self.texts_below(e), lambda t: strip(t["text"]))
+            pieces = F.array_join(F.array_remove(stripped, ""), separator)
+            return F.when(e.isNotNull(), collapse_space(pieces) if collapse else pieces)
+
+        return let(e, read)
 
     def all_text(self) -> Column:
         pieces = F.array_remove(F.transform(self.texts, lambda t: strip(t["text"])), "")
@@ -190,16 +263,21 @@ class Page:
     # --- siblings ------------------------------------------------------------------------------------------------
 
     def siblings_after(self, e: Column) -> Column:
-        return F.filter(self.elements, lambda s: (s["parent"] == e["parent"]) & (s["node"] > e["last"]))
+        return let(
+            e, lambda e: F.filter(self.elements, lambda s: (s["parent"] == e["parent"]) & (s["node"] > e["last"]))
+        )
 
     def next_node(self, e: Column) -> Column:
         """The element that follows at once, with no text in between."""
-        return self.first(
-            F.filter(self.elements, lambda s: (s["parent"] == e["parent"]) & (s["node"] == e["last"] + 1))
+        return let(
+            e,
+            lambda e: self.first(
+                F.filter(self.elements, lambda s: (s["parent"] == e["parent"]) & (s["node"] == e["last"] + 1))
+            ),
         )
 
     def parent_of(self, e: Column) -> Column:
-        return self.first(F.filter(self.elements, lambda p: p["node"] == e["parent"]))
+        return let(e, lambda e: self.first(F.filter(self.elements, lambda p: p["node"] == e["parent"])))
 
 
 def plain_text(html: Column | str) -> Column:

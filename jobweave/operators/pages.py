@@ -341,16 +341,27 @@ def topcv_results(pages: DataFrame, url: str = "url") -> DataFrame:
     return rows.select(url, "position", "card.*").filter(F.col("job_url").isNotNull())
 
 
-def topcv_fact(page: Page, title: str) -> Column:
+# Titles of a posting page's fact boxes, sections and lists, and the column each fills.
+JOB_FACTS = {"detail_salary": "Mức lương", "detail_location": "Địa điểm", "detail_experience": "Kinh nghiệm"}
+JOB_SECTIONS = {"desc_mota": "Mô tả công việc", "desc_yeucau": "Yêu cầu ứng viên", "desc_quyenloi": "Quyền lợi"}
+JOB_LISTS = {"working_addresses": "Địa điểm làm việc", "working_times": "Thời gian làm việc"}
+
+
+def topcv_facts(page: Page, titles: dict[str, str]) -> Column:
+    """Per field the value of the first fact box with its title.  The boxes are read once for all fields."""
     box = ".job-detail__info--section"
-    value = F.transform(
-        F.filter(
-            page.find(box),
-            lambda s: F.lower(F.coalesce(page.first_text(f"{box}-content-title", inside=s), F.lit(""))) == title.lower(),
+    facts = F.transform(
+        page.find(box),
+        lambda s: F.struct(
+            F.lower(F.coalesce(page.first_text(f"{box}-content-title", inside=s), F.lit(""))).alias("title"),
+            F.coalesce(page.first_text(f"{box}-content-value", inside=s), page.text(s)).alias("value"),
         ),
-        lambda s: F.coalesce(page.first_text(f"{box}-content-value", inside=s), page.text(s)),
     )
-    return F.nullif(F.get(value, F.lit(0)), F.lit(""))
+
+    def first(found: Column, title: str) -> Column:
+        return F.nullif(F.get(F.filter(found, lambda f: f["title"] == title.lower()), F.lit(0))["value"], F.lit(""))
+
+    return let(facts, lambda found: F.struct(*[first(found, title).alias(name) for name, title in titles.items()]))
 
 
 def topcv_deadline(page: Page) -> Column:
@@ -366,29 +377,40 @@ def _joined(values: Column) -> Column:
     return F.nullif(F.array_join(F.array_remove(values, ""), "; "), F.lit(""))
 
 
-def topcv_section(page: Page, title: str) -> Column:
-    """Text of the last description block with this heading."""
-    blocks = F.filter(
+def topcv_sections(page: Page, titles: dict[str, str]) -> Column:
+    """Per field the text of the last description block with its heading.  The blocks are read once for all fields."""
+    blocks = F.transform(
         page.find(".job-description", ".job-description__item"),
-        lambda e: F.coalesce(page.first_text("h3", inside=e), F.lit("")) == title,
-    )
-    bodies = F.filter(
-        F.transform(blocks, lambda e: page.first_text(".job-description__item--content", inside=e)),
-        lambda t: t.isNotNull(),
+        lambda e: F.struct(
+            F.coalesce(page.first_text("h3", inside=e), F.lit("")).alias("heading"),
+            page.first_text(".job-description__item--content", inside=e).alias("body"),
+        ),
     )
-    return F.nullif(F.try_element_at(bodies, F.lit(-1)), F.lit(""))
+
+    def last(found: Column, title: str) -> Column:
+        bodies = F.filter(found, lambda b: (b["heading"] == title) & b["body"].isNotNull())
+        return F.nullif(F.try_element_at(bodies, F.lit(-1))["body"], F.lit(""))
+
+    return let(blocks, lambda found: F.struct(*[last(found, title).alias(name) for name, title in titles.items()]))
 
 
-def topcv_list(page: Page, title: str) -> Column:
-    """Entries of the blocks whose heading holds the words, joined by semicolons."""
-    blocks = F.filter(
+def topcv_lists(page: Page, titles: dict[str, str]) -> Column:
+    """Per field the entries of the blocks whose heading holds its words, joined by semicolons."""
+    blocks = F.transform(
         page.find(".job-description__item"),
-        lambda e: F.exists(page.find("h3", inside=e), lambda h: F.contains(page.text(h), F.lit(title))),
-    )
-    entries = F.transform(
-        blocks, lambda e: F.transform(page.find(".job-description__item--content", "div,li", inside=e), lambda d: page.text(d))
+        lambda e: F.struct(
+            e.alias("element"), F.transform(page.find("h3", inside=e), lambda h: page.text(h)).alias("headings")
+        ),
     )
-    return _joined(F.flatten(entries))
+
+    def entries(found: Column, title: str) -> Column:
+        titled = F.filter(found, lambda b: F.exists(b["headings"], lambda h: F.contains(h, F.lit(title))))
+        return _joined(F.flatten(F.transform(titled, lambda b: content(b["element"]))))
+
+    def content(e: Column) -> Column:
+        return F.transform(page.find(".job-description__item--content", "div,li", inside=e), lambda d: page.text(d))
+
+    return let(blocks, lambda found: F.struct(*[entries(found, title).alias(name) for name, title in titles.items()]))
 
 
 def topcv_company_link(page: Page) -> Column:
@@ -400,21 +422,19 @@ def topcv_company_link(page: Page) -> Column:
 def topcv_jobs(pages: DataFrame, url: str = "url") -> DataFrame:
     """Detail record of a posting page."""
     page = Page("page")
-    return pages.select(
+    read = pages.select(
         F.col(url).alias("job_url"),
         _filled(page.first_text(".job-detail__info--title,h1")).alias("detail_title"),
-        topcv_fact(page, "Mức lương").alias("detail_salary"),
-        topcv_fact(page, "Địa điểm").alias("detail_location"),
-        topcv_fact(page, "Kinh nghiệm").alias("detail_experience"),
+        topcv_facts(page, JOB_FACTS).alias("facts"),
         topcv_deadline(page).alias("deadline"),
         _joined(F.transform(page.find(".job-tags", "a.item"), lambda a: page.text(a))).alias("tags"),
-        topcv_section(page, "Mô tả công việc").alias("desc_mota"),
-        topcv_section(page, "Yêu cầu ứng viên").alias("desc_yeucau"),
-        topcv_section(page, "Quyền lợi").alias("desc_quyenloi"),
-        topcv_list(page, "Địa điểm làm việc").alias("working_addresses"),
-        topcv_list(page, "Thời gian làm việc").alias("working_times"),
+        topcv_sections(page, JOB_SECTIONS).alias("sections"),
+        topcv_lists(page, JOB_LISTS).alias("lists"),
         topcv_company_link(page).alias("company_url_from_job"),
     )
+    return read.select(
+        "job_url", "detail_title", "facts.*", "deadline", "tags", "sections.*", "lists.*", "company_url_from_job"
+    )
 
 
 # Where a company page may keep its name, facts and description, best first.
@@ -484,10 +504,12 @@ def topcv_rows(cards: DataFrame, jobs: DataFrame, companies: DataFrame, order: l
     A posting is known by the path of its address; pages that are missing leave
     nulls, and of pages stored several times one counts.
     """
+    # the records are read twice to choose one of an address, which must not parse their pages twice
+    jobs, companies = cut_lineage(jobs), cut_lineage(companies.withColumnRenamed("company_url", "_company"))
     first = keep_first(cards, [url_path("job_url")], order)
     rows = first.join(one_per_address(jobs, "job_url"), "job_url", "left")
     rows = rows.withColumn("_company", F.coalesce("company_url_from_job", "company_url"))
-    found = cut_lineage(one_per_address(companies.withColumnRenamed("company_url", "_company"), "_company"))
+    found = cut_lineage(one_per_address(companies, "_company"))
     return renumber(lookup(cut_lineage(rows), found, ["_company"]).drop("_company"), *order)
 
 
@@ -525,11 +547,14 @@ def careerlink_details(pages: DataFrame, url: str = "url", contact: bool = False
     )
     labels = page.find("div.row.job-summary.d-flex", "div.my-0.summary-label")
 
-    def fact(label: Column) -> Column:
-        text = page.raw_text(label)
+    def kind_of(text: Column) -> Column:
         kind = F.lit(None).cast("string")
         for words, name in reversed(SUMMARY_LABELS.items()):
             kind = F.when(F.contains(text, F.lit(words)), F.lit(name)).otherwise(kind)
+        return kind
+
+    def fact(label: Column) -> Column:
+        kind = let(page.raw_text(label), kind_of)
         following = page.first(F.filter(page.siblings_after(label), lambda s: s["tag"] == "div"))
         return F.struct(kind.alias("kind"), page.raw_text(following).alias("value"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import spread
+from ..session import deal, spread
 from .registry import table
 
 SALARY_FORMS = """CASE {k} % 20
@@ -133,7 +133,9 @@ def _select(columns: dict[str, str], names: tuple[str, ...]) -> list[str]:
 
 
 def postings(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "part").selectExpr(*_select(POSTING, names)))
+    return deal(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")).selectExpr(
+        *_select(POSTING, names)
+    )
 
 
 def line_postings(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:

@@ -12,6 +12,7 @@ from ..functions.html import (
     url_path,
 )
 from ..operators import pages as pg
+from ..session import deal
 from ..sources.schemas import DETAIL_ORDER
 from ..sources.sinks import in_order
 from .derive import postings, postings_cte
@@ -204,7 +205,7 @@ JOBOKO_LISTING = _html(
 
 
 def _listing_pages(spark, sf):
-    rows = table(spark, sf, "part").selectExpr("p_partkey AS posting_id", "p_name")
+    rows = deal(table(spark, sf, "part").selectExpr("p_partkey AS posting_id", "p_name"))
     return pg.parsed(rows.selectExpr("posting_id", f"{JOBOKO_LISTING} AS html"))
 
 
