@@ -12,10 +12,13 @@ import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Characters of texts that are held as Python objects at a time.
+HELD = 1 << 20
+
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\s\x0B\x1C-\x1F\x85\p{Z}"
 BOUNDARY = rf"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
@@ -56,14 +59,22 @@ def collapse_space(col: Column | str) -> Column:
     return F.trim(F.regexp_replace(_c(col), rf"[{SPACE}]+", " "))
 
 
-def normalize_unicode(col: Column | str, form: str) -> Column:
-    """Unicode normal form; Spark has no builtin, so one Arrow pandas UDF."""
+def normalise(values: pa.Array, form: str) -> pa.Array:
+    """Unicode normal form.  Texts become an Arrow column after each ``HELD`` characters, so a batch is never held as objects."""
+    done, held, size = [], [], 0
+    for value in values:
+        value = value.as_py()
+        held.append(value if value is None else unicodedata.normalize(form, value))
+        size += len(value or "")
+        if size >= HELD:
+            done.append(pa.array(held, pa.string()))
+            held, size = [], 0
+    return pa.concat_arrays([*done, pa.array(held, pa.string())])
 
-    @F.pandas_udf("string")
-    def normalise(values: pd.Series) -> pd.Series:
-        return values.str.normalize(form)
 
-    return normalise(_c(col))
+def normalize_unicode(col: Column | str, form: str) -> Column:
+    """Unicode normal form; Spark has no builtin, so one Arrow UDF."""
+    return F.arrow_udf(lambda values: normalise(values, form), "string")(_c(col))
 
 
 def clean_text(col: Column | str, form: str | None = None) -> Column:
