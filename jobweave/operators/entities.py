@@ -54,6 +54,11 @@ class Texts:
         self.agree = agree
         n, fields = len(rows), len(rows[0]) if rows else 0
         self.sizes = np.array([[len(t) for t in row] for row in rows], dtype=np.int64).reshape(n, fields)
+        # hashes of the texts that must be equal, 0 for an empty one
+        self.marks = np.zeros((n, max((len(texts or ()) for texts in agree), default=0)), dtype=np.int64)
+        for i, texts in enumerate(agree):
+            for f, text in enumerate(texts or ()):
+                self.marks[i, f] = hash(text) or 1 if text else 0
         self.counts = np.zeros((fields, n, CLASSES), dtype=np.int16)
         for i, row in enumerate(rows):
             for f, text in enumerate(row):
@@ -80,14 +85,23 @@ class Comparison:
         """
         if not len(early.rows):
             return np.zeros(0, dtype=bool)
-        total, filled = np.zeros(len(early.rows)), np.zeros(len(early.rows))
-        for f in range(len(early.counts)):
-            both = early.sizes[:, f] + late.sizes[j, f]
-            edits = np.abs(early.counts[f] - late.counts[f, j]).sum(axis=1, dtype=np.int64)
+        if self.agreeing:
+            # few names agree, and only they are worth a look at their letters
+            agree = ((early.marks == late.marks[j]) & (late.marks[j] != 0)).sum(axis=1) >= self.agreeing
+            at = np.flatnonzero(agree)
+            agree[at] = self._reaches(early.sizes[at], early.counts[:, at], late, j)
+            return agree
+        return self._reaches(early.sizes, early.counts, late, j)
+
+    def _reaches(self, sizes: np.ndarray, counts: np.ndarray, late: Texts, j: int) -> np.ndarray:
+        total, filled = np.zeros(len(sizes)), np.zeros(len(sizes))
+        for f in range(len(counts)):
+            both = sizes[:, f] + late.sizes[j, f]
+            edits = np.abs(counts[f] - late.counts[f, j]).sum(axis=1, dtype=np.int64)
             bound = 1.0 - edits / np.maximum(both, 1)
-            counts = (early.sizes[:, f] > 0) & (late.sizes[j, f] > 0) if self.skip_empty else np.ones(len(bound), dtype=bool)
-            total += np.where(counts, bound, 0.0)
-            filled += counts
+            used = (sizes[:, f] > 0) & (late.sizes[j, f] > 0) if self.skip_empty else np.ones(len(bound), dtype=bool)
+            total += np.where(used, bound, 0.0)
+            filled += used
         return (filled > 0) & (total >= (self.threshold - 1e-9) * filled)
 
     def score(self, early: Texts, i: int, late: Texts, j: int) -> float:
@@ -120,16 +134,16 @@ def walk(table: pa.Table, compare: Comparison) -> list[int]:
     leaders: list[int] = []
     chosen = Texts([], [])
     chosen.sizes, chosen.counts = early.sizes[:0], early.counts[:, :0]
-    sizes, counts = np.empty_like(early.sizes), np.empty_like(early.counts)
+    sizes, counts, marks = np.empty_like(early.sizes), np.empty_like(early.counts), np.empty_like(early.marks)
     for j in range(table.num_rows):
         hits = np.flatnonzero(compare.possible(chosen, late, j))
         if any(compare.score(early, leaders[k], late, j) >= compare.threshold for k in hits):
             continue
         k = len(leaders)
-        sizes[k], counts[:, k] = early.sizes[j], early.counts[:, j]
+        sizes[k], counts[:, k], marks[k] = early.sizes[j], early.counts[:, j], early.marks[j]
         leaders.append(j)
         chosen.rows = leaders
-        chosen.sizes, chosen.counts = sizes[: k + 1], counts[:, : k + 1]
+        chosen.sizes, chosen.counts, chosen.marks = sizes[: k + 1], counts[:, : k + 1], marks[: k + 1]
     return leaders
 
 
@@ -258,7 +272,12 @@ def meet(early: DataFrame, late: DataFrame, compare: Comparison, every: bool, fi
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("early_id", "late_id", "score"), columns, types)})
 
     mine, theirs = ("own", "own_block", "other", "other_block"), ("other", "other_block", "own", "own_block")
-    together = e.groupBy(*[f"early_{n}" for n in mine]).cogroup(l.groupBy(*[f"late_{n}" for n in theirs]))
+    # a stated number of tasks: the rows are few bytes for their work, and adaptive execution would join them in one task
+    spark = early.sparkSession
+    most = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(2, min(most, sum(e_groups[i].blocks * l_groups[j].blocks for i, j in met)))
+    e_keys, l_keys = [f"early_{n}" for n in mine], [f"late_{n}" for n in theirs]
+    together = e.repartition(tasks, *e_keys).groupBy(*e_keys).cogroup(l.repartition(tasks, *l_keys).groupBy(*l_keys))
     return together.applyInArrow(pairs, "early_id long, late_id long, score double")
 
 
