@@ -262,10 +262,13 @@ def one_per_address(rows: DataFrame, address: str, order: list[Column | str] | N
 
     The winner is chosen on the order and a hash of the row, so whole pages are neither sorted nor compared; a
     hot address shrinks to one narrow row a task.  What wins is dealt evenly for the parsing that follows.
+
+    Sizes are estimated from the columns that were read, a fraction of the rows made of them, so the join is named: one
+    chosen by such a size sends an address of every row through the driver.
     """
     place = F.struct(*(order or []), F.xxhash64(*sorted(rows.columns)))
     known = rows.filter(F.col(address).isNotNull()).withColumn("_place", place)
-    first = known.groupBy(F.col(address).alias("_address")).agg(F.min("_place").alias("_first"))
+    first = known.groupBy(F.col(address).alias("_address")).agg(F.min("_place").alias("_first")).hint("merge")
     won = known.join(first, (F.col(address) == F.col("_address")) & (F.col("_place") == F.col("_first")), "left_semi")
     spark = rows.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -507,10 +510,11 @@ def topcv_rows(cards: DataFrame, jobs: DataFrame, companies: DataFrame, order: l
     # the records are read twice to choose one of an address, which must not parse their pages twice
     jobs, companies = cut_lineage(jobs), cut_lineage(companies.withColumnRenamed("company_url", "_company"))
     first = keep_first(cards, [url_path("job_url")], order)
-    rows = first.join(one_per_address(jobs, "job_url"), "job_url", "left")
+    # records are joined by sorting, for their estimated size is that of the table the pages came from
+    rows = first.join(one_per_address(jobs, "job_url").hint("merge"), "job_url", "left")
     rows = rows.withColumn("_company", F.coalesce("company_url_from_job", "company_url"))
     found = cut_lineage(one_per_address(companies, "_company"))
-    return renumber(lookup(cut_lineage(rows), found, ["_company"]).drop("_company"), *order)
+    return renumber(lookup(cut_lineage(rows), found.hint("merge"), ["_company"]).drop("_company"), *order)
 
 
 # --- careerlink ---------------------------------------------------------------------------------------------------------
